@@ -110,3 +110,290 @@ def q_mart_underserved(spark, sf):
 def q_mart_subarea(spark, sf):
     return marts.mart_subarea(stg_fac(spark, sf), standin.subarea_seed(spark, sf),
                               standin.STANDIN_DRILL_AREA)
+
+
+# ------------------------------------------------------------ dedup contrast
+from access_lake.functions import fixed  # noqa: E402
+from access_lake.functions import numeric as N  # noqa: E402
+from access_lake.functions import text as T  # noqa: E402
+from access_lake.operators.dedup import latest_per_key, total_order  # noqa: E402
+from access_lake.sources.standardise import standardise_census, standardise_features  # noqa: E402
+
+LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+           "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+LI_TIE = ", ".join(f"{c} ASC NULLS LAST" for c in LI_COLS
+                   if c not in ("l_orderkey", "l_linenumber", "l_shipdate"))
+
+
+@register("latest_per_key", f"""
+SELECT {', '.join(LI_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_shipdate DESC NULLS LAST, {LI_TIE}) AS rn
+  FROM lineitem) t WHERE rn = 1""")
+def q_latest_per_key(spark, sf):
+    li = standin.table(spark, sf, "lineitem")
+    return latest_per_key(li, ["l_orderkey", "l_linenumber"], [F.desc_nulls_last("l_shipdate")])
+
+
+@register("filter_then_dedup", O.with_ctes(["stg_facilities"],
+          "SELECT facility_id, operation_status, ingested_at FROM stg_facilities"))
+def q_filter_then_dedup(spark, sf):
+    return stg_fac(spark, sf).select("facility_id", "operation_status", "ingested_at")
+
+
+@register("dedup_then_filter", O.with_ctes(["raw_facilities"], f"""
+SELECT facility_id, operation_status, ingested_at FROM (
+  SELECT *, row_number() OVER (PARTITION BY facility_id ORDER BY ingested_at DESC NULLS LAST,
+                               {O.TIEBREAK.replace('facility_type ASC NULLS LAST, ', '')}, facility_type ASC NULLS LAST) AS rn
+  FROM raw_facilities) t
+WHERE rn = 1 AND lower(operation_status) = 'operational'
+  AND facility_code IS NOT NULL AND county_name IS NOT NULL"""))
+def q_dedup_then_filter(spark, sf):
+    """The order the product does *not* use: dedup first, then filter.
+    A key whose newest row is closed disappears here but survives in
+    ``filter_then_dedup``."""
+    raw = standin.raw_facilities(spark, sf)
+    order = [F.desc_nulls_last("ingested_at")]
+    tie = [F.asc_nulls_last(c) for c in staging.STG_FACILITY_COLUMNS
+           if c not in ("facility_id", "ingested_at", "facility_type")] + [F.asc_nulls_last("facility_type")]
+    latest = latest_per_key(raw, ["facility_id"], order, tie)
+    return (latest.filter(T.eq_ci("operation_status", fixed.OPERATIONAL_STATUS)
+                          & F.col("facility_code").isNotNull() & F.col("county_name").isNotNull())
+                  .select("facility_id", "operation_status", "ingested_at"))
+
+
+# ------------------------------------------------------------ scalar operators
+TEXT_KEYWORDS = {
+    "kw_the": ["the ", " the,"],
+    "kw_eau": ["eau"],
+    "kw_ment": ["ment", "ement"],
+    "kw_license": ["license", "licence"],
+    "kw_at": ["@"],
+}
+
+
+def _flags_sql(text: str, flags: dict[str, list[str]]) -> str:
+    parts = []
+    for name, kws in flags.items():
+        conds = " OR ".join(f"contains({text}, '{k.replace(chr(39), chr(39) * 2)}')" for k in kws)
+        parts.append(f"coalesce({conds}, false) AS {name}")
+    return ",\n       ".join(parts)
+
+
+@register("classify_type", f"""
+SELECT p_partkey, p_name,
+       {O.TYPE_CASE.replace('facility_type', 'p_name')} AS standin_type,
+       CASE WHEN lower(p_name) LIKE '%hospital%' THEN 'Hospital'
+            WHEN lower(p_name) LIKE '%health centre%' THEN 'Health Centre'
+            WHEN lower(p_name) LIKE '%dispensary%' THEN 'Dispensary'
+            WHEN lower(p_name) LIKE '%clinic%' THEN 'Clinic' ELSE 'Other' END AS product_type
+FROM part""")
+def q_classify_type(spark, sf):
+    p = standin.table(spark, sf, "part")
+    return p.select("p_partkey", "p_name",
+                    T.classify("p_name", standin.STANDIN_TYPE_RULES).alias("standin_type"),
+                    T.classify("p_name").alias("product_type"))
+
+
+@register("keyword_flags", f"""
+SELECT doc_id,
+       {_flags_sql("lower(replace(text, chr(10), ' '))", {**fixed.SERVICE_KEYWORDS, **TEXT_KEYWORDS})}
+FROM documents""")
+def q_keyword_flags(spark, sf):
+    """Service keyword flags over each document's lines, joined with one
+    space (whole texts; product keywords plus stand-in keywords that occur
+    in the synthetic prose)."""
+    d = standin.table(spark, sf, "documents")
+    lines = F.split(F.col("text"), "\n")
+    return d.select("doc_id", *T.keyword_flags(lines, {**fixed.SERVICE_KEYWORDS, **TEXT_KEYWORDS}))
+
+
+def _any_line_sql(kws: list[str]) -> str:
+    conds = " OR ".join(f"contains(lower(x), '{k}')" for k in kws)
+    return f"coalesce(len(list_filter(string_split(text, chr(10)), lambda x: {conds})) > 0, false)"
+
+
+@register("any_contains", f"""
+SELECT doc_id,
+       {_any_line_sql(fixed.ELECTRICITY_KEYWORDS)} AS has_electricity,
+       {_any_line_sql(fixed.WATER_KEYWORDS)} AS has_water,
+       {_any_line_sql(['license', 'licence'])} AS any_license,
+       {_any_line_sql(['eau'])} AS any_eau
+FROM documents""")
+def q_any_contains(spark, sf):
+    d = standin.table(spark, sf, "documents")
+    lines = F.split(F.col("text"), "\n")
+    return d.select("doc_id",
+                    T.any_contains(lines, fixed.ELECTRICITY_KEYWORDS).alias("has_electricity"),
+                    T.any_contains(lines, fixed.WATER_KEYWORDS).alias("has_water"),
+                    T.any_contains(lines, ["license", "licence"]).alias("any_license"),
+                    T.any_contains(lines, ["eau"]).alias("any_eau"))
+
+
+@register("title_case", f"""
+SELECT doc_id, {O.title_sql('text')} AS title_text FROM documents""")
+def q_title_case(spark, sf):
+    d = standin.table(spark, sf, "documents")
+    return d.select("doc_id", T.title_case("text").alias("title_text"))
+
+
+@register("area_keys", O.with_ctes(["features"], f"""
+SELECT CONST_CODE, COUNTY_NAM,
+       {O.key_sql('COUNTY_NAM')} AS area_key,
+       CASE lower(COUNTY_NAM)
+            WHEN 'elegeyo-marakwet' THEN 'elgeyo marakwet'
+            WHEN 'murang''a' THEN 'muranga'
+            WHEN 'tharaka - nithi' THEN 'tharaka nithi'
+            ELSE regexp_replace(regexp_replace(lower(COUNTY_NAM), '\\s*-\\s*', ' ', 'g'), '''', '', 'g')
+       END AS area_key_geo
+FROM features"""))
+def q_area_keys(spark, sf):
+    f = standin.raw_features(spark, sf)
+    return f.select("CONST_CODE", "COUNTY_NAM", T.area_key("COUNTY_NAM").alias("area_key"),
+                    T.area_key_geo("COUNTY_NAM").alias("area_key_geo"))
+
+
+@register("safe_casts", f"""
+SELECT event_id,
+       coalesce(TRY_CAST(trim(' ' || CAST(value AS VARCHAR) || ' ') AS DOUBLE), CAST(0 AS DOUBLE)) AS f_value,
+       coalesce(TRY_CAST(trim(event_type) AS DOUBLE), CAST(0 AS DOUBLE)) AS f_junk,
+       coalesce(CAST(trunc(TRY_CAST(CAST(value AS VARCHAR) AS DOUBLE)) AS INTEGER), 0) AS i_trunc,
+       {O.int_text_sql("replace(format('{:,}', event_id * 1001), ',', '')")} AS i_commas,
+       {O.int_text_sql("replace(CAST(value AS VARCHAR), ',', '')")} AS i_fraction_rejected,
+       {O.int_text_sql("json_extract_string(props, '$.k')")} AS i_json
+FROM events""")
+def q_safe_casts(spark, sf):
+    e = standin.table(spark, sf, "events")
+    return e.select(
+        "event_id",
+        N.safe_float(F.concat(F.lit(" "), F.col("value").cast("string"), F.lit(" "))).alias("f_value"),
+        N.safe_float("event_type").alias("f_junk"),
+        N.safe_int(F.col("value").cast("string")).alias("i_trunc"),
+        N.safe_int_commas(F.format_number(F.col("event_id") * 1001, 0)).alias("i_commas"),
+        N.safe_int_commas(F.col("value").cast("string")).alias("i_fraction_rejected"),
+        N.safe_int_commas(F.get_json_object("props", "$.k")).alias("i_json"))
+
+
+@register("first_of", """
+SELECT c_custkey,
+       coalesce(nullif(CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_mktsegment END, ''),
+                nullif(CASE WHEN c_acctbal < 0 THEN NULL ELSE c_name END, ''),
+                'unknown') AS first_value
+FROM customer""")
+def q_first_of(spark, sf):
+    c = standin.table(spark, sf, "customer")
+    a = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("")).otherwise(F.col("c_mktsegment"))
+    b = F.when(F.col("c_acctbal") < 0, F.lit(None).cast("string")).otherwise(F.col("c_name"))
+    return c.select("c_custkey", T.first_of([a, b], F.lit("unknown")).alias("first_value"))
+
+
+# census rows with the published header names, built from customer ⋈ nation
+def _census_raw(spark, sf) -> DataFrame:
+    cust = standin.table(spark, sf, "customer")
+    nation = standin.table(spark, sf, "nation")
+    cn = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
+    w = (F.lit(20000) + F.lit(7000) * F.col("n_nationkey") + F.col("c_custkey") % 997).cast("bigint")
+    per = (cn.groupBy("n_nationkey", "n_name", "n_regionkey")
+             .agg(F.sum(w).alias("p"), F.count(F.lit(1)).alias("h")))
+    name = F.replace(F.lower(F.col("n_name")), F.lit("_"), F.lit("-"))
+    pop_text = (F.when(F.col("n_regionkey") == 3, F.concat(F.col("p").cast("string"), F.lit(".0")))
+                 .when(F.col("n_regionkey") == 4, F.lit("0"))
+                 .otherwise(F.format_number(F.col("p"), 0)))
+    rows = per.select(
+        F.concat(F.lit(" "), name, F.lit(" ")).alias("County"),
+        F.col("n_nationkey").cast("string").alias("Code"),
+        pop_text.alias("Total_Population19"),
+        F.format_number((F.col("p") * 49) / 100, 0).alias("Male populatio 2019"),
+        F.col("h").cast("string").alias("Households"))
+    total = per.agg(F.sum("p").alias("p"), F.sum("h").alias("h")).select(
+        F.lit("Total").alias("County"), F.lit("").alias("Code"),
+        F.format_number(F.col("p"), 0).alias("Total_Population19"),
+        F.lit("").alias("Male populatio 2019"), F.col("h").cast("string").alias("Households"))
+    return rows.unionByName(total)
+
+
+CENSUS_SQL = f"""
+WITH per AS (
+  SELECT n_nationkey, n_name, n_regionkey,
+         CAST(sum(CAST(20000 + 7000 * n_nationkey + c_custkey % 997 AS BIGINT)) AS BIGINT) AS p,
+         count(*) AS h
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  GROUP BY n_nationkey, n_name, n_regionkey
+)
+SELECT CAST(n_nationkey AS VARCHAR) AS county_code,
+       {O.title_sql("replace(lower(n_name), '_', '-')")} AS county_name,
+       '' AS sub_county, p AS population,
+       CAST(round(p * 49 / 100) AS INTEGER) AS male, 0 AS female, CAST(h AS INTEGER) AS households,
+       2019 AS census_year, TIMESTAMP '2019-08-24 00:00:00' AS ingested_at
+FROM per WHERE n_regionkey < 3"""
+
+
+@register("census_standardise", CENSUS_SQL)
+def q_census_standardise(spark, sf):
+    """Census standardisation on rows with drifting header names: alias
+    columns, thousands separators, rejected fractions, zero and total rows,
+    title case (STD-4, STD-11..15)."""
+    return standardise_census(_census_raw(spark, sf), standin.STANDIN_CENSUS_TS)
+
+
+GEO_TS = "2024-06-01 00:00:00"
+
+
+@register("rollup_first_geometry", O.with_ctes(["geodata"], "SELECT * FROM geodata"))
+def q_rollup_first_geometry(spark, sf):
+    return standardise_features(standin.raw_features(spark, sf), GEO_TS)
+
+
+@register("stg_geodata", O.with_ctes(["geodata"], "SELECT * FROM stg_geodata"))
+def q_stg_geodata(spark, sf):
+    return staging.stg_geodata(standardise_features(standin.raw_features(spark, sf), GEO_TS))
+
+
+# ------------------------------------------------------------ measures
+@register("subarea_scores", O.with_ctes(["stg_facilities", "stg_population"], f"""
+SELECT f.county_name, f.sub_county_name, f.n, p.population,
+       round(CAST(f.n AS DOUBLE) / nullif(p.population, 0) * 10000, 2) AS per_10k,
+       CASE WHEN CAST(f.n AS DOUBLE) / nullif(p.population, 0) * 10000 < 1 THEN 4
+            WHEN CAST(f.n AS DOUBLE) / nullif(p.population, 0) * 10000 < 2 THEN 3
+            WHEN CAST(f.n AS DOUBLE) / nullif(p.population, 0) * 10000 < 5 THEN 2 ELSE 1 END AS band_points,
+       CASE WHEN p.population IS NULL THEN NULL
+            ELSE greatest(0, CAST(((p.population + 250) // 500 + 9) // 10 - f.n AS INTEGER)) END AS needed_to_baseline
+FROM (SELECT county_name, sub_county_name, count(*) AS n FROM stg_facilities
+      GROUP BY county_name, sub_county_name) f
+LEFT JOIN stg_population p
+  ON {O.key_sql('f.county_name')} = {O.key_sql('p.county_name')}
+ AND lower(f.sub_county_name) = p.sub_county_name"""))
+def q_subarea_scores(spark, sf):
+    """Rate, band points and baseline gap at (area, sub-area) grain
+    (SCL-6, SCL-7, SCL-10)."""
+    f = stg_fac(spark, sf).groupBy("county_name", "sub_county_name").agg(F.count(F.lit(1)).alias("n"))
+    p = stg_pop(spark, sf)
+    j = f.join(p.select(T.area_key("county_name").alias("_k"), F.col("sub_county_name").alias("_s"),
+                        "population"),
+               (T.area_key("county_name") == F.col("_k")) & (F.lower("sub_county_name") == F.col("_s")),
+               "left")
+    per = N.rate_per("n", "population", fixed.DENSITY_PER)
+    return j.select("county_name", "sub_county_name", "n", "population", per.alias("per_10k"),
+                    N.band(N.ratio("n", "population") * fixed.DENSITY_PER).alias("band_points"),
+                    N.baseline_gap("population", "n").alias("needed_to_baseline"))
+
+
+@register("growth_projection", O.with_ctes(["seed"], """
+SELECT sub_county_name, population_2019, population_2024,
+       CAST(round(population_2019 * pow(1 + growth_rate, projection_year - census_year)) AS BIGINT) AS projected
+FROM seed"""))
+def q_growth_projection(spark, sf):
+    s = standin.subarea_seed(spark, sf)
+    return s.select("sub_county_name", "population_2019", "population_2024",
+                    N.project_population("population_2019", "growth_rate",
+                                         F.col("projection_year") - F.col("census_year")).alias("projected"))
+
+
+@register("severity_scores", O.with_ctes(["underserved"], """
+SELECT county_name, severity_score, facilities_needed_to_baseline,
+       CASE severity_score WHEN 3 THEN 'critical' WHEN 2 THEN 'high' END AS severity_label
+FROM underserved"""))
+def q_severity_scores(spark, sf):
+    u = q_mart_underserved(spark, sf)
+    return u.select("county_name", "severity_score", "facilities_needed_to_baseline",
+                    N.severity_label("severity_score").alias("severity_label"))

@@ -43,10 +43,14 @@ def title_case(c: ColumnLike) -> Column:
     digits, like Python's ``str.title`` (STD-14). Spark's ``initcap`` only
     capitalises after whitespace."""
     runs = F.regexp_extract_all(col(c), F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    return F.array_join(
-        F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)),
-                                             F.lower(F.substring(r, 2, 1 << 30)))),
-        "")
+
+    def cap(r: Column) -> Column:
+        first = F.substring(r, 1, 1)
+        # title-case mapping of the sharp s is 'Ss' (upper-case would be 'SS')
+        head = F.when(first == "\u00df", F.lit("Ss")).otherwise(F.upper(first))
+        return F.concat(head, F.lower(F.substring(r, 2, 1 << 30)))
+
+    return F.array_join(F.transform(runs, cap), "")
 
 
 def classify(c: ColumnLike, rules: Iterable[tuple[str, str]] = fixed.FACILITY_TYPE_RULES,

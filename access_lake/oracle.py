@@ -250,3 +250,113 @@ def with_ctes(names: list[str], select: str) -> str:
     for n in names:
         visit(n)
     return "WITH " + ",\n".join(CTE[n] for n in order) + "\n" + select
+
+
+# ------------------------------------------------------------------ helpers
+def title_sql(expr: str) -> str:
+    """Python-style title case: capitalise every letter run."""
+    return (f"array_to_string(list_transform(regexp_extract_all({expr}, '(\\p{{L}}+|\\P{{L}}+)'), "
+            f"lambda r: CASE WHEN r[1] = 'ß' THEN 'Ss' ELSE upper(r[1]) END || lower(r[2:])), '')")
+
+
+def strip_sql(expr: str) -> str:
+    return f"coalesce(regexp_replace({expr}, '^\\s+|\\s+$', '', 'g'), '')"
+
+
+def int_text_sql(expr: str, typ: str = "BIGINT") -> str:
+    """Integer text (sign and digits only) → integer, else 0."""
+    return (f"CASE WHEN regexp_full_match(trim({expr}), '[+-]?[0-9]+') "
+            f"THEN CAST(trim({expr}) AS {typ}) ELSE CAST(0 AS {typ}) END")
+
+
+CTE["features"] = """features AS (
+  SELECT s_suppkey AS pos,
+         CASE WHEN s_acctbal < 0 THEN 'None'
+              WHEN n_regionkey = 0 THEN replace(n_name, '_', ' - ')
+              WHEN n_regionkey = 1 THEN replace(n_name, '_', '-')
+              ELSE replace(n_name, '_', ' ') END AS COUNTY_NAM,
+         CAST(n_nationkey AS VARCHAR) AS COUNTY_COD,
+         CAST(s_suppkey AS VARCHAR) AS CONST_CODE,
+         CASE WHEN s_acctbal > 9000 THEN NULL ELSE CAST(s_suppkey % 50 AS DOUBLE) / 4 END AS Shape_Area,
+         '{"type": "Point", "coordinates": [' || CAST(s_suppkey AS VARCHAR) || ', '
+           || CAST(n_nationkey AS VARCHAR) || ']}' AS geometry
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+)"""
+
+CTE["geodata"] = f"""named_features AS (
+  SELECT *, {title_sql(strip_sql('COUNTY_NAM'))} AS fname FROM features
+),
+geodata AS (
+  SELECT arg_min(COUNTY_COD, pos) AS county_code, fname AS county_name,
+         arg_min(coalesce(geometry, 'null'), pos) AS geometry,
+         sum(coalesce(Shape_Area, CAST(0 AS DOUBLE))) AS area_sqkm,
+         TIMESTAMP '2024-06-01 00:00:00' AS ingested_at
+  FROM named_features
+  WHERE fname <> '' AND lower(fname) <> 'none'
+  GROUP BY fname
+),
+stg_geodata AS (
+  SELECT county_code, lower(county_name) AS county_name, geometry, area_sqkm, ingested_at
+  FROM geodata WHERE county_name IS NOT NULL AND geometry IS NOT NULL
+)"""
+
+CTE["snapshots"] = """snapshots AS (
+  SELECT user_id, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS snapshot_at, event_type,
+         CAST(floor(value / 10) AS INTEGER) AS value_band,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50 AS is_high
+  FROM (SELECT *, row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE)
+                                     ORDER BY ts DESC, event_id DESC) AS rn
+        FROM events) e
+  WHERE rn = 1
+)"""
+
+
+def history_sql(snap: str, name: str) -> str:
+    """SCD2 versions of a snapshot CTE ``snap`` (user_id, snapshot_at, 3
+    check columns), as CTE ``name``: islands of contiguous, unchanged rows."""
+    return f"""{name}_cal AS (
+  SELECT snapshot_at, row_number() OVER (ORDER BY snapshot_at) AS ord,
+         lead(snapshot_at) OVER (ORDER BY snapshot_at) AS next_at
+  FROM (SELECT DISTINCT snapshot_at FROM {snap}) d
+),
+{name}_r AS (
+  SELECT s.*, c.ord, c.next_at,
+         lag(c.ord) OVER w AS prev_ord, lead(c.ord) OVER w AS next_ord,
+         (lag(event_type) OVER w IS DISTINCT FROM event_type
+          OR lag(value_band) OVER w IS DISTINCT FROM value_band
+          OR lag(is_high) OVER w IS DISTINCT FROM is_high) AS changed
+  FROM {snap} s JOIN {name}_cal c ON s.snapshot_at = c.snapshot_at
+  WINDOW w AS (PARTITION BY user_id ORDER BY s.snapshot_at)
+),
+{name}_s AS (
+  SELECT *, (prev_ord IS NULL OR prev_ord <> ord - 1 OR changed) AS is_start FROM {name}_r
+),
+{name}_e AS (
+  SELECT *, (next_ord IS NULL OR next_ord <> ord + 1
+             OR coalesce(lead(is_start) OVER (PARTITION BY user_id ORDER BY snapshot_at), true)) AS is_end
+  FROM {name}_s
+),
+{name}_m AS (
+  SELECT *, min(CASE WHEN is_end THEN ord END) OVER (PARTITION BY user_id ORDER BY snapshot_at
+               ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS end_ord
+  FROM {name}_e
+),
+{name} AS (
+  SELECT st.user_id, st.event_type, st.value_band, st.is_high,
+         st.snapshot_at AS valid_from, en.next_at AS valid_to,
+         (en.next_at IS NOT NULL AND (en.next_ord IS NULL OR en.next_ord <> en.ord + 1)) AS is_deleted,
+         md5(CAST(st.user_id AS VARCHAR) || '|' || CAST(st.snapshot_at AS VARCHAR)) AS scd_id,
+         st.snapshot_at AS updated_at
+  FROM {name}_m st JOIN {name}_m en ON st.user_id = en.user_id AND en.ord = st.end_ord
+  WHERE st.is_start
+)"""
+
+
+CTE["history"] = history_sql("snapshots", "history")
+
+DEPS.update({
+    "features": [],
+    "geodata": ["features"],
+    "snapshots": [],
+    "history": ["snapshots"],
+})
