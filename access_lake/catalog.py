@@ -397,3 +397,288 @@ def q_severity_scores(spark, sf):
     u = q_mart_underserved(spark, sf)
     return u.select("county_name", "severity_score", "facilities_needed_to_baseline",
                     N.severity_label("severity_score").alias("severity_label"))
+
+
+# ------------------------------------------------------------ history (SCD2)
+from access_lake.operators import history as H  # noqa: E402
+
+SNAP_COLS = ["user_id", "event_type", "value_band", "is_high"]
+HIST_COLS = SNAP_COLS + ["valid_from", "valid_to", "is_deleted", "scd_id", "updated_at"]
+
+
+def history_of(spark, sf) -> DataFrame:
+    snaps = standin.daily_snapshots(spark, sf)
+    return H.scd2_from_snapshots(snaps, standin.SNAPSHOT_KEY, "snapshot_at",
+                                 standin.SNAPSHOT_CHECK_COLUMNS).select(*HIST_COLS)
+
+
+@register("scd2_build", O.with_ctes(["history"], "SELECT * FROM history"))
+def q_scd2_build(spark, sf):
+    """Whole history from 30 daily snapshots in one job (SCD-3)."""
+    return history_of(spark, sf)
+
+
+@register("scd2_apply", O.with_ctes(["history"], "SELECT * FROM history"))
+def q_scd2_apply(spark, sf):
+    """History of all but the last snapshot, then the last snapshot applied
+    incrementally (SCD-1); equals the one-job rebuild."""
+    snaps = standin.daily_snapshots(spark, sf)
+    last = snaps.agg(F.max("snapshot_at")).first()[0]
+    before = H.scd2_from_snapshots(snaps.filter(F.col("snapshot_at") < F.lit(last)),
+                                   standin.SNAPSHOT_KEY, "snapshot_at",
+                                   standin.SNAPSHOT_CHECK_COLUMNS).select(*HIST_COLS)
+    newest = snaps.filter(F.col("snapshot_at") == F.lit(last)).drop("snapshot_at")
+    return H.scd2_apply(before, newest, standin.SNAPSHOT_KEY, standin.SNAPSHOT_CHECK_COLUMNS,
+                        last).select(*HIST_COLS)
+
+
+@register("scd2_current", O.with_ctes(["history"], "SELECT * FROM history WHERE valid_to IS NULL"))
+def q_scd2_current(spark, sf):
+    return H.current(history_of(spark, sf))
+
+
+AS_OF = "2024-01-15 12:00:00"
+
+
+@register("scd2_as_of", O.with_ctes(["history"], f"""
+SELECT * FROM history WHERE valid_from <= TIMESTAMP '{AS_OF}'
+  AND (valid_to IS NULL OR TIMESTAMP '{AS_OF}' < valid_to)"""))
+def q_scd2_as_of(spark, sf):
+    return H.as_of(history_of(spark, sf), AS_OF)
+
+
+PERIOD = ("2024-01-08 00:00:00", "2024-01-21 00:00:00")
+
+
+@register("flag_transitions", O.with_ctes(["history"], f"""
+SELECT h.user_id, h.valid_from AS changed_at, p.is_high AS prev_is_high, h.is_high,
+       CASE WHEN h.is_high THEN 'gained' ELSE 'lost' END AS change
+FROM history h JOIN history p ON p.user_id = h.user_id AND p.valid_to = h.valid_from
+WHERE h.valid_from BETWEEN TIMESTAMP '{PERIOD[0]}' AND TIMESTAMP '{PERIOD[1]}'
+  AND p.is_high IS DISTINCT FROM h.is_high"""))
+def q_flag_transitions(spark, sf):
+    return H.flag_transitions(history_of(spark, sf), "user_id", "is_high", *PERIOD)
+
+
+@register("type_transitions", O.with_ctes(["history"], """
+SELECT h.user_id, h.valid_from AS changed_at, p.event_type AS prev_event_type, h.event_type
+FROM history h JOIN history p ON p.user_id = h.user_id AND p.valid_to = h.valid_from
+WHERE p.event_type = 'view' AND h.event_type = 'purchase'"""))
+def q_type_transitions(spark, sf):
+    return H.type_transitions(history_of(spark, sf), "user_id", "event_type", "view", "purchase")
+
+
+@register("first_seen", O.with_ctes(["history"], """
+SELECT user_id, min(valid_from) AS first_seen FROM history GROUP BY user_id"""))
+def q_first_seen(spark, sf):
+    return H.first_seen(history_of(spark, sf), "user_id")
+
+
+@register("count_over_time", O.with_ctes(["history"], """
+, spine AS (SELECT valid_from AS changed_at FROM history
+            UNION SELECT valid_to FROM history WHERE valid_to IS NOT NULL),
+deltas AS (
+  SELECT changed_at, sum(d) AS d FROM (
+    SELECT valid_from AS changed_at, 1 AS d FROM history WHERE event_type = 'purchase'
+    UNION ALL
+    SELECT valid_to, -1 FROM history WHERE event_type = 'purchase' AND valid_to IS NOT NULL) x
+  GROUP BY changed_at)
+SELECT s.changed_at,
+       CAST(sum(coalesce(d.d, 0)) OVER (ORDER BY s.changed_at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS open_count
+FROM spine s LEFT JOIN deltas d ON s.changed_at = d.changed_at"""))
+def q_count_over_time(spark, sf):
+    return H.count_over_time(history_of(spark, sf), "event_type", "purchase")
+
+
+@register("net_change", O.with_ctes(["history"], f"""
+SELECT coalesce(a.event_type, b.event_type) AS event_type,
+       coalesce(a.n, 0) AS count_start, coalesce(b.n, 0) AS count_end,
+       coalesce(b.n, 0) - coalesce(a.n, 0) AS net_change
+FROM (SELECT event_type, count(*) AS n FROM history
+      WHERE valid_from <= TIMESTAMP '{PERIOD[0]}' AND (valid_to IS NULL OR TIMESTAMP '{PERIOD[0]}' < valid_to)
+      GROUP BY event_type) a
+FULL OUTER JOIN
+     (SELECT event_type, count(*) AS n FROM history
+      WHERE valid_from <= TIMESTAMP '{PERIOD[1]}' AND (valid_to IS NULL OR TIMESTAMP '{PERIOD[1]}' < valid_to)
+      GROUP BY event_type) b
+ON a.event_type = b.event_type"""))
+def q_net_change(spark, sf):
+    return H.net_change(history_of(spark, sf), "event_type", *PERIOD)
+
+
+# ------------------------------------------------------------ data quality
+from access_lake.operators import joins as J  # noqa: E402
+from access_lake.operators import quality as Q  # noqa: E402
+from access_lake.plans import dashboards as D  # noqa: E402
+from access_lake.plans.quality_suite import run_checks  # noqa: E402
+
+
+@register("dq_not_null", O.with_ctes(["stg_facilities"], """
+SELECT 'stg_facilities' AS model, 'not_null' AS "check", column_name, failures FROM (
+  SELECT 'facility_id' AS column_name, CAST(count(*) - count(facility_id) AS BIGINT) AS failures FROM stg_facilities
+  UNION ALL SELECT 'facility_code', CAST(count(*) - count(facility_code) AS BIGINT) FROM stg_facilities
+  UNION ALL SELECT 'has_outpatient', CAST(count(*) - count(has_outpatient) AS BIGINT) FROM stg_facilities
+  UNION ALL SELECT 'sub_county_name', CAST(count(*) - count(sub_county_name) AS BIGINT) FROM stg_facilities) x"""))
+def q_dq_not_null(spark, sf):
+    return Q.check_not_null(stg_fac(spark, sf),
+                            ["facility_id", "facility_code", "has_outpatient", "sub_county_name"],
+                            "stg_facilities")
+
+
+@register("dq_unique", O.with_ctes(["raw_facilities"], """
+SELECT facility_id, count(*) AS n FROM raw_facilities GROUP BY facility_id HAVING count(*) > 1"""))
+def q_dq_unique(spark, sf):
+    """Raw facility ids seen more than once (before dedup: many)."""
+    return Q.check_unique(standin.raw_facilities(spark, sf), "facility_id")
+
+
+@register("dq_accepted", O.with_ctes(["stg_facilities"], """
+SELECT * FROM stg_facilities
+WHERE facility_type NOT IN ('Hospital', 'Health Centre', 'Dispensary', 'Clinic')"""))
+def q_dq_accepted(spark, sf):
+    """Accepted-values check with 'Other' left out of the set, so the
+    failing rows are the unclassified facilities."""
+    return Q.check_accepted(stg_fac(spark, sf), "facility_type",
+                            ["Hospital", "Health Centre", "Dispensary", "Clinic"])
+
+
+@register("dq_row_count", O.with_ctes(["density"], """
+SELECT count(*) AS row_count FROM density HAVING count(*) <> 47"""))
+def q_dq_row_count(spark, sf):
+    return Q.check_row_count(q_mart_density(spark, sf), fixed.EXPECTED_AREA_COUNT)
+
+
+@register("dq_duplicates", O.with_ctes(["stg_facilities"], """
+SELECT facility_id, count(*) AS n FROM stg_facilities GROUP BY facility_id HAVING count(*) > 1"""))
+def q_dq_duplicates(spark, sf):
+    return Q.check_no_duplicates(stg_fac(spark, sf), "facility_id")
+
+
+@register("unmatched_keys", O.with_ctes(["stg_facilities", "pop_totals"], f"""
+SELECT DISTINCT f.county_name AS unmatched_key FROM stg_facilities f
+WHERE NOT EXISTS (SELECT 1 FROM pop_totals p WHERE {O.key_sql('p.county_name')} = {O.key_sql('f.county_name')})"""))
+def q_unmatched_keys(spark, sf):
+    """Areas whose facilities find no population row (JON-5)."""
+    areas = stg_fac(spark, sf).select("county_name").distinct()
+    return J.unmatched_keys(areas, agg.population_totals(stg_pop(spark, sf)))
+
+
+@register("dq_report")
+def q_dq_report(spark, sf):
+    """All 30 product checks over the stand-in models, one report row each
+    (DQ-1..6). Rows-only check: the report composes the marts above."""
+    fac, pop = stg_fac(spark, sf), stg_pop(spark, sf)
+    density = marts.mart_county_density(fac, pop)
+    gaps = marts.mart_service_gaps(fac, pop)
+    models = {
+        "stg_facilities": fac, "stg_population": pop,
+        "stg_geodata": staging.stg_geodata(standardise_features(standin.raw_features(spark, sf), GEO_TS)),
+        "mart_county_density": density, "mart_service_gaps": gaps,
+        "mart_underserved_counties": marts.mart_underserved(density, gaps),
+        "mart_nairobi_subcounty": marts.mart_subarea(fac, standin.subarea_seed(spark, sf),
+                                                     standin.STANDIN_DRILL_AREA),
+    }
+    return run_checks(models)
+
+
+# ------------------------------------------------------------ dashboards
+@register("dash_density", O.with_ctes(["density"], """
+SELECT county_name, avg(facilities_per_10k) AS avg_facilities_per_10k FROM density GROUP BY county_name"""))
+def q_dash_density(spark, sf):
+    return D.dash_density(q_mart_density(spark, sf))
+
+
+@register("dash_ranking", O.with_ctes(["underserved"], """
+SELECT underserved_rank, county_name, severity_score, facilities_per_10k, total_population,
+       maternity_gap_flag, art_gap_flag, tb_gap_flag, no_emergency_flag, facilities_needed_to_baseline,
+       CASE severity_score WHEN 3 THEN 'critical' WHEN 2 THEN 'high' END AS severity_label
+FROM underserved"""))
+def q_dash_ranking(spark, sf):
+    return D.dash_ranking(q_mart_underserved(spark, sf))
+
+
+@register("dash_maternity", O.with_ctes(["gaps"], """
+SELECT county_name, avg(maternity_per_100k) AS avg_maternity_per_100k FROM gaps GROUP BY county_name"""))
+def q_dash_maternity(spark, sf):
+    return D.dash_maternity(q_mart_gaps(spark, sf))
+
+
+@register("dash_services", O.with_ctes(["gaps"], """
+SELECT county_name, avg(tb_count) AS avg_tb_count, avg(maternity_per_100k) AS avg_maternity_per_100k,
+       avg(art_per_100k) AS avg_art_per_100k, avg(emergency_per_100k) AS avg_emergency_per_100k
+FROM gaps GROUP BY county_name"""))
+def q_dash_services(spark, sf):
+    return D.dash_services(q_mart_gaps(spark, sf))
+
+
+@register("dash_services_long", O.with_ctes(["gaps"], """
+, wide AS (SELECT county_name, avg(tb_count) AS avg_tb_count, avg(maternity_per_100k) AS avg_maternity_per_100k,
+       avg(art_per_100k) AS avg_art_per_100k, avg(emergency_per_100k) AS avg_emergency_per_100k
+  FROM gaps GROUP BY county_name)
+SELECT county_name, 'avg_tb_count' AS metric, avg_tb_count AS value FROM wide
+UNION ALL SELECT county_name, 'avg_maternity_per_100k', avg_maternity_per_100k FROM wide
+UNION ALL SELECT county_name, 'avg_art_per_100k', avg_art_per_100k FROM wide
+UNION ALL SELECT county_name, 'avg_emergency_per_100k', avg_emergency_per_100k FROM wide"""))
+def q_dash_services_long(spark, sf):
+    return D.dash_services(q_mart_gaps(spark, sf), long=True)
+
+
+@register("dash_subarea_density", O.with_ctes(["subarea"], """
+SELECT sub_county_name, avg(facilities_per_10k) AS avg_facilities_per_10k FROM subarea GROUP BY sub_county_name"""))
+def q_dash_subarea_density(spark, sf):
+    return D.dash_subarea_density(q_mart_subarea(spark, sf))
+
+
+@register("dash_subarea_services", O.with_ctes(["subarea"], """
+SELECT sub_county_name, total_facilities, population_2024, facilities_per_10k, maternity_count,
+       art_count, emergency_count, subcounty_density_rank FROM subarea"""))
+def q_dash_subarea_services(spark, sf):
+    return D.dash_subarea_services(q_mart_subarea(spark, sf))
+
+
+@register("dash_area_count", O.with_ctes(["density"], "SELECT count(*) AS areas_mapped FROM density"))
+def q_dash_area_count(spark, sf):
+    return D.dash_area_count(q_mart_density(spark, sf))
+
+
+@register("dash_features", O.with_ctes(["density", "geodata"], """
+SELECT g.county_name, d.facilities_per_10k,
+       CASE WHEN d.facilities_per_10k IS NULL THEN NULL
+            WHEN d.facilities_per_10k < 1.8 THEN 0 WHEN d.facilities_per_10k < 2.7 THEN 1
+            WHEN d.facilities_per_10k < 3.5 THEN 2 WHEN d.facilities_per_10k < 4.4 THEN 3 ELSE 4 END AS density_band,
+       '{"type":"Feature","geometry":' || g.geometry || ',"properties":'
+         || to_json({'county_name': g.county_name, 'facilities_per_10k': d.facilities_per_10k}) || '}' AS feature
+FROM stg_geodata g JOIN density d
+  ON lower(d.county_name) = CASE lower(g.county_name)
+        WHEN 'elegeyo-marakwet' THEN 'elgeyo marakwet'
+        WHEN 'murang''a' THEN 'muranga'
+        WHEN 'tharaka - nithi' THEN 'tharaka nithi'
+        ELSE regexp_replace(regexp_replace(lower(g.county_name), '\\s*-\\s*', ' ', 'g'), '''', '', 'g') END"""))
+def q_dash_features(spark, sf):
+    geo = staging.stg_geodata(standardise_features(standin.raw_features(spark, sf), GEO_TS))
+    return D.dash_features(geo, q_mart_density(spark, sf))
+
+
+@register("top_k_underserved", O.with_ctes(["underserved"], """
+SELECT underserved_rank, county_name, severity_score, facilities_per_10k, total_population,
+       maternity_gap_flag, art_gap_flag, tb_gap_flag, no_emergency_flag, facilities_needed_to_baseline
+FROM underserved ORDER BY underserved_rank LIMIT 5"""))
+def q_top_k_underserved(spark, sf):
+    """The five most under-served areas (SRT-4): the limit is the feature."""
+    return D.top_underserved(q_mart_underserved(spark, sf), 5)
+
+
+@register("global_row_number", f"""
+SELECT {', '.join(LI_COLS)},
+       CAST(row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, {LI_TIE}) AS BIGINT) AS row_number
+FROM lineitem""")
+def q_global_row_number(spark, sf):
+    """Row number over all lineitems by ship date at row grain (WIN-5),
+    without a single-partition window."""
+    from access_lake.operators.ranking import global_row_number
+    li = standin.table(spark, sf, "lineitem")
+    order = total_order(li, [F.asc_nulls_last("l_shipdate"), F.asc_nulls_last("l_orderkey"),
+                             F.asc_nulls_last("l_linenumber")],
+                        exclude=["l_shipdate", "l_orderkey", "l_linenumber"])
+    return global_row_number(li, order, "row_number")

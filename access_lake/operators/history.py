@@ -175,17 +175,18 @@ def count_over_time(history: DataFrame, area_col: str, area_value: str) -> DataF
     accumulated over the time axis. No range join: the per-time deltas are
     aggregated first, and the running sum runs over distinct change times."""
     in_area = history.filter(F.col(area_col) == area_value)
-    deltas = (in_area.select(F.col("valid_from").alias("at"), F.lit(1).alias("d"))
+    deltas = (in_area.select(F.col("valid_from").alias("changed_at"), F.lit(1).alias("d"))
                      .unionByName(in_area.filter(F.col("valid_to").isNotNull())
-                                         .select(F.col("valid_to").alias("at"), F.lit(-1).alias("d")))
-                     .groupBy("at").agg(F.sum("d").alias("d")))
-    spine = (history.select(F.col("valid_from").alias("at"))
+                                         .select(F.col("valid_to").alias("changed_at"), F.lit(-1).alias("d")))
+                     .groupBy("changed_at").agg(F.sum("d").alias("d")))
+    spine = (history.select(F.col("valid_from").alias("changed_at"))
                     .unionByName(history.filter(F.col("valid_to").isNotNull())
-                                        .select(F.col("valid_to").alias("at")))
+                                        .select(F.col("valid_to").alias("changed_at")))
                     .distinct())
-    w = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (spine.join(deltas, "at", "left")
-                 .select("at", F.sum(F.coalesce("d", F.lit(0))).over(w).cast("bigint").alias("open_count")))
+    w = Window.orderBy("changed_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (spine.join(deltas, "changed_at", "left")
+                 .select("changed_at",
+                         F.sum(F.coalesce("d", F.lit(0))).over(w).cast("bigint").alias("open_count")))
 
 
 def net_change(history: DataFrame, area_col: str, start: str, end: str) -> DataFrame:

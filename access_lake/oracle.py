@@ -249,7 +249,9 @@ def with_ctes(names: list[str], select: str) -> str:
 
     for n in names:
         visit(n)
-    return "WITH " + ",\n".join(CTE[n] for n in order) + "\n" + select
+    body = select.lstrip()
+    sep = "\n" if not body.startswith(",") else ""
+    return "WITH " + ",\n".join(CTE[n] for n in order) + sep + "\n" + body
 
 
 # ------------------------------------------------------------------ helpers

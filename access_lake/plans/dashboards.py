@@ -89,7 +89,8 @@ def dash_features(geo: DataFrame, density: DataFrame, aliases=fixed.GEO_NAME_ALI
                        "facilities_per_10k")
     g = geo.select("county_name", "geometry", area_key_geo(F.col("county_name"), aliases).alias("_k"))
     j = g.join(d, "_k", "inner")
-    props = F.to_json(F.struct(F.col("county_name"), F.col("facilities_per_10k")))
+    props = F.to_json(F.struct(F.col("county_name"), F.col("facilities_per_10k")),
+                      {"ignoreNullFields": "false"})
     feature = F.concat(F.lit('{"type":"Feature","geometry":'), F.col("geometry"),
                        F.lit(',"properties":'), props, F.lit("}"))
     return j.select("county_name", "facilities_per_10k",
