@@ -32,6 +32,9 @@ def get_spark(app: str = "access_lake", master: str | None = None,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = os.environ.get("ACCESS_LAKE_DRIVER_MEMORY", "16g")
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
