@@ -682,3 +682,119 @@ def q_global_row_number(spark, sf):
                              F.asc_nulls_last("l_linenumber")],
                         exclude=["l_shipdate", "l_orderkey", "l_linenumber"])
     return global_row_number(li, order, "row_number")
+
+
+# ------------------------------------------------------------ registry standardisation
+from access_lake.sources.standardise import standardise_registry  # noqa: E402
+
+REG_TS = "2025-05-01 02:00:00"
+REG_COLS = ["facility_id", "facility_code", "facility_name", "latitude", "longitude", "has_gps", "beds",
+            "service_names", *fixed.SERVICE_KEYWORDS, "infrastructure", "has_electricity", "has_water",
+            "operation_status", "closed", "ingested_at"]
+
+
+def _registry_sql() -> str:
+    svc = [("has_maternity", "Maternity Services"), ("has_art", "ART"), ("has_tb", "TB Screening"),
+           ("has_emergency", "Emergency"), ("has_outpatient", "Out-patient")]
+    lst = "list_filter([" + ", ".join(f"CASE WHEN {f} THEN '{n}' END" for f, n in svc) + "], lambda x: x IS NOT NULL)"
+    first = "coalesce(" + ", ".join(f"CASE WHEN {f} THEN '{n}' END" for f, n in svc) + ")"
+    flags = []
+    for name, kws in fixed.SERVICE_KEYWORDS.items():
+        conds = " OR ".join(f"contains(lower(array_to_string(svc, ' ')), '{k}')" for k in kws)
+        flags.append(f"coalesce({conds}, false) AS {name}")
+    return O.with_ctes(["raw_facilities"], f"""
+, reg AS (
+  SELECT r.*, CAST(split_part(facility_id, '-', 2) AS INTEGER) AS line,
+         CASE WHEN CAST(split_part(facility_id, '-', 2) AS INTEGER) = 1
+              THEN CASE WHEN {first} IS NULL THEN [] ELSE [{first}] END
+              ELSE {lst} END AS svc,
+         CASE WHEN latitude > 5000 THEN ['Grid power', 'Piped Water']
+              WHEN latitude > 0 THEN ['Solar'] ELSE [] END AS infra
+  FROM raw_facilities r)
+SELECT facility_id, coalesce(facility_code, '') AS facility_code, facility_name,
+       latitude,
+       CASE WHEN line = 3 THEN CAST(0 AS DOUBLE) ELSE longitude END AS longitude,
+       latitude <> 0 AND (CASE WHEN line = 3 THEN CAST(0 AS DOUBLE) ELSE longitude END) <> 0 AS has_gps,
+       CAST(trunc(longitude / 1000) AS INTEGER) AS beds,
+       array_to_string(svc, '|') AS service_names,
+       {", ".join(flags)},
+       array_to_string(infra, '|') AS infrastructure,
+       len(list_filter(infra, lambda x: contains(lower(x), 'grid') OR contains(lower(x), 'solar')
+                                        OR contains(lower(x), 'electric'))) > 0 AS has_electricity,
+       len(list_filter(infra, lambda x: contains(lower(x), 'water'))) > 0 AS has_water,
+       operation_status, false AS closed, TIMESTAMP '{REG_TS}' AS ingested_at
+FROM reg""")
+
+
+@register("registry_standardise", _registry_sql())
+def q_registry_standardise(spark, sf):
+    """Registry results → standardised facility records (STD-1..10):
+    trimming, safe numbers, array-or-string services, keyword flags,
+    flattening, infrastructure flags."""
+    rec = standardise_registry(standin.registry_results(spark, sf), REG_TS)
+    return rec.select(*REG_COLS)
+
+
+@register("date_parts", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y') AS year, strftime(o_orderdate, '%m') AS month,
+       strftime(o_orderdate, '%d') AS day FROM orders""")
+def q_date_parts(spark, sf):
+    o = standin.table(spark, sf, "orders")
+    return o.select("o_orderkey", *T.date_parts("o_orderdate"))
+
+
+# ------------------------------------------------------------ landing round trips
+from datetime import date as _date, datetime as _dt  # noqa: E402
+
+from access_lake.session import work_dir  # noqa: E402
+from access_lake.sources import io as IO  # noqa: E402
+from access_lake.sources import schemas as S  # noqa: E402
+
+CENSUS_CTE = ("census AS (" + CENSUS_SQL.strip().replace("WITH per AS (", "SELECT * FROM (WITH per AS (", 1)
+              + ") c)")
+
+
+def _census(spark, sf):
+    return standardise_census(_census_raw(spark, sf), standin.STANDIN_CENSUS_TS)
+
+
+@register("landing_roundtrip", f"""
+WITH {CENSUS_CTE}
+SELECT *, '2025' AS year, '05' AS month, '01' AS day FROM census""")
+def q_landing_roundtrip(spark, sf):
+    """Land census records as NDJSON date partitions, re-run the same day
+    (replaces), read back with an explicit schema (SNK-1..3, SRC-4)."""
+    root = work_dir(spark, "landing")
+    recs = _census(spark, sf)
+    IO.land(recs.limit(1), root, "population", _dt(2025, 5, 1))
+    IO.land(recs, root, "population", _dt(2025, 5, 1))
+    return IO.read_landing(spark, root, "population", S.POPULATION_RECORD)
+
+
+@register("read_as_of", f"""
+WITH {CENSUS_CTE}
+SELECT *, '2025' AS year, '04' AS month, '01' AS day FROM census""")
+def q_read_as_of(spark, sf):
+    """Two landings; the read as of a date between them returns the first
+    only (SRC-8)."""
+    root = work_dir(spark, "landing")
+    recs = _census(spark, sf)
+    IO.land(recs, root, "population", _dt(2025, 4, 1))
+    IO.land(recs.withColumn("population", F.col("population") + 1), root, "population", _dt(2025, 5, 1))
+    return IO.read_as_of(spark, root, "population", _date(2025, 4, 30), S.POPULATION_RECORD)
+
+
+@register("schema_evolution", f"""
+WITH {CENSUS_CTE}
+SELECT county_code, county_name, sub_county, population, male, female, NULL::INTEGER AS households,
+       census_year, ingested_at, '2025' AS year, '04' AS month, '01' AS day FROM census
+UNION ALL
+SELECT *, '2025' AS year, '05' AS month, '01' AS day FROM census""")
+def q_schema_evolution(spark, sf):
+    """An older landing lacks ``households``; reading both with the current
+    schema gives NULL for it there (SRC-9)."""
+    root = work_dir(spark, "landing")
+    recs = _census(spark, sf)
+    IO.land(recs.drop("households"), root, "population", _dt(2025, 4, 1))
+    IO.land(recs, root, "population", _dt(2025, 5, 1))
+    return IO.read_landing(spark, root, "population", S.POPULATION_RECORD)

@@ -151,3 +151,11 @@ def eq_ci(c: ColumnLike, value: str) -> Column:
 def normalise_header(name: str) -> str:
     """Header normalisation: trim, lower, space and '-' → '_' (STD-11)."""
     return name.strip().lower().replace(" ", "_").replace("-", "_")
+
+
+def date_parts(ts: ColumnLike) -> list[Column]:
+    """Zero-padded ``year``, ``month``, ``day`` text of a timestamp, the
+    landing partition values (SCL-14)."""
+    t = col(ts)
+    return [F.date_format(t, "yyyy").alias("year"), F.date_format(t, "MM").alias("month"),
+            F.date_format(t, "dd").alias("day")]

@@ -39,22 +39,28 @@ def standardise_registry(results: DataFrame, run_ts: str, source: str = "registr
     """Registry results → the 43-field facility record. ``service_names``
     and ``infrastructure_names`` are read as text (array or single string,
     STD-6)."""
-    services = as_array("service_names")
-    infra = as_array("infrastructure_names")
-    lat, lon = safe_float("lat"), safe_float("long")
-    cols: list[Column] = [clean_str(src).alias(dst) for src, dst in REGISTRY_TEXT_FIELDS[:11]]
-    cols += [clean_str(src).alias(dst) for src, dst in REGISTRY_TEXT_FIELDS[11:]]
+    have = set(results.columns)
+
+    def src(name: str, type_: str = "string") -> Column:
+        # a field the payload lacks reads as missing, like dict.get()
+        return F.col(name) if name in have else F.lit(None).cast(type_)
+
+    services = as_array(src("service_names"))
+    infra = as_array(src("infrastructure_names"))
+    lat, lon = safe_float(src("lat")), safe_float(src("long"))
+    cols: list[Column] = [clean_str(src(a)).alias(b) for a, b in REGISTRY_TEXT_FIELDS]
     cols += [lat.alias("latitude"), lon.alias("longitude"), has_gps(lat, lon).alias("has_gps"),
-             clean_str("operation_status_name").alias("operation_status"),
-             clean_str("admission_status_name").alias("admission_status")]
-    cols += [truthy(b).alias(b) for b in REGISTRY_BOOL_FIELDS]
-    cols += [safe_int("beds").alias("beds"), safe_int("cots").alias("cots"),
+             clean_str(src("operation_status_name")).alias("operation_status"),
+             clean_str(src("admission_status_name")).alias("admission_status")]
+    cols += [truthy(src(b, "boolean")).alias(b) for b in REGISTRY_BOOL_FIELDS]
+    cols += [safe_int(src("beds")).alias("beds"), safe_int(src("cots")).alias("cots"),
              flatten_pipe(services).alias("service_names")]
     cols += keyword_flags(services, flags)
     cols += [flatten_pipe(infra).alias("infrastructure"),
              any_contains(infra, fixed.ELECTRICITY_KEYWORDS).alias("has_electricity"),
              any_contains(infra, fixed.WATER_KEYWORDS).alias("has_water"),
-             truthy("closed").alias("closed"), truthy("is_published").alias("is_published"),
+             truthy(src("closed", "boolean")).alias("closed"),
+             truthy(src("is_published", "boolean")).alias("is_published"),
              F.lit(source).alias("source"),
              F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at")]
     return results.select(*cols)

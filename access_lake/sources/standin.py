@@ -175,3 +175,34 @@ def daily_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SNAPSHOT_KEY = "user_id"
 SNAPSHOT_CHECK_COLUMNS = ["event_type", "value_band", "is_high"]
+
+
+SERVICE_NAMES = [("has_maternity", "Maternity Services"), ("has_art", "ART"),
+                 ("has_tb", "TB Screening"), ("has_emergency", "Emergency"),
+                 ("has_outpatient", "Out-patient")]
+
+
+def registry_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registry result rows as the API returns them (text fields, services
+    as a JSON array text or a single string), one per raw facility row.
+    Line 1 of an order lists its first service as a plain string; ``lat``
+    carries spaces, ``long`` is junk on line 3, ``beds`` is fractional text,
+    ``code`` is missing on line 7."""
+    raw = raw_facilities(spark, sf_dir)
+    line = F.split(F.col("facility_id"), "-").getItem(1).cast("int")
+    names = [F.when(F.col(flag), F.lit(f'"{label}"')) for flag, label in SERVICE_NAMES]
+    first = F.coalesce(*[F.when(F.col(flag), F.lit(label)) for flag, label in SERVICE_NAMES])
+    arr_text = F.concat(F.lit("["), F.concat_ws(",", *names), F.lit("]"))
+    infra = (F.when(F.col("latitude") > 5000, F.lit('["Grid power","Piped Water"]'))
+              .when(F.col("latitude") > 0, F.lit('["Solar"]')))
+    return raw.select(
+        F.col("facility_id").alias("id"),
+        F.col("facility_code").alias("code"),
+        F.concat(F.lit("  "), F.col("facility_name"), F.lit("\t")).alias("name"),
+        F.concat(F.lit(" "), F.col("latitude").cast("string"), F.lit(" ")).alias("lat"),
+        F.when(line == 3, F.lit("abc")).otherwise(F.col("longitude").cast("string")).alias("long"),
+        (F.col("longitude") / 1000).cast("string").alias("beds"),
+        F.when(line == 1, first).otherwise(arr_text).alias("service_names"),
+        infra.alias("infrastructure_names"),
+        F.col("county_name"), F.col("sub_county_name"), F.col("ward_name"),
+        F.col("operation_status").alias("operation_status_name"))
