@@ -116,10 +116,15 @@ def land(df: DataFrame, root: str, dataset: str, run_date: datetime) -> LoadRepo
     return LoadReport(dataset, uri, n, run_date.isoformat())
 
 
-def raw_table(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
+def raw_table(spark: SparkSession, path: str, merge_schema: bool = True,
+              schema: T.StructType | None = None) -> DataFrame:
     """Scan a typed raw Parquet table (SRC-5); ``mergeSchema`` lets files
-    written before a column was added read it as NULL (SRC-9)."""
-    return spark.read.option("mergeSchema", merge_schema).parquet(path)
+    written before a column was added read it as NULL (SRC-9). Pass the
+    schema (with text partition columns) to keep '05' from becoming 5."""
+    reader = spark.read.option("mergeSchema", merge_schema)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(path)
 
 
 def read_seed(spark: SparkSession, path: str,
