@@ -117,3 +117,8 @@ def severity_label(score: ColumnLike, labels: Iterable[tuple[int, str]] = fixed.
     for threshold, label in labels:
         out = F.when(src == threshold, F.lit(label)) if out is None else out.when(src == threshold, F.lit(label))
     return out if out is not None else F.lit(None).cast("string")
+
+
+def flag(cond: Column) -> Column:
+    """``case when cond then true else false end``: NULL → false (SCL-17)."""
+    return F.coalesce(cond, F.lit(False))

@@ -159,3 +159,11 @@ def date_parts(ts: ColumnLike) -> list[Column]:
     t = col(ts)
     return [F.date_format(t, "yyyy").alias("year"), F.date_format(t, "MM").alias("month"),
             F.date_format(t, "dd").alias("day")]
+
+
+def feature_json(geometry: ColumnLike, props: Column) -> Column:
+    """A GeoJSON Feature around raw geometry text (SCL-5). ``props`` is a
+    struct; ``to_json`` escapes quotes in names and keeps NULL values."""
+    return F.concat(F.lit('{"type":"Feature","geometry":'), col(geometry),
+                    F.lit(',"properties":'), F.to_json(props, {"ignoreNullFields": "false"}),
+                    F.lit("}"))

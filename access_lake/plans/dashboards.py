@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from access_lake.functions import fixed
 from access_lake.functions.numeric import severity_label
-from access_lake.functions.text import area_key_geo
+from access_lake.functions.text import area_key_geo, feature_json
 from access_lake.operators.aggregates import avg_by
 from access_lake.operators.ranking import top_k
 
@@ -89,10 +89,7 @@ def dash_features(geo: DataFrame, density: DataFrame, aliases=fixed.GEO_NAME_ALI
                        "facilities_per_10k")
     g = geo.select("county_name", "geometry", area_key_geo(F.col("county_name"), aliases).alias("_k"))
     j = g.join(d, "_k", "inner")
-    props = F.to_json(F.struct(F.col("county_name"), F.col("facilities_per_10k")),
-                      {"ignoreNullFields": "false"})
-    feature = F.concat(F.lit('{"type":"Feature","geometry":'), F.col("geometry"),
-                       F.lit(',"properties":'), props, F.lit("}"))
+    feature = feature_json("geometry", F.struct(F.col("county_name"), F.col("facilities_per_10k")))
     return j.select("county_name", "facilities_per_10k",
                     density_band("facilities_per_10k", band_edges),
                     feature.alias("feature"))

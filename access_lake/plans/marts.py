@@ -17,6 +17,7 @@ from access_lake.functions.numeric import (band, baseline_gap, below, count_if,
 from access_lake.operators.aggregates import (SERVICE_COUNT_NAMES, TYPE_COUNT_NAMES,
                                               flag_counts, pivot_counts, population_totals,
                                               weighted_sum)
+from access_lake.operators.filters import drill_down, non_blank, with_all
 from access_lake.operators.joins import join_by_area, join_ci
 from access_lake.operators.ranking import rank_by
 
@@ -106,10 +107,10 @@ def mart_underserved(density: DataFrame, gaps: DataFrame,
                     "tb_count", "emergency_count", "maternity_per_100k", "art_per_100k",
                     "tb_per_100k", "emergency_per_100k", "maternity_gap_flag",
                     "art_gap_flag", "tb_gap_flag", "no_emergency_flag")
-    scored = (join_ci(d, g, "county_name", "_g_name", how="left").drop("_g_name")
-              .withColumn("severity_score", severity(band("facilities_per_10k")))
-              .withColumn("facilities_needed_to_baseline",
-                          baseline_gap("total_population", "total_facilities", per_10k)))
+    scored = with_all(join_ci(d, g, "county_name", "_g_name", how="left").drop("_g_name"),
+                      severity_score=severity(band("facilities_per_10k")),
+                      facilities_needed_to_baseline=baseline_gap("total_population",
+                                                                 "total_facilities", per_10k))
     ranked = rank_by(scored, [F.desc_nulls_last("severity_score"),
                               F.asc_nulls_last("facilities_per_10k"),
                               F.asc_nulls_last("county_name"),
@@ -120,8 +121,7 @@ def mart_underserved(density: DataFrame, gaps: DataFrame,
 def mart_subarea(fac: DataFrame, seed: DataFrame, area: str) -> DataFrame:
     """Sub-area drill-down of one area against a sub-area population seed
     (MDL-7; the product fixes the area, here it is a parameter)."""
-    counts = (fac.filter(F.lower(F.col("county_name")) == area.lower())
-                 .filter(F.col("sub_county_name") != "")
+    counts = (non_blank(drill_down(fac, "county_name", area), "sub_county_name")
                  .groupBy("sub_county_name")
                  .agg(F.count(F.lit(1)).alias("total_facilities"),
                       *flag_counts(SERVICE_COUNT_NAMES),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from access_lake.functions import fixed
 from access_lake.functions.text import classify, eq_ci
 from access_lake.operators.dedup import latest_per_key
+from access_lake.operators.filters import keep, positive, require_not_null
 
 STG_FACILITY_COLUMNS = [
     "facility_id", "facility_code", "facility_name", "facility_type",
@@ -50,22 +51,21 @@ def stg_facilities(raw: DataFrame,
     Parquet scan; the window becomes a two-phase ``WindowGroupLimit``.
     """
     typed_cols = [F.col(c).cast(t).alias(c) for c, t in _FACILITY_TYPES.items()]
-    cleaned = (raw.filter(eq_ci(F.col("operation_status").cast("string"), status)
-                          & F.col("facility_code").isNotNull()
-                          & F.col("county_name").isNotNull())
+    valid = require_not_null(raw.filter(eq_ci(F.col("operation_status").cast("string"), status)),
+                             "facility_code", "county_name")
+    cleaned = (valid
                   .select(*typed_cols[:3],
                           classify(F.col("facility_type").cast("string"), type_rules).alias("facility_type"),
                           *typed_cols[3:]))
     order = [F.desc_nulls_last("ingested_at")]
     tiebreak = [F.asc_nulls_last(c) for c in STG_FACILITY_COLUMNS
                 if c not in ("facility_id", "ingested_at")]
-    return latest_per_key(cleaned, ["facility_id"], order, tiebreak).select(*STG_FACILITY_COLUMNS)
+    return keep(latest_per_key(cleaned, ["facility_id"], order, tiebreak), STG_FACILITY_COLUMNS)
 
 
 def stg_population(raw: DataFrame) -> DataFrame:
     """Typed census rows with a positive population (MDL-2)."""
-    return (raw.filter(F.col("population").isNotNull() & (F.col("population") > 0)
-                       & F.col("county_name").isNotNull())
+    return (positive(require_not_null(raw, "population", "county_name"), "population")
                .select(F.col("county_code").cast("string").alias("county_code"),
                        F.lower(F.col("county_name").cast("string")).alias("county_name"),
                        F.lower(F.col("sub_county").cast("string")).alias("sub_county_name"),
@@ -76,7 +76,7 @@ def stg_population(raw: DataFrame) -> DataFrame:
 
 def stg_geodata(raw: DataFrame) -> DataFrame:
     """Typed boundary rows with a name and a geometry (MDL-3)."""
-    return (raw.filter(F.col("county_name").isNotNull() & F.col("geometry").isNotNull())
+    return (require_not_null(raw, "county_name", "geometry")
                .select(F.col("county_code").cast("string").alias("county_code"),
                        F.lower(F.col("county_name").cast("string")).alias("county_name"),
                        F.col("geometry").cast("string").alias("geometry"),
