@@ -124,3 +124,17 @@ def test_rank_tie_break_density_then_name(spark):
     u = marts.mart_underserved(d, g)
     assert rows(u, "underserved_rank", "county_name") == [(1, "c"), (2, "a"), (3, "b")]
     assert base
+
+
+def test_models_by_name_with_sql(spark):
+    """Staging and marts registered by model name answer the product's two
+    singular SQL tests through the SQL API (SRC-7, SNK-4, FLT-8, AGG-9)."""
+    from access_lake.sources.io import register_views
+    rows_ = [fac(f"q{i}", county=c) for i, c in enumerate(["A", "B", "B"])]
+    stg = staging.stg_facilities(spark.createDataFrame(rows_, RAW_COLS))
+    pop = pop_rows(spark, [("1", "a", "", 1000, 2019, T1)])
+    register_views({"stg_facilities": stg, "mart_county_density": marts.mart_county_density(stg, pop)})
+    dup = spark.sql("select facility_id, count(*) as n from stg_facilities group by facility_id having count(*) > 1")
+    assert dup.count() == 0
+    cnt = spark.sql("select count(*) as county_count from mart_county_density having count(*) != 47")
+    assert [r.county_count for r in cnt.collect()] == [2]
