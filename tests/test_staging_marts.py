@@ -138,3 +138,13 @@ def test_models_by_name_with_sql(spark):
     assert dup.count() == 0
     cnt = spark.sql("select count(*) as county_count from mart_county_density having count(*) != 47")
     assert [r.county_count for r in cnt.collect()] == [2]
+
+
+def test_join_checks(spark):
+    from access_lake.operators.joins import fan_out_keys, join_by_area, unmatched_keys
+    left = spark.createDataFrame([("Tharaka-Nithi",), ("Murang'a",), ("Lamu",)], "county_name string")
+    right = spark.createDataFrame([("tharaka nithi", 1), ("muranga", 2), ("MURANGA", 3)],
+                                  "county_name string, v int")
+    assert rows(unmatched_keys(left, right)) == [("Lamu",)]
+    joined = join_by_area(left, right)
+    assert rows(fan_out_keys(joined)) == [("Murang'a", 2)]       # two population spellings fan out
