@@ -527,7 +527,8 @@ def q_dq_not_null(spark, sf):
 
 
 @register("dq_unique", O.with_ctes(["raw_facilities"], """
-SELECT facility_id, count(*) AS n FROM raw_facilities GROUP BY facility_id HAVING count(*) > 1"""))
+SELECT facility_id, count(*) AS n FROM raw_facilities WHERE facility_id IS NOT NULL
+GROUP BY facility_id HAVING count(*) > 1"""))
 def q_dq_unique(spark, sf):
     """Raw facility ids seen more than once (before dedup: many)."""
     return Q.check_unique(standin.raw_facilities(spark, sf), "facility_id")
@@ -577,7 +578,8 @@ def _dq_report_sql() -> str:
                          f"CAST(count(*) - count({c}) AS BIGINT) AS failures FROM {table[model]}")
     for model, c in UNIQUE:
         parts.append(f"SELECT '{model}', 'unique', '{c}', CAST(count(*) AS BIGINT) FROM "
-                     f"(SELECT {c} FROM {table[model]} GROUP BY {c} HAVING count(*) > 1) u")
+                     f"(SELECT {c} FROM {table[model]} WHERE {c} IS NOT NULL "
+                     f"GROUP BY {c} HAVING count(*) > 1) u")
     parts.append("SELECT 'stg_facilities', 'accepted_values', 'facility_type', CAST(count(*) AS BIGINT) "
                  "FROM stg_facilities WHERE facility_type NOT IN "
                  "('Hospital', 'Health Centre', 'Dispensary', 'Clinic', 'Other')")

@@ -27,8 +27,9 @@ def check_not_null(df: DataFrame, cols: Sequence[str], model: str = "") -> DataF
 
 
 def check_unique(df: DataFrame, col: str) -> DataFrame:
-    """Values present more than once (DQ-2)."""
-    return duplicate_keys(df, col)
+    """Non-NULL values present more than once (DQ-2; NULLs are the
+    not-null check's business)."""
+    return duplicate_keys(df.filter(F.col(col).isNotNull()), col)
 
 
 def check_accepted(df: DataFrame, col: str, values: Iterable[str]) -> DataFrame:
@@ -63,3 +64,45 @@ def gate(report: DataFrame) -> None:
     if failed:
         lines = ", ".join(f"{r.model}.{r.column_name} {r.check} ({r.failures})" for r in failed)
         raise AssertionError(f"data-quality checks failed: {lines}")
+
+
+def model_report(df: DataFrame, model: str, not_null: Sequence[str] = (), unique: str | None = None,
+                 accepted: tuple[str, Sequence[str]] | None = None, no_duplicates: str | None = None,
+                 row_count: int | None = None) -> DataFrame:
+    """All checks of one model in one pass, one report row per check.
+
+    With a key (``unique`` / ``no_duplicates``) the model is grouped once by
+    it: per-key row counts give both duplicate checks, and the per-row
+    checks (not-null, accepted values) ride along as partial sums, so the
+    model is scanned and shuffled once however many checks it has. Without a
+    key a single global aggregate does it.
+    """
+    per_row = [count_if(F.col(c).isNull()).alias(f"nn{i}") for i, c in enumerate(not_null)]
+    if accepted:
+        per_row.append(count_if(~F.col(accepted[0]).isin(*list(accepted[1]))).alias("acc"))
+    key = unique or no_duplicates
+    if key:
+        g = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *per_row)
+        many = F.col("_n") > 1
+        summary = g.agg(
+            *[F.sum(f"nn{i}").alias(f"nn{i}") for i in range(len(not_null))],
+            *([F.sum("acc").alias("acc")] if accepted else []),
+            count_if(F.col(key).isNotNull() & many).alias("uniq"),
+            count_if(many).alias("dups"),
+            F.sum("_n").alias("rows"))
+    else:
+        summary = df.agg(*per_row, F.count(F.lit(1)).alias("rows"))
+    entries = [("not_null", c, F.col(f"nn{i}")) for i, c in enumerate(not_null)]
+    if unique:
+        entries.append(("unique", unique, F.col("uniq")))
+    if accepted:
+        entries.append(("accepted_values", accepted[0], F.col("acc")))
+    if no_duplicates:
+        entries.append(("no_duplicates", no_duplicates, F.col("dups")))
+    if row_count is not None:
+        entries.append(("row_count", "*", F.when(F.col("rows") != row_count, 1).otherwise(0)))
+    structs = [F.struct(F.lit(model).alias("model"), F.lit(chk).alias("check"),
+                        F.lit(c).alias("column_name"),
+                        F.coalesce(v, F.lit(0)).cast("bigint").alias("failures"))
+               for chk, c, v in entries]
+    return summary.select(F.inline(F.array(*structs)))
