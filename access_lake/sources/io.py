@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -64,14 +65,26 @@ def landing_dates(df: DataFrame) -> DataFrame:
     return df.select(F.to_date(F.concat_ws("-", "year", "month", "day")).alias("landed_on")).distinct()
 
 
+_DAY_DIR = re.compile(r"year=(\d{4})/month=(\d{2})/day=(\d{2})/")
+
+
+def landed_days(df: DataFrame) -> list[str]:
+    """Landing days (``YYYY-MM-DD``) of a landing read, from the file
+    listing only: no file is opened."""
+    return sorted({"-".join(m.groups()) for f in df.inputFiles() if (m := _DAY_DIR.search(f))})
+
+
 def read_as_of(spark: SparkSession, root: str, dataset: str, as_of: date,
                schema: T.StructType | None = None) -> DataFrame:
-    """The latest landing on or before ``as_of`` (SRC-8): the partition
-    values are found with a query on the partition columns, then only that
-    directory is read."""
-    df = read_landing(spark, root, dataset, schema, until=as_of)
-    latest = df.select(F.max(F.concat_ws("-", "year", "month", "day")).alias("d"))
-    return (df.join(latest, F.concat_ws("-", "year", "month", "day") == F.col("d"), "left_semi"))
+    """The latest landing on or before ``as_of`` (SRC-8). The day is chosen
+    from the directory listing, then only that directory is read (an
+    equality ``PartitionFilters`` on the three partition columns)."""
+    df = read_landing(spark, root, dataset, schema)
+    days = [d for d in landed_days(df) if d <= as_of.isoformat()]
+    if not days:
+        return df.filter(F.lit(False))
+    y, m, d = days[-1].split("-")
+    return df.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))
 
 
 @dataclass
