@@ -151,6 +151,40 @@ def write_mart(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+_PUBLISHED = re.compile(r"/published/(v\d{14})/")
+
+
+def publish(df: DataFrame, base: str, run_ts: datetime) -> str:
+    """Write a full new version ``<base>/v<YYYYmmddHHMMSS>``, then record it
+    under ``<base>/published/``; return the version path.
+
+    Nothing is overwritten in place. The marker is written only after the
+    data write committed, so a job that dies mid-write leaves an unpublished
+    directory that :func:`read_latest` never returns, and readers keep
+    seeing the previous complete version."""
+    name = f"v{run_ts:%Y%m%d%H%M%S}"
+    path = f"{base.rstrip('/')}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    marker = df.sparkSession.createDataFrame([(path,)], "path string").coalesce(1)
+    marker.write.mode("overwrite").text(f"{base.rstrip('/')}/published/{name}")
+    return path
+
+
+def latest_version(spark: SparkSession, base: str) -> str | None:
+    """Newest published version below ``base`` (from the file listing)."""
+    try:
+        files = spark.read.text(f"{base.rstrip('/')}/published/v*").inputFiles()
+    except Exception:  # noqa: BLE001 - nothing published yet
+        return None
+    versions = sorted(m.group(1) for f in files if (m := _PUBLISHED.search(f)))
+    return f"{base.rstrip('/')}/{versions[-1]}" if versions else None
+
+
+def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
+    path = latest_version(spark, base)
+    return spark.read.parquet(path) if path else None
+
+
 def register_views(frames: dict[str, DataFrame]) -> None:
     """Expose DataFrames by model name for SQL use (SNK-4, SRC-7)."""
     for name, df in frames.items():

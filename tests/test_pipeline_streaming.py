@@ -52,12 +52,13 @@ def test_run_month_twice(spark, tmp):
     root = f"{tmp}/lake"
     out1 = run_month(spark, fixtures(tmp, 1), root, datetime(2025, 1, 1, 2))
     out2 = run_month(spark, fixtures(tmp, 2), root, datetime(2025, 2, 1, 2))
-    under = spark.read.parquet(f"{root}/marts/mart_underserved_counties")
+    from access_lake.sources.io import read_latest
+    under = read_latest(spark, f"{root}/marts/mart_underserved_counties")
     assert under.count() == 3
     assert sorted(r[0] for r in under.select("underserved_rank").collect()) == [1, 2, 3]
-    sub = spark.read.parquet(f"{root}/marts/mart_subarea")
+    sub = read_latest(spark, f"{root}/marts/mart_subarea")
     assert {r.sub_county_name for r in sub.collect()} == {"Westlands", "Starehe"}
-    report = spark.read.parquet(f"{root}/checks/20250201")
+    report = spark.read.parquet(out2["checks"])
     assert report.count() == 30 and report.filter("failures > 0").count() == 0
     hist = spark.read.parquet(out2["history"])
     # staging filters before it deduplicates over every landing, so the
@@ -67,6 +68,10 @@ def test_run_month_twice(spark, tmp):
     assert hist.filter("facility_id = 'f99' and valid_to is null").count() == 1
     assert hist.filter("valid_to is null").count() == 31
     assert out1["history"] != out2["history"]
+    assert read_latest(spark, f"{root}/history").count() == hist.count()
+    # a version that died mid-write (never published) is ignored by readers
+    spark.range(3).write.parquet(f"{root}/history/v20990101000000")
+    assert read_latest(spark, f"{root}/history").count() == hist.count()
 
 
 def test_streaming_ingest_is_incremental(spark, tmp):
