@@ -38,6 +38,16 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return rows.select("pos", "f.properties.*", F.col("f.geometry").alias("geometry"))
 
 
+def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Line-delimited GeoJSON features (one Feature per line): the
+    splittable form of :func:`read_features` for large boundary sets. The
+    position is ``monotonically_increasing_id``, which grows with the split
+    offset and the row inside it, so "first in file order" is kept."""
+    feature = schemas.FEATURE_COLLECTION["features"].dataType.elementType
+    rows = spark.read.schema(feature).json(path)
+    return rows.select(F.monotonically_increasing_id().alias("pos"), "properties.*", "geometry")
+
+
 def landing_path(root: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/{dataset}"
 

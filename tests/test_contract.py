@@ -57,3 +57,18 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in cur.description]
     assert sorted(sdf.columns) == sorted(dcols)
     assert canon(sdf.columns, [tuple(r) for r in sdf.collect()]) == canon(dcols, cur.fetchall())
+
+
+def test_stand_in_properties(spark):
+    """SURVEY §5 properties on the driver tables: dedup leaves each key
+    once, ranks are a permutation of 1..n, type counts never exceed the
+    total."""
+    q = E.queries()
+    stg = q["stg_facilities"](spark, SF)
+    assert stg.groupBy("facility_id").count().filter("count > 1").count() == 0
+    for name, col in [("mart_density", "density_rank"), ("mart_underserved", "underserved_rank"),
+                      ("mart_subarea", "subcounty_density_rank")]:
+        ranks = sorted(r[0] for r in q[name](spark, SF).select(col).collect())
+        assert ranks == list(range(1, len(ranks) + 1)), name
+    for r in q["mart_density"](spark, SF).collect():
+        assert r.hospital_count + r.health_centre_count + r.dispensary_count + r.clinic_count <= r.total_facilities

@@ -126,3 +126,14 @@ def test_read_seed(spark, tmp):
     r = seed.first()
     assert (r.sub_county_name, r.population_2024, r.growth_rate) == ("Starehe", 218388, 0.023)
     assert dict(seed.dtypes)["population_2019"] == "bigint"
+
+
+def test_feature_lines_keep_file_order(spark, tmp):
+    lines = [json.dumps({"properties": {"COUNTY_NAM": "Lamu" if i % 2 else "Kilifi", "COUNTY_COD": str(i),
+                                        "Shape_Area": 0.5}, "geometry": {"type": "Point", "coordinates": [i, i]}})
+             for i in range(2000)]
+    write(f"{tmp}/geoseq/f.json", "\n".join(lines))
+    feats = io.read_feature_lines(spark, f"{tmp}/geoseq")
+    geo = {r.county_name: r for r in standardise_features(feats, RUN_TS).collect()}
+    assert geo["Kilifi"].county_code == "0" and geo["Lamu"].county_code == "1"
+    assert geo["Kilifi"].area_sqkm == 500.0
