@@ -1,7 +1,6 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from access_lake.functions import fixed
 from access_lake.functions import numeric as N

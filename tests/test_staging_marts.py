@@ -1,6 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from access_lake.plans import marts, staging
 from conftest import rows
