@@ -127,15 +127,18 @@ def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     cn = cust.join(nation, cust.c_nationkey == nation.n_nationkey).withColumn("_w", _customer_weight())
     name = F.replace(F.col("n_name"), F.lit("_"), F.lit("-"))
-    totals = (cn.groupBy("n_nationkey", "n_name", "n_regionkey")
-                .agg(F.sum("_w").alias("_pop"))
+    # one pass over the customers: per-segment sums, and the nation totals
+    # summed from those (the shared aggregate is reused, not rescanned)
+    per_seg = (cn.groupBy("n_nationkey", "n_name", "n_regionkey", "c_mktsegment")
+                 .agg(F.sum("_w").alias("_pop")))
+    totals = (per_seg.groupBy("n_nationkey", "n_name", "n_regionkey")
+                .agg(F.sum("_pop").alias("_pop"))
                 .select(F.col("n_nationkey").cast("string").alias("county_code"),
                         name.alias("county_name"),
                         F.when(F.col("n_regionkey") < 2, F.lit("")).otherwise(name).alias("sub_county"),
                         F.when(F.col("n_regionkey") == 4, F.lit(0).cast("bigint"))
                          .otherwise(F.col("_pop")).alias("population")))
-    subs = (cn.groupBy("n_nationkey", "n_name", "c_mktsegment")
-              .agg(F.sum("_w").alias("_pop"))
+    subs = (per_seg
               .select(F.col("n_nationkey").cast("string").alias("county_code"),
                       name.alias("county_name"),
                       F.col("c_mktsegment").alias("sub_county"),
