@@ -824,3 +824,26 @@ def q_schema_evolution(spark, sf):
     IO.land(recs.drop("households"), root, "population", _dt(2025, 4, 1))
     IO.land(recs, root, "population", _dt(2025, 5, 1))
     return IO.read_landing(spark, root, "population", S.POPULATION_RECORD)
+
+
+# ------------------------------------------------------------ single aggregates
+@register("pivot_types", O.with_ctes(["stg_facilities"], f"""
+SELECT county_name,
+       {O.cnt("facility_type = 'Hospital'")} AS hospital_count,
+       {O.cnt("facility_type = 'Health Centre'")} AS health_centre_count,
+       {O.cnt("facility_type = 'Dispensary'")} AS dispensary_count,
+       {O.cnt("facility_type = 'Clinic'")} AS clinic_count
+FROM stg_facilities GROUP BY county_name"""))
+def q_pivot_types(spark, sf):
+    """One count column per facility type and area (AGG-3)."""
+    return agg.pivot_types(stg_fac(spark, sf))
+
+
+@register("weighted_score", O.with_ctes(["stg_facilities"], """
+SELECT county_name,
+       CAST(sum(CASE facility_type WHEN 'Hospital' THEN 4 WHEN 'Health Centre' THEN 2 ELSE 1 END) AS BIGINT)
+         AS weighted_score
+FROM stg_facilities GROUP BY county_name"""))
+def q_weighted_score(spark, sf):
+    """Capacity-weighted facility count per area (AGG-4)."""
+    return agg.weighted_score(stg_fac(spark, sf))

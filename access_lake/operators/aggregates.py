@@ -121,3 +121,22 @@ def avg_by(df: DataFrame, area: str, metrics: Sequence[str] | str,
     metrics = [metrics] if isinstance(metrics, str) else list(metrics)
     names = list(names) if names else [f"avg_{m}" for m in metrics]
     return df.groupBy(area).agg(*[F.avg(m).alias(n) for m, n in zip(metrics, names)])
+
+
+def pivot_types(df: DataFrame, area: str = "county_name", type_col: str = "facility_type",
+                labels: Mapping[str, str] = TYPE_COUNT_NAMES) -> DataFrame:
+    """One count column per type label and area (AGG-3): conditional sums,
+    so the output columns are fixed even when a type is absent."""
+    return df.groupBy(area).agg(*pivot_counts(type_col, labels))
+
+
+def weighted_score(df: DataFrame, area: str = "county_name", type_col: str = "facility_type",
+                   weights: Mapping[str, int] = fixed.TYPE_WEIGHTS,
+                   default: int = fixed.TYPE_WEIGHT_DEFAULT) -> DataFrame:
+    """Capacity-weighted facility count per area (AGG-4)."""
+    return df.groupBy(area).agg(weighted_sum(type_col, None, weights, default))
+
+
+def row_count_not(df: DataFrame, n: int, out: str = "row_count") -> DataFrame:
+    """Global count with HAVING ``!= n`` (AGG-9): one row when it differs."""
+    return df.agg(F.count(F.lit(1)).alias(out)).filter(F.col(out) != n)

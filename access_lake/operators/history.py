@@ -197,3 +197,17 @@ def net_change(history: DataFrame, area_col: str, start: str, end: str) -> DataF
     j = a.join(b, area_col, "full_outer").fillna(0, subset=["count_start", "count_end"])
     return (j.withColumn("net_change", F.col("count_end") - F.col("count_start"))
              .orderBy(F.desc("net_change"), F.asc(area_col)))
+
+
+def scd2_facilities(history: DataFrame | None, fac: DataFrame, run_ts: str | datetime,
+                    key: str | None = None, check_cols: Sequence[str] | None = None) -> DataFrame:
+    """The product's facility history step (MDL-8): the staging columns
+    versioned on the facility id over the 12 check columns. With no history
+    yet the snapshot opens one version per facility."""
+    from access_lake.functions import fixed
+    key = key or fixed.HISTORY_KEY
+    check_cols = list(check_cols or fixed.HISTORY_CHECK_COLUMNS)
+    if history is None:
+        snap = fac.withColumn("_at", F.lit(str(run_ts)).cast("timestamp_ntz"))
+        return scd2_from_snapshots(snap, key, "_at", check_cols)
+    return scd2_apply(history, fac, key, check_cols, run_ts)

@@ -46,6 +46,19 @@ def alias_frame(spark, aliases: Iterable[tuple[str, str]] = fixed.GEO_NAME_ALIAS
     return F.broadcast(spark.createDataFrame(rows, "alias string, target string"))
 
 
+def join_boundary(geo: DataFrame, density: DataFrame,
+                  aliases: Iterable[tuple[str, str]] = fixed.GEO_NAME_ALIASES,
+                  density_cols: tuple[str, ...] = ("facilities_per_10k",)) -> DataFrame:
+    """Boundary rows ⋈ density on the boundary-side key (JON-4): alias
+    map, then dash/apostrophe normaliser, equal to ``lower`` of the density
+    name. Inner: an unmatched area cannot be drawn. The density side is cut
+    to the key and the needed columns before the join; the wide geometry
+    column stays on its own side."""
+    d = density.select(F.lower("county_name").alias("_k"), *density_cols)
+    g = geo.withColumn("_k", area_key_geo(F.col("county_name"), aliases))
+    return g.join(d, "_k", "inner").drop("_k")
+
+
 def unmatched_keys(left: DataFrame, right: DataFrame, l_name: str = "county_name",
                    r_name: str = "county_name", key=area_key, out: str = "unmatched_key") -> DataFrame:
     """Left keys without a partner on the right (JON-5): a left-anti join,
@@ -60,5 +73,5 @@ def fan_out_keys(df: DataFrame, key: str = "county_name") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-__all__ = ["bounded_broadcast", "join_by_area", "join_ci", "alias_frame",
+__all__ = ["bounded_broadcast", "join_by_area", "join_ci", "alias_frame", "join_boundary",
            "unmatched_keys", "fan_out_keys", "area_key", "area_key_geo"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from access_lake.functions.numeric import count_if
-from access_lake.operators.aggregates import duplicate_keys
+from access_lake.operators.aggregates import duplicate_keys, row_count_not
 
 
 def not_null_failures(df: DataFrame, col: str) -> DataFrame:
@@ -41,7 +41,7 @@ def check_accepted(df: DataFrame, col: str, values: Iterable[str]) -> DataFrame:
 def check_row_count(df: DataFrame, n: int, out: str = "row_count") -> DataFrame:
     """One row with the count when it differs from ``n`` (DQ-4): a global
     aggregate with HAVING."""
-    return df.agg(F.count(F.lit(1)).alias(out)).filter(F.col(out) != n)
+    return row_count_not(df, n, out)
 
 
 def check_no_duplicates(df: DataFrame, key: str) -> DataFrame:

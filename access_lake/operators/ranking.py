@@ -62,3 +62,19 @@ def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """First ``k`` rows under ``order`` (SRT-4): plans as
     ``TakeOrderedAndProject``, a per-partition top-k then a merge."""
     return df.orderBy(*order).limit(k)
+
+
+def ranked(df: DataFrame, rank_col: str = "underserved_rank") -> DataFrame:
+    """Worst first by an existing rank (SRT-1)."""
+    return df.orderBy(F.asc_nulls_last(rank_col))
+
+
+def by_name(df: DataFrame, name_col: str = "county_name") -> DataFrame:
+    """Alphabetical (SRT-2)."""
+    return df.orderBy(F.asc_nulls_last(name_col))
+
+
+def worst_first(df: DataFrame, metric: str, name_col: str | None = None) -> DataFrame:
+    """Lowest metric first, NULLs last, then name (SRT-3)."""
+    order = [F.asc_nulls_last(metric)] + ([F.asc_nulls_last(name_col)] if name_col else [])
+    return df.orderBy(*order)

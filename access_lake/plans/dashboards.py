@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from access_lake.functions import fixed
 from access_lake.functions.numeric import severity_label
-from access_lake.functions.text import area_key_geo, feature_json
+from access_lake.functions.text import feature_json
+from access_lake.operators.joins import join_boundary
 from access_lake.operators.aggregates import avg_by
-from access_lake.operators.ranking import top_k
+from access_lake.operators.ranking import by_name, ranked, top_k, worst_first
 
 RANKING_COLUMNS = ["underserved_rank", "county_name", "severity_score", "facilities_per_10k",
                    "total_population", "maternity_gap_flag", "art_gap_flag", "tb_gap_flag",
@@ -20,14 +21,13 @@ RANKING_COLUMNS = ["underserved_rank", "county_name", "severity_score", "facilit
 
 def dash_density(density: DataFrame) -> DataFrame:
     """Facilities per 10k by area, alphabetical (DSH-1, SRT-2)."""
-    return avg_by(density, "county_name", "facilities_per_10k").orderBy("county_name")
+    return by_name(avg_by(density, "county_name", "facilities_per_10k"))
 
 
 def dash_ranking(underserved: DataFrame, labels=fixed.SEVERITY_LABELS) -> DataFrame:
     """The ranking table with a severity label, worst first (DSH-2, SRT-1)."""
-    return (underserved.select(*RANKING_COLUMNS,
-                               severity_label("severity_score", labels).alias("severity_label"))
-                       .orderBy("underserved_rank"))
+    return ranked(underserved.select(*RANKING_COLUMNS,
+                                     severity_label("severity_score", labels).alias("severity_label")))
 
 
 def dash_maternity(gaps: DataFrame) -> DataFrame:
@@ -56,7 +56,7 @@ def dash_subarea_services(sub: DataFrame) -> DataFrame:
     return (sub.select("sub_county_name", "total_facilities", "population_2024",
                        "facilities_per_10k", "maternity_count", "art_count", "emergency_count",
                        "subcounty_density_rank")
-               .orderBy(F.asc_nulls_last("facilities_per_10k"), "sub_county_name"))
+               .transform(lambda d: worst_first(d, "facilities_per_10k", "sub_county_name")))
 
 
 def dash_area_count(density: DataFrame) -> DataFrame:
@@ -85,10 +85,7 @@ def dash_features(geo: DataFrame, density: DataFrame, aliases=fixed.GEO_NAME_ALI
     ``to_json`` so quotes in names are escaped. Geometry is the wide column,
     so it is joined last, after the density side is reduced to two columns.
     """
-    d = density.select(F.lower("county_name").alias("_k"), F.col("county_name").alias("_d_name"),
-                       "facilities_per_10k")
-    g = geo.select("county_name", "geometry", area_key_geo(F.col("county_name"), aliases).alias("_k"))
-    j = g.join(d, "_k", "inner")
+    j = join_boundary(geo.select("county_name", "geometry"), density, aliases)
     feature = feature_json("geometry", F.struct(F.col("county_name"), F.col("facilities_per_10k")))
     return j.select("county_name", "facilities_per_10k",
                     density_band("facilities_per_10k", band_edges),

@@ -113,23 +113,40 @@ def standardise_census(raw: DataFrame, run_ts: str, census_year: int = fixed.CEN
         F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at"))
 
 
-def standardise_features(features: DataFrame, run_ts: str) -> DataFrame:
-    """Boundary features → one record per area (STD-16, STD-17).
-
-    Unnamed features are dropped; per title-cased area name the code and
-    geometry of the first feature in file order (``pos``) are kept and the
-    areas are summed (missing → 0.0). ``min_by`` is a partial aggregate, so
-    an area with many features never gathers them in one place.
-    """
-    named = (features
-             .withColumn("_name", title_case(clean_str(F.col(fixed.FEATURE_NAME_PROPERTY))))
-             .filter((F.col("_name") != "") & (F.lower("_name") != fixed.FEATURE_UNNAMED)))
+def drop_unnamed(df: DataFrame, name_col: str = "_name") -> DataFrame:
+    """Drop features without an area name: blank or 'none' (STD-16)."""
+    return df.filter((F.col(name_col) != "") & (F.lower(name_col) != fixed.FEATURE_UNNAMED))
+
+
+def geometry_json(geometry: Column, parsed: bool = False) -> Column:
+    """Geometry as JSON text (STD-18). Read as STRING it already is the raw
+    text; ``parsed=True`` serialises a struct with ``to_json``. A NULL
+    geometry becomes the text 'null', as ``json.dumps(None)`` does."""
+    text = F.to_json(geometry) if parsed else geometry.cast("string")
+    return F.coalesce(text, F.lit("null"))
+
+
+def rollup_first_geometry(df: DataFrame, key: str = "_name", order: str = "pos",
+                          area: str = fixed.FEATURE_AREA_PROPERTY) -> DataFrame:
+    """Per area: code and geometry of the first feature in file order, sum
+    of the feature areas, missing → 0.0 (STD-17, AGG-11). ``min_by`` is a
+    partial aggregate, so an area with many features never gathers them
+    in one place."""
     first = F.min_by(F.struct(clean_str(F.col(fixed.FEATURE_CODE_PROPERTY)).alias("code"),
-                              F.coalesce(F.col("geometry"), F.lit("null")).alias("geometry")),
-                     F.col("pos"))
-    rolled = named.groupBy("_name").agg(
+                              geometry_json(F.col("geometry")).alias("geometry")),
+                     F.col(order))
+    return df.groupBy(key).agg(
         first.alias("_first"),
-        F.sum(F.coalesce(F.col(fixed.FEATURE_AREA_PROPERTY).cast("double"), F.lit(0.0))).alias("area_sqkm"))
+        F.sum(F.coalesce(F.col(area).cast("double"), F.lit(0.0))).alias("area_sqkm"))
+
+
+def standardise_features(features: DataFrame, run_ts: str) -> DataFrame:
+    """Boundary features → one record per area (STD-14, STD-16..18):
+    title-cased names, unnamed features dropped, first geometry per area
+    kept and areas summed."""
+    named = drop_unnamed(features.withColumn(
+        "_name", title_case(clean_str(F.col(fixed.FEATURE_NAME_PROPERTY)))))
+    rolled = rollup_first_geometry(named)
     return rolled.select(F.col("_first.code").alias("county_code"),
                          F.col("_name").alias("county_name"),
                          F.col("_first.geometry").alias("geometry"),
