@@ -21,6 +21,8 @@ daily snapshot    ``events``: latest event per user and day
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,22 @@ DRIVER_SCHEMAS = {
 }
 
 
+def per_session(fn):
+    """Reuse the (lazy, already analysed) stand-in plan of a session and
+    folder: the plans are pure functions of their inputs and hold no data,
+    so queries built on them skip re-analysing the shared sub-plan."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def inner(spark: SparkSession, sf_dir: str, *args):
+        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), args)
+        if key not in cache:
+            cache[key] = fn(spark, sf_dir, *args)
+        return cache[key]
+    return inner
+
+
+@per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in DRIVER_SCHEMAS:
@@ -71,6 +89,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@per_session
 def raw_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw facility rows in the product's column names."""
     li = table(spark, sf_dir, "lineitem")
@@ -119,6 +138,7 @@ def _customer_weight() -> F.Column:
             + F.col("c_custkey") % 997).cast("bigint")
 
 
+@per_session
 def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Census rows: one total row per nation (blank sub-area, or the area
     name itself) and one row per (nation, segment). Region 4 reports a zero
@@ -148,6 +168,7 @@ def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .withColumn("ingested_at", F.lit(STANDIN_CENSUS_TS).cast("timestamp_ntz")))
 
 
+@per_session
 def subarea_seed(spark: SparkSession, sf_dir: str, area: str = STANDIN_DRILL_AREA) -> DataFrame:
     """Sub-area population seed of the drill-down area: per segment of the
     area's customers, with a 2024 projection."""
@@ -167,6 +188,7 @@ def subarea_seed(spark: SparkSession, sf_dir: str, area: str = STANDIN_DRILL_ARE
                       F.lit(0.022).cast("double").alias("growth_rate")))
 
 
+@per_session
 def raw_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boundary features, one per supplier, in supplier-key order ``pos``.
     Suppliers with a negative balance carry the name 'None' (dropped by
@@ -192,6 +214,7 @@ def raw_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         geometry.alias("geometry"))
 
 
+@per_session
 def daily_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (user, day): the state after the user's last event of
     the day. Users without events on a day are absent from that snapshot."""
@@ -216,6 +239,7 @@ SERVICE_NAMES = [("has_maternity", "Maternity Services"), ("has_art", "ART"),
                  ("has_outpatient", "Out-patient")]
 
 
+@per_session
 def registry_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry result rows as the API returns them (text fields, services
     as a JSON array text or a single string), one per raw facility row.
