@@ -4,15 +4,31 @@ DataFrame over the driver's tables; ``ORACLE`` holds the DuckDB SQL of each
 
 from __future__ import annotations
 
+from datetime import date as _date
+from datetime import datetime as _dt
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from access_lake import oracle as O
+from access_lake.functions import fixed
+from access_lake.functions import numeric as N
+from access_lake.functions import text as T
 from access_lake.operators import aggregates as agg
+from access_lake.operators import history as H
+from access_lake.operators import joins as J
+from access_lake.operators import quality as Q
+from access_lake.operators.dedup import latest_per_key, total_order
+from access_lake.plans import dashboards as D
 from access_lake.plans import marts, staging
+from access_lake.plans.quality_suite import run_checks
+from access_lake.session import work_dir
+from access_lake.sources import io as IO
+from access_lake.sources import schemas as S
 from access_lake.sources import standin
+from access_lake.sources.standardise import (standardise_census, standardise_features,
+                                             standardise_registry)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,11 +129,6 @@ def q_mart_subarea(spark, sf):
 
 
 # ------------------------------------------------------------ dedup contrast
-from access_lake.functions import fixed  # noqa: E402
-from access_lake.functions import numeric as N  # noqa: E402
-from access_lake.functions import text as T  # noqa: E402
-from access_lake.operators.dedup import latest_per_key, total_order  # noqa: E402
-from access_lake.sources.standardise import standardise_census, standardise_features  # noqa: E402
 
 LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -400,7 +411,6 @@ def q_severity_scores(spark, sf):
 
 
 # ------------------------------------------------------------ history (SCD2)
-from access_lake.operators import history as H  # noqa: E402
 
 SNAP_COLS = ["user_id", "event_type", "value_band", "is_high"]
 HIST_COLS = SNAP_COLS + ["valid_from", "valid_to", "is_deleted", "scd_id", "updated_at"]
@@ -508,10 +518,6 @@ def q_net_change(spark, sf):
 
 
 # ------------------------------------------------------------ data quality
-from access_lake.operators import joins as J  # noqa: E402
-from access_lake.operators import quality as Q  # noqa: E402
-from access_lake.plans import dashboards as D  # noqa: E402
-from access_lake.plans.quality_suite import run_checks  # noqa: E402
 
 
 @register("dq_not_null", O.with_ctes(["stg_facilities"], """
@@ -711,7 +717,6 @@ def q_global_row_number(spark, sf):
 
 
 # ------------------------------------------------------------ registry standardisation
-from access_lake.sources.standardise import standardise_registry  # noqa: E402
 
 REG_TS = "2025-05-01 02:00:00"
 REG_COLS = ["facility_id", "facility_code", "facility_name", "latitude", "longitude", "has_gps", "beds",
@@ -770,11 +775,7 @@ def q_date_parts(spark, sf):
 
 
 # ------------------------------------------------------------ landing round trips
-from datetime import date as _date, datetime as _dt  # noqa: E402
 
-from access_lake.session import work_dir  # noqa: E402
-from access_lake.sources import io as IO  # noqa: E402
-from access_lake.sources import schemas as S  # noqa: E402
 
 CENSUS_CTE = ("census AS (" + CENSUS_SQL.strip().replace("WITH per AS (", "SELECT * FROM (WITH per AS (", 1)
               + ") c)")
