@@ -848,3 +848,22 @@ FROM stg_facilities GROUP BY county_name"""))
 def q_weighted_score(spark, sf):
     """Capacity-weighted facility count per area (AGG-4)."""
     return agg.weighted_score(stg_fac(spark, sf))
+
+
+# ------------------------------------------------------------ streaming ingest
+@register("streaming_ingest", f"""
+WITH {CENSUS_CTE}
+SELECT *, '2025' AS year, '04' AS month, '01' AS day FROM census
+UNION ALL
+SELECT *, '2025' AS year, '05' AS month, '01' AS day FROM census""")
+def q_streaming_ingest(spark, sf):
+    """Two landings appended to a raw Parquet table by the file-stream
+    ingest (availableNow trigger, checkpointed), read back typed."""
+    from access_lake.streaming.landing_ingest import ingest_landing
+    base = work_dir(spark, "stream")
+    recs = _census(spark, sf)
+    IO.land(recs, f"{base}/landing", "population", _dt(2025, 4, 1))
+    ingest_landing(spark, f"{base}/landing", "population", f"{base}/raw", f"{base}/checkpoint")
+    IO.land(recs, f"{base}/landing", "population", _dt(2025, 5, 1))
+    ingest_landing(spark, f"{base}/landing", "population", f"{base}/raw", f"{base}/checkpoint")
+    return IO.raw_table(spark, f"{base}/raw", schema=S.with_partitions(S.POPULATION_RECORD))
