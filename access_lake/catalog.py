@@ -298,53 +298,15 @@ def q_first_of(spark, sf):
     return c.select("c_custkey", T.first_of([a, b], F.lit("unknown")).alias("first_value"))
 
 
-# census rows with the published header names, built from customer ⋈ nation
-def _census_raw(spark, sf) -> DataFrame:
-    cust = standin.table(spark, sf, "customer")
-    nation = standin.table(spark, sf, "nation")
-    cn = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
-    w = (F.lit(20000) + F.lit(7000) * F.col("n_nationkey") + F.col("c_custkey") % 997).cast("bigint")
-    per = (cn.groupBy("n_nationkey", "n_name", "n_regionkey")
-             .agg(F.sum(w).alias("p"), F.count(F.lit(1)).alias("h")))
-    name = F.replace(F.lower(F.col("n_name")), F.lit("_"), F.lit("-"))
-    pop_text = (F.when(F.col("n_regionkey") == 3, F.concat(F.col("p").cast("string"), F.lit(".0")))
-                 .when(F.col("n_regionkey") == 4, F.lit("0"))
-                 .otherwise(F.format_number(F.col("p"), 0)))
-    rows = per.select(
-        F.concat(F.lit(" "), name, F.lit(" ")).alias("County"),
-        F.col("n_nationkey").cast("string").alias("Code"),
-        pop_text.alias("Total_Population19"),
-        F.format_number((F.col("p") * 49) / 100, 0).alias("Male populatio 2019"),
-        F.col("h").cast("string").alias("Households"))
-    total = per.agg(F.sum("p").alias("p"), F.sum("h").alias("h")).select(
-        F.lit("Total").alias("County"), F.lit("").alias("Code"),
-        F.format_number(F.col("p"), 0).alias("Total_Population19"),
-        F.lit("").alias("Male populatio 2019"), F.col("h").cast("string").alias("Households"))
-    return rows.unionByName(total)
-
-
-CENSUS_SQL = f"""
-WITH per AS (
-  SELECT n_nationkey, n_name, n_regionkey,
-         CAST(sum(CAST(20000 + 7000 * n_nationkey + c_custkey % 997 AS BIGINT)) AS BIGINT) AS p,
-         count(*) AS h
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
-  GROUP BY n_nationkey, n_name, n_regionkey
-)
-SELECT CAST(n_nationkey AS VARCHAR) AS county_code,
-       {O.title_sql("replace(lower(n_name), '_', '-')")} AS county_name,
-       '' AS sub_county, p AS population,
-       CAST(round(p * 49 / 100) AS INTEGER) AS male, 0 AS female, CAST(h AS INTEGER) AS households,
-       2019 AS census_year, TIMESTAMP '2019-08-24 00:00:00' AS ingested_at
-FROM per WHERE n_regionkey < 3"""
-
-
-@register("census_standardise", CENSUS_SQL)
+
+
+
+@register("census_standardise", O.CENSUS_SQL)
 def q_census_standardise(spark, sf):
     """Census standardisation on rows with drifting header names: alias
     columns, thousands separators, rejected fractions, zero and total rows,
     title case (STD-4, STD-11..15)."""
-    return standardise_census(_census_raw(spark, sf), standin.STANDIN_CENSUS_TS)
+    return standardise_census(standin.census_rows(spark, sf), standin.STANDIN_CENSUS_TS)
 
 
 GEO_TS = "2024-06-01 00:00:00"
@@ -777,12 +739,12 @@ def q_date_parts(spark, sf):
 # ------------------------------------------------------------ landing round trips
 
 
-CENSUS_CTE = ("census AS (" + CENSUS_SQL.strip().replace("WITH per AS (", "SELECT * FROM (WITH per AS (", 1)
+CENSUS_CTE = ("census AS (" + O.CENSUS_SQL.strip().replace("WITH per AS (", "SELECT * FROM (WITH per AS (", 1)
               + ") c)")
 
 
 def _census(spark, sf):
-    return standardise_census(_census_raw(spark, sf), standin.STANDIN_CENSUS_TS)
+    return standardise_census(standin.census_rows(spark, sf), standin.STANDIN_CENSUS_TS)
 
 
 @register("landing_roundtrip", f"""

@@ -362,3 +362,20 @@ DEPS.update({
     "snapshots": [],
     "history": ["snapshots"],
 })
+
+
+# census standardisation over rows built from customer ⋈ nation
+CENSUS_SQL = f"""
+WITH per AS (
+  SELECT n_nationkey, n_name, n_regionkey,
+         CAST(sum(CAST(20000 + 7000 * n_nationkey + c_custkey % 997 AS BIGINT)) AS BIGINT) AS p,
+         count(*) AS h
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
+  GROUP BY n_nationkey, n_name, n_regionkey
+)
+SELECT CAST(n_nationkey AS VARCHAR) AS county_code,
+       {title_sql("replace(lower(n_name), '_', '-')")} AS county_name,
+       '' AS sub_county, p AS population,
+       CAST(round(p * 49 / 100) AS INTEGER) AS male, 0 AS female, CAST(h AS INTEGER) AS households,
+       2019 AS census_year, TIMESTAMP '2019-08-24 00:00:00' AS ingested_at
+FROM per WHERE n_regionkey < 3"""

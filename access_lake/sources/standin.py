@@ -264,3 +264,31 @@ def registry_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         infra.alias("infrastructure_names"),
         F.col("county_name"), F.col("sub_county_name"), F.col("ward_name"),
         F.col("operation_status").alias("operation_status_name"))
+
+
+@per_session
+def census_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Census rows as published, with drifting header names, one per nation
+    plus a Total row: populations with thousands separators, a fractional
+    text (rejected) for region 3 and zero for region 4."""
+    cust = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
+    cn = cust.join(nation, cust.c_nationkey == nation.n_nationkey)
+    w = (F.lit(20000) + F.lit(7000) * F.col("n_nationkey") + F.col("c_custkey") % 997).cast("bigint")
+    per = (cn.groupBy("n_nationkey", "n_name", "n_regionkey")
+             .agg(F.sum(w).alias("p"), F.count(F.lit(1)).alias("h")))
+    name = F.replace(F.lower(F.col("n_name")), F.lit("_"), F.lit("-"))
+    pop_text = (F.when(F.col("n_regionkey") == 3, F.concat(F.col("p").cast("string"), F.lit(".0")))
+                 .when(F.col("n_regionkey") == 4, F.lit("0"))
+                 .otherwise(F.format_number(F.col("p"), 0)))
+    rows = per.select(
+        F.concat(F.lit(" "), name, F.lit(" ")).alias("County"),
+        F.col("n_nationkey").cast("string").alias("Code"),
+        pop_text.alias("Total_Population19"),
+        F.format_number((F.col("p") * 49) / 100, 0).alias("Male populatio 2019"),
+        F.col("h").cast("string").alias("Households"))
+    total = per.agg(F.sum("p").alias("p"), F.sum("h").alias("h")).select(
+        F.lit("Total").alias("County"), F.lit("").alias("Code"),
+        F.format_number(F.col("p"), 0).alias("Total_Population19"),
+        F.lit("").alias("Male populatio 2019"), F.col("h").cast("string").alias("Households"))
+    return rows.unionByName(total)
