@@ -376,6 +376,6 @@ WITH per AS (
 SELECT CAST(n_nationkey AS VARCHAR) AS county_code,
        {title_sql("replace(lower(n_name), '_', '-')")} AS county_name,
        '' AS sub_county, p AS population,
-       CAST(round(p * 49 / 100) AS INTEGER) AS male, 0 AS female, CAST(h AS INTEGER) AS households,
+       CAST(p * 49 // 100 AS INTEGER) AS male, 0 AS female, CAST(h AS INTEGER) AS households,
        2019 AS census_year, TIMESTAMP '2019-08-24 00:00:00' AS ingested_at
 FROM per WHERE n_regionkey < 3"""

@@ -285,7 +285,7 @@ def census_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" "), name, F.lit(" ")).alias("County"),
         F.col("n_nationkey").cast("string").alias("Code"),
         pop_text.alias("Total_Population19"),
-        F.format_number((F.col("p") * 49) / 100, 0).alias("Male populatio 2019"),
+        F.format_number(F.expr("p * 49 div 100"), 0).alias("Male populatio 2019"),
         F.col("h").cast("string").alias("Households"))
     total = per.agg(F.sum("p").alias("p"), F.sum("h").alias("h")).select(
         F.lit("Total").alias("County"), F.lit("").alias("Code"),
