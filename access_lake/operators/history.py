@@ -55,6 +55,9 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, at: str,
     snapshot, or any check column changes; it ends at the next snapshot
     after its last row (NULL when that row is in the latest snapshot).
     Same semantics as applying :func:`scd2_apply` snapshot by snapshot.
+
+    Input contract: at most one row per (key, snapshot time), as a full
+    snapshot has (deduplicate with :func:`latest_per_key` first otherwise).
     """
     cal = bounded_broadcast(snapshot_calendar(snapshots, at), MAX_BROADCAST_DATES)
     rows = snapshots.join(cal, at)
