@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substring_dedup
+from . import simhash_tiles, substring_dedup
 from .common import table
 
 QUERIES: dict = {}
@@ -22,3 +22,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each text left after cutting every repeated 35-word window."""
     found = substring_dedup.repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of each document."""
+    found = simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
