@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash_tiles, substring_dedup
+from . import quality_forest, simhash_tiles, substring_dedup
 from .common import table
 
 QUERIES: dict = {}
@@ -29,3 +29,12 @@ def op10_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of each document."""
     found = simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics and verdict on each document."""
+    docs = table(spark, sf_dir, "documents")
+    forest = quality_forest.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_forest.verdicts(docs, forest).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
