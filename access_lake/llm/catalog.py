@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_forest, simhash_tiles, substring_dedup
+from . import conflict_packing, license_scan, quality_forest, sharding, simhash_tiles, substring_dedup
 from .common import table
 
 QUERIES: dict = {}
@@ -38,3 +38,22 @@ def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     forest = quality_forest.fit(docs, table(spark, sf_dir, "labels"))
     return quality_forest.verdicts(docs, forest).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
+
+
+@query
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of equal bytes."""
+    return sharding.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op4_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into bins of 2048 words without conflicts."""
+    return conflict_packing.pack(conflict_packing.measure(table(spark, sf_dir, "documents")))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and fuzzy notices in each document."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
