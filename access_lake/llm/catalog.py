@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conflict_packing, license_scan, quality_forest, sharding, simhash_tiles, substring_dedup
+from . import conflict_packing, license_scan, quality_forest, sharding, simhash_tiles, substring_dedup, token_packing
 from .common import table
 
 QUERIES: dict = {}
@@ -57,3 +57,9 @@ def op4_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and fuzzy notices in each document."""
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, packed into rows of 2048."""
+    return token_packing.pack(table(spark, sf_dir, "documents"))
