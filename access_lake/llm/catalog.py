@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conflict_packing, license_scan, quality_forest, sharding, simhash_tiles, substring_dedup, token_packing
-from .common import table
+from . import conflict_packing, license_scan, quality_forest, sharding, simhash_tiles, substring_dedup, token_packing, warc_convert
+from .common import shared_dir, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +63,22 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, packed into rows of 2048."""
     return token_packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_warc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages archived as ARC, converted to WARC, and read back."""
+    arc, warc = shared_dir(spark, "arc"), shared_dir(spark, "warc")
+    warc_convert.write_arc(table(spark, sf_dir, "pages"), arc)
+    warc_convert.convert(spark, arc, warc)
+    found = warc_convert.resolved(warc_convert.read_warc(spark, warc, with_payload=False))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op8_warc_convert"] = """
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
+FROM (SELECT page_id, digest, n, min(page_id) OVER (PARTITION BY digest) AS first
+      FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha256(coalesce(html, '')) AS digest FROM pages))
+"""
