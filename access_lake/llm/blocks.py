@@ -95,9 +95,9 @@ def answer(entries: DataFrame, f: Callable[[list[tuple]], list[tuple]]) -> DataF
 def with_answers(blocks: DataFrame, answers: DataFrame, f: Callable[[int, pa.Table, dict], pa.Table], schema: str) -> DataFrame:
     """Run ``f(block, sorted rows, {(kind, grp): bytes})`` on each block."""
     def run(t: pa.Table, a: pa.Table) -> pa.Table:
-        if t.num_rows == 0:
-            return f(-1, t, {})
         got = {(k, g): d for k, g, d in zip(a.column("kind").to_pylist(), a.column("grp").to_pylist(), a.column("data").to_pylist())}
+        if t.num_rows == 0:  # statistics, addressed to no block
+            return f(-1, t, got)
         return f(t.column("block")[0].as_py(), sorted_block(t), got)
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conflict_packing, license_scan, quality_forest, sharding, simhash_tiles, substring_dedup, token_packing, warc_convert
+from . import conflict_packing, license_scan, ngram_lm, quality_forest, sharding, simhash_tiles, substring_dedup, token_packing, warc_convert
 from .common import shared_dir, table
 
 QUERIES: dict = {}
@@ -82,3 +82,9 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
 FROM (SELECT page_id, digest, n, min(page_id) OVER (PARTITION BY digest) AS first
       FROM (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha256(coalesce(html, '')) AS digest FROM pages))
 """
+
+
+@query
+def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bigram model learned from the training folds, on all documents."""
+    return ngram_lm.score(table(spark, sf_dir, "documents"))

@@ -40,29 +40,15 @@ from pyspark.sql import types as T
 
 from . import blocks as B
 from .common import pieces, text_bytes
-from .words import SpanHash, spans, slices, text_buffer, window_hash, word_ends
+from .words import hashed_words, spans, window_hash, word_ends
 
 WIDTH = 35
 PREFIX = 12  #: words of the first prefix; the next symbols take 12 and 11
 CROWDED = 2_000  #: blocks that may share a prefix before it is lengthened
-SCAN_BYTES = 4 << 20
 
 U, U32 = np.uint64, np.uint32
 
 
-def hashed_words(texts) -> tuple[np.ndarray, np.ndarray]:
-    """Word fingerprints of a column of texts, and words per text."""
-    buf, offsets = text_buffer(texts)
-    span_hash, hashes, counts = SpanHash(), [], []
-    for lo, hi in slices(np.diff(offsets), SCAN_BYTES):
-        part, at = buf[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
-        starts, ends, n = spans(part, at)
-        hashes.append(span_hash(part, starts, ends))
-        counts.append(n)
-    none = np.zeros(0, np.int64)
-    return np.concatenate([np.zeros(0, U), *hashes]), np.concatenate([none, *counts]).astype(np.int64)
-
-
 def suffixes(h: np.ndarray, counts: np.ndarray, width: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Starts of full windows, and their symbols (32-bit) from left to right,
     preceded by the 64-bit fingerprint of the first symbol."""

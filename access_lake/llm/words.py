@@ -18,6 +18,9 @@ SEGMENT = 1 << 20
 
 SEPARATORS = np.zeros(256, dtype=bool)
 SEPARATORS[[9, 10, 11, 12, 13, 32]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+SCAN_BYTES = 4 << 20  #: bytes whose positions are expanded at once
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -152,3 +155,18 @@ def slices(sizes: np.ndarray, most: int) -> list[tuple[int, int]]:
     if lo < len(sizes):
         out.append((lo, len(sizes)))
     return out
+
+
+def hashed_words(texts, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Word fingerprints of a column of texts, and words per text; with
+    ``lower``, of the texts with A-Z lower-cased."""
+    buf, offsets = text_buffer(texts)
+    span_hash, hashes, counts = SpanHash(), [], []
+    for lo, hi in slices(np.diff(offsets), SCAN_BYTES):
+        part, at = buf[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
+        part = LOWER[part] if lower else part
+        starts, ends, n = spans(part, at)
+        hashes.append(span_hash(part, starts, ends))
+        counts.append(n)
+    none = np.zeros(0, np.int64)
+    return np.concatenate([np.zeros(0, U), *hashes]), np.concatenate([none, *counts]).astype(np.int64)
