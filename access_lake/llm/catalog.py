@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conflict_packing, license_scan, ngram_lm, quality_forest, sharding, simhash_tiles, substring_dedup, token_packing, warc_convert
+from . import conflict_packing, decontamination, license_scan, ngram_lm, quality_forest, sharding, simhash_tiles, substring_dedup, token_packing, warc_convert
 from .common import shared_dir, table
 
 QUERIES: dict = {}
@@ -88,3 +88,9 @@ FROM (SELECT page_id, digest, n, min(page_id) OVER (PARTITION BY digest) AS firs
 def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bigram model learned from the training folds, on all documents."""
     return ngram_lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in documents, up to two substitutions in 13 words."""
+    return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
