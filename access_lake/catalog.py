@@ -380,8 +380,8 @@ HIST_COLS = SNAP_COLS + ["valid_from", "valid_to", "is_deleted", "scd_id", "upda
 
 def history_of(spark, sf) -> DataFrame:
     snaps = standin.daily_snapshots(spark, sf)
-    return H.scd2_from_snapshots(snaps, standin.SNAPSHOT_KEY, "snapshot_at",
-                                 standin.SNAPSHOT_CHECK_COLUMNS).select(*HIST_COLS)
+    return H.scd2_from_snapshots(snaps, standin.SNAPSHOT_KEY, "snapshot_at", standin.SNAPSHOT_CHECK_COLUMNS,
+                                 standin.snapshot_days(spark, sf)).select(*HIST_COLS)
 
 
 @register("scd2_build", O.with_ctes(["history"], "SELECT * FROM history"))
@@ -394,11 +394,11 @@ def q_scd2_build(spark, sf):
 def q_scd2_apply(spark, sf):
     """History of all but the last snapshot, then the last snapshot applied
     incrementally (SCD-1); equals the one-job rebuild."""
-    snaps = standin.daily_snapshots(spark, sf)
-    last = snaps.agg(F.max("snapshot_at")).first()[0]
-    before = H.scd2_from_snapshots(snaps.filter(F.col("snapshot_at") < F.lit(last)),
-                                   standin.SNAPSHOT_KEY, "snapshot_at",
-                                   standin.SNAPSHOT_CHECK_COLUMNS).select(*HIST_COLS)
+    snaps, days = standin.daily_snapshots(spark, sf), standin.snapshot_days(spark, sf)
+    last = days.agg(F.max("snapshot_at")).first()[0]
+    earlier = F.col("snapshot_at") < F.lit(last)
+    before = H.scd2_from_snapshots(snaps.filter(earlier), standin.SNAPSHOT_KEY, "snapshot_at",
+                                   standin.SNAPSHOT_CHECK_COLUMNS, days.filter(earlier)).select(*HIST_COLS)
     newest = snaps.filter(F.col("snapshot_at") == F.lit(last)).drop("snapshot_at")
     return H.scd2_apply(before, newest, standin.SNAPSHOT_KEY, standin.SNAPSHOT_CHECK_COLUMNS,
                         last).select(*HIST_COLS)
@@ -423,19 +423,19 @@ PERIOD = ("2024-01-08 00:00:00", "2024-01-21 00:00:00")
 
 
 @register("flag_transitions", O.with_ctes(["history"], f"""
-SELECT h.user_id, h.valid_from AS changed_at, p.is_high AS prev_is_high, h.is_high,
-       CASE WHEN h.is_high THEN 'gained' ELSE 'lost' END AS change
-FROM history h JOIN history p ON p.user_id = h.user_id AND p.valid_to = h.valid_from
-WHERE h.valid_from BETWEEN TIMESTAMP '{PERIOD[0]}' AND TIMESTAMP '{PERIOD[1]}'
-  AND p.is_high IS DISTINCT FROM h.is_high"""))
+SELECT user_id, valid_from AS changed_at, prev_is_high, is_high,
+       CASE WHEN is_high THEN 'gained' ELSE 'lost' END AS change
+FROM {O.previous_sql('history', 'user_id', 'is_high')}
+WHERE valid_from BETWEEN TIMESTAMP '{PERIOD[0]}' AND TIMESTAMP '{PERIOD[1]}'
+  AND coalesce(prev_is_high, false) <> coalesce(is_high, false)"""))
 def q_flag_transitions(spark, sf):
     return H.flag_transitions(history_of(spark, sf), "user_id", "is_high", *PERIOD)
 
 
-@register("type_transitions", O.with_ctes(["history"], """
-SELECT h.user_id, h.valid_from AS changed_at, p.event_type AS prev_event_type, h.event_type
-FROM history h JOIN history p ON p.user_id = h.user_id AND p.valid_to = h.valid_from
-WHERE p.event_type = 'view' AND h.event_type = 'purchase'"""))
+@register("type_transitions", O.with_ctes(["history"], f"""
+SELECT user_id, valid_from AS changed_at, prev_event_type, event_type
+FROM {O.previous_sql('history', 'user_id', 'event_type')}
+WHERE prev_event_type = 'view' AND event_type = 'purchase'"""))
 def q_type_transitions(spark, sf):
     return H.type_transitions(history_of(spark, sf), "user_id", "event_type", "view", "purchase")
 
@@ -479,6 +479,89 @@ def q_net_change(spark, sf):
     return H.net_change(history_of(spark, sf), "event_type", *PERIOD)
 
 
+# ------------------------------------------------------------ facility history
+
+FACILITY_HISTORY_COLS = ["facility_id", *O.FACILITY_HISTORY_DATA, *H.VERSION_COLUMNS]
+
+
+def facility_history_of(spark, sf) -> DataFrame:
+    return H.scd2_from_snapshots(standin.facility_months(spark, sf), fixed.HISTORY_KEY, "snapshot_at",
+                                 fixed.HISTORY_CHECK_COLUMNS,
+                                 standin.facility_month_times(spark, sf)).select(*FACILITY_HISTORY_COLS)
+
+
+@register("facility_history", O.with_ctes(["facility_history"],
+          f"SELECT {', '.join(FACILITY_HISTORY_COLS)} FROM facility_history"))
+def q_facility_history(spark, sf):
+    """All versions over the product's 12 check columns, from every month's
+    landing; facilities leave and return, one flag is NULL at times (MDL-8)."""
+    return facility_history_of(spark, sf)
+
+
+@register("facility_history_step", O.with_ctes(["facility_history"],
+          f"SELECT {', '.join(FACILITY_HISTORY_COLS)} FROM facility_history"))
+def q_facility_history_step(spark, sf):
+    """The same history, its last month applied by the product's monthly
+    step instead (SCD-1, SCD-2, MDL-8)."""
+    snaps, times = standin.facility_months(spark, sf), standin.facility_month_times(spark, sf)
+    last = times.agg(F.max("snapshot_at")).first()[0]
+    earlier = F.col("snapshot_at") < F.lit(last)
+    before = H.scd2_from_snapshots(snaps.filter(earlier), fixed.HISTORY_KEY, "snapshot_at",
+                                   fixed.HISTORY_CHECK_COLUMNS, times.filter(earlier))
+    newest = snaps.filter(F.col("snapshot_at") == F.lit(last)).drop("snapshot_at")
+    return H.scd2_facilities(before, newest, last).select(*FACILITY_HISTORY_COLS)
+
+
+@register("facility_current", O.with_ctes(["facility_history"], f"""
+SELECT {', '.join(FACILITY_HISTORY_COLS)} FROM facility_history WHERE valid_to IS NULL"""))
+def q_facility_current(spark, sf):
+    return H.current(facility_history_of(spark, sf))
+
+
+FACILITY_AS_OF = "1996-06-15 00:00:00"
+FACILITY_PERIOD = ("1995-01-01 00:00:00", "1997-12-31 00:00:00")
+
+
+@register("facility_as_of", O.with_ctes(["facility_history"], f"""
+SELECT {', '.join(FACILITY_HISTORY_COLS)} FROM facility_history
+WHERE valid_from <= TIMESTAMP '{FACILITY_AS_OF}' AND (valid_to IS NULL OR TIMESTAMP '{FACILITY_AS_OF}' < valid_to)"""))
+def q_facility_as_of(spark, sf):
+    return H.as_of(facility_history_of(spark, sf), FACILITY_AS_OF)
+
+
+@register("facility_flag_changes", O.with_ctes(["facility_history"], f"""
+SELECT facility_id, valid_from AS changed_at, prev_has_outpatient, has_outpatient,
+       CASE WHEN has_outpatient THEN 'gained' ELSE 'lost' END AS change
+FROM {O.previous_sql('facility_history', 'facility_id', 'has_outpatient')}
+WHERE valid_from BETWEEN TIMESTAMP '{FACILITY_PERIOD[0]}' AND TIMESTAMP '{FACILITY_PERIOD[1]}'
+  AND coalesce(prev_has_outpatient, false) <> coalesce(has_outpatient, false)"""))
+def q_facility_flag_changes(spark, sf):
+    """Outpatient service gained and lost; NULL and false are no change,
+    a change across an absence is one (SCD-6)."""
+    return H.flag_transitions(facility_history_of(spark, sf), "facility_id", "has_outpatient", *FACILITY_PERIOD)
+
+
+@register("facility_status_changes", O.with_ctes(["facility_history"], f"""
+SELECT facility_id, valid_from AS changed_at, prev_operation_status, operation_status
+FROM {O.previous_sql('facility_history', 'facility_id', 'operation_status')}
+WHERE prev_operation_status = 'Closed' AND operation_status = 'Operational'"""))
+def q_facility_status_changes(spark, sf):
+    """Facilities that reopened (SCD-10)."""
+    return H.type_transitions(facility_history_of(spark, sf), "facility_id", "operation_status", "Closed", "Operational")
+
+
+@register("facility_net_change", O.with_ctes(["facility_history"], f"""
+SELECT coalesce(a.county_name, b.county_name) AS county_name, coalesce(a.n, 0) AS count_start, coalesce(b.n, 0) AS count_end,
+       coalesce(b.n, 0) - coalesce(a.n, 0) AS net_change
+FROM (SELECT county_name, count(*) AS n FROM facility_history WHERE valid_from <= TIMESTAMP '{FACILITY_PERIOD[0]}'
+        AND (valid_to IS NULL OR TIMESTAMP '{FACILITY_PERIOD[0]}' < valid_to) GROUP BY county_name) a
+FULL OUTER JOIN (SELECT county_name, count(*) AS n FROM facility_history WHERE valid_from <= TIMESTAMP '{FACILITY_PERIOD[1]}'
+        AND (valid_to IS NULL OR TIMESTAMP '{FACILITY_PERIOD[1]}' < valid_to) GROUP BY county_name) b
+ON a.county_name = b.county_name"""))
+def q_facility_net_change(spark, sf):
+    return H.net_change(facility_history_of(spark, sf), "county_name", *FACILITY_PERIOD)
+
+
 # ------------------------------------------------------------ data quality
 
 
@@ -576,6 +659,30 @@ def q_dq_report(spark, sf):
     return run_checks(models)
 
 
+@register("dq_empty", """
+SELECT 'mart_county_density' AS model, c."check", c.column_name, CAST(c.failures AS BIGINT) AS failures
+FROM (VALUES ('not_null', 'county_name', 0), ('unique', 'county_name', 0), ('row_count', '*', 1)) c("check", column_name, failures)""")
+def q_dq_empty(spark, sf):
+    """The checks of a mart that came out empty: nothing is NULL or double,
+    but the row count must fail (DQ-4)."""
+    density = q_mart_density(spark, sf)
+    return Q.model_report(density.filter(F.lower("county_name") != F.lower("county_name")), "mart_county_density",
+                          ["county_name"], unique="county_name", row_count=fixed.EXPECTED_AREA_COUNT)
+
+
+@register("dq_gate", f"""
+SELECT CAST(count(*) AS BIGINT) AS checks, CAST(count(*) FILTER (WHERE failures > 0) AS BIGINT) AS failed,
+       coalesce(string_agg(model || '.' || column_name || ' ' || "check" || ' (' || failures || ')', ', '
+                  ORDER BY model || '.' || column_name || ' ' || "check" || ' (' || failures || ')')
+                FILTER (WHERE failures > 0), '') AS failures,
+       count(*) FILTER (WHERE failures > 0) = 0 AS passed
+FROM ({_dq_report_sql()}) r""")
+def q_dq_gate(spark, sf):
+    """The gate over the 30 checks: the stand-in areas are not 47, so it
+    stays shut (DQ-6)."""
+    return Q.gate_verdict(q_dq_report(spark, sf))
+
+
 # ------------------------------------------------------------ dashboards
 @register("dash_density", O.with_ctes(["density"], """
 SELECT county_name, avg(facilities_per_10k) AS avg_facilities_per_10k FROM density GROUP BY county_name"""))
@@ -681,21 +788,36 @@ def q_global_row_number(spark, sf):
 # ------------------------------------------------------------ registry standardisation
 
 REG_TS = "2025-05-01 02:00:00"
-REG_COLS = ["facility_id", "facility_code", "facility_name", "latitude", "longitude", "has_gps", "beds",
-            "service_names", *fixed.SERVICE_KEYWORDS, "infrastructure", "has_electricity", "has_water",
-            "operation_status", "closed", "ingested_at"]
+REG_COLS = [f.name for f in S.FACILITY_RECORD.fields]
 
 
-def _registry_sql() -> str:
+def _registry_records(extra: str = "") -> str:
+    """The 43-field records of the stand-in registry, as CTE ``records``."""
     svc = [("has_maternity", "Maternity Services"), ("has_art", "ART"), ("has_tb", "TB Screening"),
            ("has_emergency", "Emergency"), ("has_outpatient", "Out-patient")]
     lst = "list_filter([" + ", ".join(f"CASE WHEN {f} THEN '{n}' END" for f, n in svc) + "], lambda x: x IS NOT NULL)"
     first = "coalesce(" + ", ".join(f"CASE WHEN {f} THEN '{n}' END" for f, n in svc) + ")"
-    flags = []
+    columns = {c: "''" for c in ["official_name", "registration_number", "keph_level", "facility_type",
+                                 "facility_type_category", "owner", "owner_type", "regulatory_body",
+                                 "constituency_name", "admission_status"]}
+    columns |= {c: "false" for c in ["open_whole_day", "open_weekends", "open_public_holidays", "open_late_night",
+                                     "closed", "is_published"]}
+    columns |= {c: c for c in ["facility_id", "facility_name", "county_name", "sub_county_name", "ward_name",
+                               "latitude", "operation_status"]}
     for name, kws in fixed.SERVICE_KEYWORDS.items():
         conds = " OR ".join(f"contains(lower(array_to_string(svc, ' ')), '{k}')" for k in kws)
-        flags.append(f"coalesce({conds}, false) AS {name}")
-    return O.with_ctes(["raw_facilities"], f"""
+        columns[name] = f"coalesce({conds}, false)"
+    longitude = "(CASE WHEN line = 3 THEN CAST(0 AS DOUBLE) ELSE longitude END)"
+    columns |= {
+        "facility_code": "coalesce(facility_code, '')", "longitude": longitude,
+        "has_gps": f"latitude <> 0 AND {longitude} <> 0", "beds": "CAST(trunc(longitude / 1000) AS INTEGER)",
+        "cots": "0", "service_names": "array_to_string(svc, '|')", "infrastructure": "array_to_string(infra, '|')",
+        "has_electricity": "len(list_filter(infra, lambda x: contains(lower(x), 'grid') OR contains(lower(x), 'solar') "
+                           "OR contains(lower(x), 'electric'))) > 0",
+        "has_water": "len(list_filter(infra, lambda x: contains(lower(x), 'water'))) > 0",
+        "source": "'registry'", "ingested_at": f"TIMESTAMP '{REG_TS}'"}
+    select = ",\n       ".join(f"{columns[c]} AS {c}" for c in REG_COLS)
+    return f"""
 , reg AS (
   SELECT r.*, CAST(split_part(facility_id, '-', 2) AS INTEGER) AS line,
          CASE WHEN CAST(split_part(facility_id, '-', 2) AS INTEGER) = 1
@@ -703,29 +825,178 @@ def _registry_sql() -> str:
               ELSE {lst} END AS svc,
          CASE WHEN latitude > 5000 THEN ['Grid power', 'Piped Water']
               WHEN latitude > 0 THEN ['Solar'] ELSE [] END AS infra
-  FROM raw_facilities r)
-SELECT facility_id, coalesce(facility_code, '') AS facility_code, facility_name,
-       latitude,
-       CASE WHEN line = 3 THEN CAST(0 AS DOUBLE) ELSE longitude END AS longitude,
-       latitude <> 0 AND (CASE WHEN line = 3 THEN CAST(0 AS DOUBLE) ELSE longitude END) <> 0 AS has_gps,
-       CAST(trunc(longitude / 1000) AS INTEGER) AS beds,
-       array_to_string(svc, '|') AS service_names,
-       {", ".join(flags)},
-       array_to_string(infra, '|') AS infrastructure,
-       len(list_filter(infra, lambda x: contains(lower(x), 'grid') OR contains(lower(x), 'solar')
-                                        OR contains(lower(x), 'electric'))) > 0 AS has_electricity,
-       len(list_filter(infra, lambda x: contains(lower(x), 'water'))) > 0 AS has_water,
-       operation_status, false AS closed, TIMESTAMP '{REG_TS}' AS ingested_at
-FROM reg""")
-
-
-@register("registry_standardise", _registry_sql())
+  FROM raw_facilities r),
+records AS (
+SELECT {select}{extra}
+FROM reg)"""
+
+
+@register("registry_standardise", O.with_ctes(["raw_facilities"], _registry_records() + " SELECT * FROM records"))
 def q_registry_standardise(spark, sf):
-    """Registry results → standardised facility records (STD-1..10):
+    """Registry results → the 43-field facility records (STD-1..10):
     trimming, safe numbers, array-or-string services, keyword flags,
     flattening, infrastructure flags."""
-    rec = standardise_registry(standin.registry_results(spark, sf), REG_TS)
-    return rec.select(*REG_COLS)
+    return standardise_registry(standin.registry_results(spark, sf), REG_TS).select(*REG_COLS)
+
+
+# ------------------------------------------------------------ files
+
+def write_pages(results: DataFrame, path: str) -> None:
+    """Registry results as page files, one JSON page of about 100 results a
+    line, as the registry's pages are."""
+    paged = results.withColumn("_page", F.pmod(F.xxhash64("id"), F.lit(results.count() // 100 + 1)))
+    body = F.struct(F.count(F.lit(1)).alias("count"), F.lit(1).alias("total_pages"),
+                    F.collect_list(F.struct(*results.columns)).alias("results"))
+    paged.groupBy("_page").agg(F.to_json(body).alias("value")).select("value").write.text(path)
+
+
+def write_feature_lines(features: DataFrame, path: str) -> None:
+    """Features as line-delimited GeoJSON in the order of ``pos``."""
+    props = F.to_json(F.struct(*[c for c in features.columns if c not in ("pos", "geometry")]))
+    value = F.concat(F.lit('{"type":"Feature","properties":'), props, F.lit(',"geometry":'),
+                     F.coalesce("geometry", F.lit("null")), F.lit("}"))
+    features.repartitionByRange(4, "pos").sortWithinPartitions("pos").select(value.alias("value")).write.text(path)
+
+
+@register("registry_pages", O.with_ctes(["raw_facilities"], _registry_records() + " SELECT * FROM records"))
+def q_registry_pages(spark, sf):
+    """The registry's results written as page files, read back by the page
+    reader and standardised (SRC-1)."""
+    path = work_dir(spark, "pages")
+    write_pages(standin.registry_results(spark, sf), path)
+    return standardise_registry(IO.read_registry_pages(spark, path), REG_TS).select(*REG_COLS)
+
+
+@register("census_csv", O.CENSUS_SQL)
+def q_census_csv(spark, sf):
+    """Census rows written as CSV with their drifting headers, read back and
+    standardised (SRC-2)."""
+    path = work_dir(spark, "census")
+    standin.census_rows(spark, sf).write.option("header", True).csv(path)
+    return standardise_census(IO.read_census_csv(spark, path), standin.STANDIN_CENSUS_TS)
+
+
+@register("features_file", O.with_ctes(["geodata"], "SELECT * FROM geodata"))
+def q_features_file(spark, sf):
+    """Boundary features written as files of GeoJSON lines, read back in
+    file order and rolled up (SRC-3, AGG-11)."""
+    path = work_dir(spark, "features")
+    write_feature_lines(standin.raw_features(spark, sf), path)
+    return standardise_features(IO.read_feature_lines(spark, path), GEO_TS)
+
+
+@register("seed_csv", O.with_ctes(["seed"], """
+SELECT *, CAST(round(population_2019 * pow(1 + growth_rate, projection_year - census_year)) AS BIGINT) AS projected
+FROM seed"""))
+def q_seed_csv(spark, sf):
+    """The seed dimension written as CSV and read back with fixed types
+    (SRC-6, MDL-9)."""
+    path = work_dir(spark, "seed")
+    standin.subarea_seed(spark, sf).write.option("header", True).csv(path)
+    seed = IO.read_seed(spark, path)
+    return seed.withColumn("projected", N.project_population("population_2019", "growth_rate",
+                                                             F.col("projection_year") - F.col("census_year")))
+
+
+@register("landing_registry", O.with_ctes(["raw_facilities"], _registry_records() + """
+SELECT *, '2025' AS year, '05' AS month, '01' AS day FROM records"""))
+def q_landing_registry(spark, sf):
+    """Every standardised registry record landed twice on one day (the
+    second landing replaces the first), ingested after each landing and read
+    from the raw table (SNK-1, SRC-4, SRC-5)."""
+    from access_lake.streaming.landing_ingest import ingest_landing
+    base = work_dir(spark, "landing")
+    recs = standardise_registry(standin.registry_results(spark, sf), REG_TS).select(*REG_COLS)
+    for version in (recs.withColumn("beds", F.col("beds") + 1), recs):
+        IO.land(version, f"{base}/landing", "facilities", _dt(2025, 5, 1))
+        ingest_landing(spark, f"{base}/landing", "facilities", f"{base}/raw", f"{base}/checkpoint")
+    return IO.raw_table(spark, f"{base}/raw", schema=S.with_partitions(S.FACILITY_RECORD))
+
+
+# ------------------------------------------------------------ the monthly batch
+
+MONTHS = [_dt(2025, 1, 1, 2), _dt(2025, 2, 1, 2)]
+MONTH_SPLIT = "1995-06-01 00:00:00"
+_TIES = ", ".join(f"{c} ASC NULLS LAST" for c in staging.STG_FACILITY_COLUMNS if c not in ("facility_id", "ingested_at"))
+_CHANGED = " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in fixed.HISTORY_CHECK_COLUMNS)
+_FAC = ", ".join(staging.STG_FACILITY_COLUMNS)
+
+
+def _month_sql() -> str:
+    stage = f"""SELECT {_FAC} FROM (
+  SELECT * REPLACE (%s AS ingested_at, CASE WHEN lower(facility_type) LIKE '%%hospital%%' THEN 'Hospital' ELSE 'Other' END AS facility_type),
+         row_number() OVER (PARTITION BY facility_id ORDER BY %s DESC, {_TIES}) AS rn
+  FROM records WHERE lower(operation_status) = 'operational' AND %s) t WHERE rn = 1"""
+    m1, m2 = (f"TIMESTAMP '{m}'" for m in MONTHS)
+    early = f"shipped < TIMESTAMP '{MONTH_SPLIT}'"
+    landed = f"CASE WHEN {early} THEN {m1} ELSE {m2} END"
+    version = "md5(facility_id || '|' || CAST(%s AS VARCHAR)) AS scd_id"
+    b = ", ".join(f"b.{c}" for c in staging.STG_FACILITY_COLUMNS)
+    a = ", ".join(f"a.{c}" for c in staging.STG_FACILITY_COLUMNS)
+    return O.with_ctes(["raw_facilities"], _registry_records(",\n       reg.ingested_at AS shipped") + f"""
+, one AS ({stage % (m1, m1, early)}),
+two AS ({stage % (landed, landed, "true")}),
+pairs AS (SELECT a.facility_id AS a_id, b.facility_id AS b_id, ({_CHANGED}) AS changed
+          FROM one a FULL OUTER JOIN two b ON a.facility_id = b.facility_id)
+SELECT {a}, {m1} AS valid_from, CASE WHEN p.b_id IS NULL OR p.changed THEN {m2} END AS valid_to, p.b_id IS NULL AS is_deleted,
+       md5(a.facility_id || '|' || CAST({m1} AS VARCHAR)) AS scd_id, {m1} AS updated_at
+FROM one a JOIN pairs p ON p.a_id = a.facility_id
+UNION ALL
+SELECT {b}, {m2}, NULL, false, md5(b.facility_id || '|' || CAST({m2} AS VARCHAR)), {m2}
+FROM two b JOIN pairs p ON p.b_id = b.facility_id WHERE p.a_id IS NULL OR p.changed""")
+
+
+@register("month_batch", _month_sql())
+def q_month_batch(spark, sf):
+    """Two months of files through the whole batch, the second month retried
+    with the same date; the facility history that comes out (MDL-10)."""
+    from access_lake.plans.pipeline import MonthInputs, run_month
+    base = work_dir(spark, "month")
+    results = standin.registry_results(spark, sf)
+    early = F.col("shipped") < F.lit(MONTH_SPLIT).cast("timestamp_ntz")
+    shipped = standin.registry_results(spark, sf, True)
+    for k, part in enumerate([shipped.filter(early), shipped.filter(~early)]):
+        write_pages(part.select(*results.columns), f"{base}/pages{k}")
+    standin.census_rows(spark, sf).write.option("header", True).csv(f"{base}/census")
+    for k in (0, 1, 1):
+        run_month(spark, MonthInputs(registry_pages=f"{base}/pages{k}", census_csv=f"{base}/census"), f"{base}/lake",
+                  MONTHS[k], check=False)
+    return IO.read_latest(spark, f"{base}/lake/history").select(*staging.STG_FACILITY_COLUMNS, *H.VERSION_COLUMNS)
+
+
+# ------------------------------------------------------------ order of reports
+
+def _positions(df: DataFrame, *columns: str) -> DataFrame:
+    """The rows in the order they come out, numbered (area grain)."""
+    from pyspark.sql import Window
+    at = df.select(*columns, F.monotonically_increasing_id().alias("_at"))
+    return at.withColumn("position", F.row_number().over(Window.orderBy("_at")).cast("bigint")).drop("_at")
+
+
+@register("order_ranked", O.with_ctes(["underserved"], """
+SELECT county_name, underserved_rank, row_number() OVER (ORDER BY underserved_rank) AS position FROM underserved"""))
+def q_order_ranked(spark, sf):
+    """Worst first (SRT-1), with the place of each row in the output."""
+    from access_lake.operators.ranking import ranked
+    return _positions(ranked(q_mart_underserved(spark, sf)), "county_name", "underserved_rank")
+
+
+@register("order_by_name", O.with_ctes(["density"], """
+SELECT county_name, row_number() OVER (ORDER BY county_name) AS position FROM density"""))
+def q_order_by_name(spark, sf):
+    """Alphabetical (SRT-2), with the place of each row in the output."""
+    from access_lake.operators.ranking import by_name
+    return _positions(by_name(q_mart_density(spark, sf)), "county_name")
+
+
+@register("order_worst_first", O.with_ctes(["density"], """
+SELECT county_name, facilities_per_10k,
+       row_number() OVER (ORDER BY facilities_per_10k ASC NULLS LAST, county_name) AS position FROM density"""))
+def q_order_worst_first(spark, sf):
+    """Lowest metric first, NULLs last (SRT-3), with places."""
+    from access_lake.operators.ranking import worst_first
+    return _positions(worst_first(q_mart_density(spark, sf), "facilities_per_10k", "county_name"),
+                      "county_name", "facilities_per_10k")
 
 
 @register("date_parts", """
@@ -755,7 +1026,7 @@ def q_landing_roundtrip(spark, sf):
     (replaces), read back with an explicit schema (SNK-1..3, SRC-4)."""
     root = work_dir(spark, "landing")
     recs = _census(spark, sf)
-    IO.land(recs.limit(1), root, "population", _dt(2025, 5, 1))
+    IO.land(recs.withColumn("population", F.col("population") + 1), root, "population", _dt(2025, 5, 1))
     IO.land(recs, root, "population", _dt(2025, 5, 1))
     return IO.read_landing(spark, root, "population", S.POPULATION_RECORD)
 

@@ -14,16 +14,17 @@ from access_lake.functions.text import ColumnLike, col
 
 def safe_float(c: ColumnLike, default: float = 0.0) -> Column:
     """Text → double, anything unparsable or missing → default (STD-2).
-    'NaN' text stays NaN, as Python's float() keeps it."""
-    return F.coalesce(F.trim(col(c).cast("string")).try_cast("double"),
-                      F.lit(default))
+    'NaN' and 'inf' text stay, as Python's float() keeps them; Java's type
+    suffixes ('12d', '1.5F') are no numbers."""
+    text = F.trim(col(c).cast("string"))
+    return F.coalesce(F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast("double")), F.lit(default))
 
 
 def safe_int(c: ColumnLike, default: int = 0) -> Column:
-    """Text → int through a double, so '12.7' → 12 (STD-3)."""
-    return F.coalesce(
-        F.trim(col(c).cast("string")).try_cast("double").try_cast("int"),
-        F.lit(default))
+    """Text → int through a double, so '12.7' → 12 (STD-3); Java's type
+    suffixes are no numbers."""
+    text = F.trim(col(c).cast("string"))
+    return F.coalesce(F.when(~text.rlike("[0-9.][dDfF]$"), text.try_cast("double")).try_cast("int"), F.lit(default))
 
 
 def safe_int_commas(c: ColumnLike, default: int = 0, type_: str = "bigint") -> Column:
@@ -35,8 +36,10 @@ def safe_int_commas(c: ColumnLike, default: int = 0, type_: str = "bigint") -> C
 
 
 def truthy(c: ColumnLike) -> Column:
-    """Missing → false (STD-5)."""
-    return F.coalesce(col(c).cast("boolean"), F.lit(False))
+    """A payload value read as text → boolean (STD-5): missing, empty,
+    'false' and zero are false, any other value is true."""
+    text = F.lower(F.trim(col(c).cast("string")))
+    return F.coalesce(~text.isin("", "false", "0", "0.0"), F.lit(False))
 
 
 def has_gps(lat: ColumnLike, lon: ColumnLike) -> Column:
@@ -118,7 +121,3 @@ def severity_label(score: ColumnLike, labels: Iterable[tuple[int, str]] = fixed.
         out = F.when(src == threshold, F.lit(label)) if out is None else out.when(src == threshold, F.lit(label))
     return out if out is not None else F.lit(None).cast("string")
 
-
-def flag(cond: Column) -> Column:
-    """``case when cond then true else false end``: NULL → false (SCL-17)."""
-    return F.coalesce(cond, F.lit(False))

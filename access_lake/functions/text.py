@@ -85,13 +85,6 @@ def keyword_flags(array_col: ColumnLike,
             for name, kws in flags.items()]
 
 
-def text_flags(text_col: ColumnLike, flags: dict[str, list[str]]) -> list[Column]:
-    """Keyword flags over a whole text column (lower-cased once)."""
-    text = F.lower(col(text_col))
-    return [F.coalesce(contains_any(text, kws), F.lit(False)).alias(name)
-            for name, kws in flags.items()]
-
-
 def any_contains(array_col: ColumnLike, keywords: Iterable[str]) -> Column:
     """Any element contains any keyword, case-insensitive (STD-9). NULL
     elements yield NULL inside ``exists``, so the result is coalesced."""
@@ -109,12 +102,13 @@ def flatten_pipe(array_col: ColumnLike) -> Column:
 
 def as_array(text_col: ColumnLike) -> Column:
     """A field read as text that holds either a JSON array or a single
-    string → ``array<string>``; missing → empty array (STD-6)."""
+    string → ``array<string>``; missing → empty array (STD-6). A text that
+    begins like an array but is none is a single string."""
     c = col(text_col)
     empty = F.array().cast("array<string>")
     return (F.when(c.isNull() | (c == ""), empty)
             .when(F.ltrim(c).startswith("["),
-                  F.coalesce(F.from_json(c, "array<string>"), empty))
+                  F.coalesce(F.from_json(c, "array<string>", {"mode": "PERMISSIVE"}), F.array(c)))
             .otherwise(F.array(c)))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from access_lake.functions import fixed
 from access_lake.functions.numeric import count_if
 from access_lake.functions.text import ColumnLike, col
+from access_lake.operators.filters import having
 
 # default output names of the flag counts
 SERVICE_COUNT_NAMES = {
@@ -112,7 +113,7 @@ def subarea_counts(df: DataFrame, sub: str = "sub_county_name", type_col: str =
 def duplicate_keys(df: DataFrame, key: str | Sequence[str], out: str = "n") -> DataFrame:
     """Keys present more than once, with their count (AGG-8, DQ-5)."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).filter(F.col(out) > 1)
+    return having(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)), F.col(out) > 1)
 
 
 def avg_by(df: DataFrame, area: str, metrics: Sequence[str] | str,
@@ -139,4 +140,4 @@ def weighted_score(df: DataFrame, area: str = "county_name", type_col: str = "fa
 
 def row_count_not(df: DataFrame, n: int, out: str = "row_count") -> DataFrame:
     """Global count with HAVING ``!= n`` (AGG-9): one row when it differs."""
-    return df.agg(F.count(F.lit(1)).alias(out)).filter(F.col(out) != n)
+    return having(df.agg(F.count(F.lit(1)).alias(out)), F.col(out) != n)

@@ -4,12 +4,11 @@ Version columns: ``valid_from``, ``valid_to`` (NULL = current),
 ``is_deleted`` (closed because the key left the source), ``scd_id`` =
 md5(key|valid_from) and ``updated_at`` = ``valid_from``.
 
-Scale notes. ``scd2_from_snapshots`` windows by key: a key holds at most
-one row per snapshot date (snapshots are deduplicated per key and date
-first, with a two-phase ``WindowGroupLimit``), so a window partition is
-bounded by the number of snapshot runs, not by the data. Transition queries
-use an equi-join on ``(key, valid_to = valid_from)`` rather than ``lag``, so
-even a key with very many versions spreads over tasks.
+Scale notes. Windows run by key: a key holds at most one row per snapshot
+date (snapshots are deduplicated per key and date first, with a two-phase
+``WindowGroupLimit``), so a window partition is bounded by the number of
+snapshot runs, not by the data. Every window looks one row back or ahead, so
+the work is linear in a key's rows.
 """
 
 from __future__ import annotations
@@ -21,11 +20,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from access_lake.operators.joins import bounded_broadcast
-
 VERSION_COLUMNS = ["valid_from", "valid_to", "is_deleted", "scd_id", "updated_at"]
-# snapshot calendars above this many dates are joined without a broadcast
-MAX_BROADCAST_DATES = 100_000
 
 
 def _scd_id(key: str, at: Column) -> Column:
@@ -48,7 +43,7 @@ def snapshot_calendar(snapshots: DataFrame, at: str) -> DataFrame:
 
 
 def scd2_from_snapshots(snapshots: DataFrame, key: str, at: str,
-                        check_cols: Sequence[str]) -> DataFrame:
+                        check_cols: Sequence[str], times: DataFrame | None = None) -> DataFrame:
     """Build the whole history from many full snapshots in one job (SCD-3).
 
     A version starts where a key first appears, reappears after missing a
@@ -58,9 +53,10 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, at: str,
 
     Input contract: at most one row per (key, snapshot time), as a full
     snapshot has (deduplicate with :func:`latest_per_key` first otherwise).
+    ``times`` (column ``at``) may give the snapshot times from a cheaper
+    source than the snapshots; without it they are read from the snapshots.
     """
-    cal = bounded_broadcast(snapshot_calendar(snapshots, at), MAX_BROADCAST_DATES)
-    rows = snapshots.join(cal, at)
+    rows = snapshots.join(snapshot_calendar(snapshots if times is None else times, at), at)
     w = Window.partitionBy(key).orderBy(at)
     prev_ord, next_ord = F.lag("_ord").over(w), F.lead("_ord").over(w)
     changed = _differs([(F.lag(c).over(w), F.col(c)) for c in check_cols])
@@ -70,11 +66,12 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, at: str,
                             | (F.col("_prev_ord") != F.col("_ord") - 1) | changed))
     gap_after = F.col("_next_ord").isNull() | (F.col("_next_ord") != F.col("_ord") + 1)
     rows = rows.withColumn("_end", gap_after | F.coalesce(F.lead("_start").over(w), F.lit(True)))
-    end_info = F.when(F.col("_end"), F.struct(
-        F.col("_next_at").alias("valid_to"),
-        (F.col("_next_at").isNotNull() & gap_after).alias("is_deleted")))
-    rows = rows.withColumn("_close", F.first(end_info, ignorenulls=True).over(
-        w.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    # of a version only its first and last row matter: where they differ,
+    # the last one is the next row that is kept
+    end = F.struct(F.col("_next_at").alias("valid_to"),
+                   (F.col("_next_at").isNotNull() & gap_after).alias("is_deleted"))
+    rows = rows.withColumn("_close", end).filter(F.col("_start") | F.col("_end"))
+    rows = rows.withColumn("_close", F.when(F.col("_end"), F.col("_close")).otherwise(F.lead("_close").over(w)))
     data_cols = [c for c in snapshots.columns if c != at]
     return (rows.filter("_start")
                 .select(*data_cols,
@@ -94,10 +91,15 @@ def scd2_apply(history: DataFrame, snapshot: DataFrame, key: str,
     deleted; unchanged → keep. Closed versions pass through untouched, and
     the open versions meet the snapshot in one full outer join whose rows
     each yield up to two output rows, so the join runs once. The result is
-    a new DataFrame: write it to a new location, then publish it.
+    a new DataFrame: write it to a new location, then publish it. A history
+    that already has versions from after ``run_ts`` is refused row by row
+    (``raise_error``): closing them would end a version before its start.
     """
     ts = F.lit(str(run_ts)).cast("timestamp_ntz")
     data_cols = [c for c in history.columns if c not in VERSION_COLUMNS]
+    late = F.raise_error(F.concat(F.lit(f"the history is newer than the run of {run_ts}: "),
+                                  F.col("valid_from").cast("string"))).cast("timestamp_ntz")
+    history = history.withColumn("valid_from", F.when(F.col("valid_from") > ts, late).otherwise(F.col("valid_from")))
     closed = history.filter(F.col("valid_to").isNotNull())
     open_ = history.filter(F.col("valid_to").isNull())
     h = open_.select(*[F.col(c).alias(f"h_{c}") for c in history.columns], F.lit(True).alias("_in_h"))
@@ -140,21 +142,22 @@ def as_of(history: DataFrame, t: str | datetime) -> DataFrame:
 
 
 def _with_previous(history: DataFrame, key: str, col: str) -> DataFrame:
-    """Each version with the value of ``col`` in the version it directly
-    replaced (same key, that version's ``valid_to`` = this ``valid_from``)."""
-    prev = history.filter(F.col("valid_to").isNotNull()).select(
-        F.col(key).alias("_pk"), F.col("valid_to").alias("_pat"), F.col(col).alias(f"prev_{col}"))
-    return history.join(prev, (F.col(key) == F.col("_pk")) & (F.col("valid_from") == F.col("_pat")),
-                        "inner").drop("_pk", "_pat")
+    """Each version but a key's first, with the value of ``col`` in the
+    key's version before it, also across a gap in which the key was away."""
+    w = Window.partitionBy(key).orderBy("valid_from")
+    return (history.withColumn(f"prev_{col}", F.lag(col).over(w))
+                   .withColumn("_before", F.lag("valid_from").over(w))
+                   .filter(F.col("_before").isNotNull()).drop("_before"))
 
 
 def flag_transitions(history: DataFrame, key: str, flag: str, start: str, end: str) -> DataFrame:
     """Keys that gained or lost ``flag`` with a version starting in
-    ``[start, end]`` (SCD-6)."""
+    ``[start, end]`` (SCD-6). A NULL flag counts as false, so turning from
+    NULL to false or back is neither."""
     s, e = F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")
     j = _with_previous(history, key, flag)
     return (j.filter((F.col("valid_from") >= s) & (F.col("valid_from") <= e)
-                     & ~F.col(f"prev_{flag}").eqNullSafe(F.col(flag)))
+                     & (F.coalesce(F.col(f"prev_{flag}"), F.lit(False)) != F.coalesce(F.col(flag), F.lit(False))))
              .select(key, F.col("valid_from").alias("changed_at"), F.col(f"prev_{flag}"), F.col(flag),
                      F.when(F.col(flag), F.lit("gained")).otherwise(F.lit("lost")).alias("change")))
 

@@ -11,14 +11,6 @@ from access_lake.functions import fixed
 from access_lake.functions.text import area_key, area_key_geo
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when a check proves it holds at most
-    ``max_rows`` rows; otherwise return it unchanged and let the planner and
-    AQE pick the join from runtime sizes."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def join_by_area(left: DataFrame, right: DataFrame, l_name: str = "county_name",
                  r_name: str = "county_name", how: str = "left", key=area_key) -> DataFrame:
     """Join on a normalised name key derived once per side (JON-1). Both
@@ -40,12 +32,6 @@ def join_ci(left: DataFrame, right: DataFrame, l_name: str, r_name: str | None =
     return lk.join(rk, "_ci_key", how).drop("_ci_key")
 
 
-def alias_frame(spark, aliases: Iterable[tuple[str, str]] = fixed.GEO_NAME_ALIASES) -> DataFrame:
-    """The alias map as a DataFrame (bounded by the literal list)."""
-    rows = list(aliases)
-    return F.broadcast(spark.createDataFrame(rows, "alias string, target string"))
-
-
 def join_boundary(geo: DataFrame, density: DataFrame,
                   aliases: Iterable[tuple[str, str]] = fixed.GEO_NAME_ALIASES,
                   density_cols: tuple[str, ...] = ("facilities_per_10k",)) -> DataFrame:
@@ -71,7 +57,3 @@ def unmatched_keys(left: DataFrame, right: DataFrame, l_name: str = "county_name
 def fan_out_keys(df: DataFrame, key: str = "county_name") -> DataFrame:
     """Keys that a join multiplied (JON-5): present more than once."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-
-
-__all__ = ["bounded_broadcast", "join_by_area", "join_ci", "alias_frame", "join_boundary",
-           "unmatched_keys", "fan_out_keys", "area_key", "area_key_geo"]

@@ -5,22 +5,18 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from access_lake.functions.numeric import count_if
 from access_lake.operators.aggregates import duplicate_keys, row_count_not
 
 
-def not_null_failures(df: DataFrame, col: str) -> DataFrame:
-    """Rows where ``col`` is NULL (DQ-1, row form)."""
-    return df.filter(F.col(col).isNull())
-
-
 def check_not_null(df: DataFrame, cols: Sequence[str], model: str = "") -> DataFrame:
     """NULL counts of many columns in one scan (DQ-1): a single global
     aggregate, then unpivoted to one row per column."""
-    counts = df.agg(*[count_if(F.col(c).isNull()).alias(c) for c in cols])
+    # over no rows a sum is NULL: that is zero failures
+    counts = df.agg(*[F.coalesce(count_if(F.col(c).isNull()), F.lit(0)).alias(c) for c in cols])
     long = counts.unpivot([], list(cols), "column_name", "failures")
     return long.select(F.lit(model).alias("model"), F.lit("not_null").alias("check"),
                        "column_name", F.col("failures").cast("bigint").alias("failures"))
@@ -49,21 +45,41 @@ def check_no_duplicates(df: DataFrame, key: str) -> DataFrame:
     return duplicate_keys(df, key)
 
 
-def summarise(model: str, check: str, column: str, failing: DataFrame) -> DataFrame:
-    """One report row: the number of failing rows of a check."""
-    return failing.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
-        F.lit(model).alias("model"), F.lit(check).alias("check"),
-        F.lit(column).alias("column_name"), "failures")
+def gate_verdict(report: DataFrame) -> DataFrame:
+    """One row: checks, failed checks, whether the gate opens, and the
+    failed ones by name."""
+    failed = F.col("failures") > 0
+    name = F.concat(F.col("model"), F.lit("."), F.col("column_name"), F.lit(" "), F.col("check"),
+                    F.lit(" ("), F.col("failures").cast("string"), F.lit(")"))
+    return report.agg(F.count(F.lit(1)).alias("checks"),
+                      F.coalesce(count_if(failed), F.lit(0)).alias("failed"),
+                      F.array_join(F.sort_array(F.collect_list(F.when(failed, name))), ", ").alias("failures")
+                      ).withColumn("passed", (F.col("failed") == 0) & (F.col("checks") > 0))
 
 
 def gate(report: DataFrame) -> None:
-    """Raise when any check failed (DQ-6). The report has one row per
-    check, a bounded size, so it is safe to bring to the driver."""
-    failed = report.filter(F.col("failures") > 0).select("model", "check", "column_name",
-                                                          "failures").collect()
-    if failed:
-        lines = ", ".join(f"{r.model}.{r.column_name} {r.check} ({r.failures})" for r in failed)
-        raise AssertionError(f"data-quality checks failed: {lines}")
+    """Raise when any check failed, or none ran (DQ-6). The report has one
+    row per check, a bounded size, so it is safe to bring to the driver."""
+    verdict = gate_verdict(report).first()
+    if not verdict.passed:
+        raise AssertionError(f"data-quality checks failed: {verdict.failures or 'no check ran'}")
+
+
+def planned_checks(not_null: Sequence[str] = (), unique: str | None = None,
+                   accepted: tuple[str, Sequence[str]] | None = None, no_duplicates: str | None = None,
+                   row_count: int | None = None) -> list[tuple[str, str]]:
+    """(check, column) of each report row, in the order of the report."""
+    out = [("not_null", c) for c in not_null]
+    out += [("unique", unique)] if unique else []
+    out += [("accepted_values", accepted[0])] if accepted else []
+    out += [("no_duplicates", no_duplicates)] if no_duplicates else []
+    return out + ([("row_count", "*")] if row_count is not None else [])
+
+
+def missing_model(spark: SparkSession, model: str, **checks) -> DataFrame:
+    """The report of a model that was not built: every check fails."""
+    rows = [(model, check, column, 1) for check, column in planned_checks(**checks)]
+    return spark.createDataFrame(rows, "model string, check string, column_name string, failures bigint")
 
 
 def model_report(df: DataFrame, model: str, not_null: Sequence[str] = (), unique: str | None = None,
@@ -89,20 +105,15 @@ def model_report(df: DataFrame, model: str, not_null: Sequence[str] = (), unique
             *([F.sum("acc").alias("acc")] if accepted else []),
             count_if(F.col(key).isNotNull() & many).alias("uniq"),
             count_if(many).alias("dups"),
-            F.sum("_n").alias("rows"))
+            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
     else:
         summary = df.agg(*per_row, F.count(F.lit(1)).alias("rows"))
-    entries = [("not_null", c, F.col(f"nn{i}")) for i, c in enumerate(not_null)]
-    if unique:
-        entries.append(("unique", unique, F.col("uniq")))
-    if accepted:
-        entries.append(("accepted_values", accepted[0], F.col("acc")))
-    if no_duplicates:
-        entries.append(("no_duplicates", no_duplicates, F.col("dups")))
-    if row_count is not None:
-        entries.append(("row_count", "*", F.when(F.col("rows") != row_count, 1).otherwise(0)))
+    found = {"unique": F.col("uniq"), "accepted_values": F.col("acc"), "no_duplicates": F.col("dups"),
+             "row_count": F.when(F.col("rows") != (row_count or 0), 1).otherwise(0)}
+    entries = planned_checks(not_null, unique, accepted, no_duplicates, row_count)
     structs = [F.struct(F.lit(model).alias("model"), F.lit(chk).alias("check"),
                         F.lit(c).alias("column_name"),
-                        F.coalesce(v, F.lit(0)).cast("bigint").alias("failures"))
-               for chk, c, v in entries]
+                        F.coalesce(F.col(f"nn{i}") if chk == "not_null" else found[chk],
+                                   F.lit(0)).cast("bigint").alias("failures"))
+               for i, (chk, c) in enumerate(entries)]
     return summary.select(F.inline(F.array(*structs)))

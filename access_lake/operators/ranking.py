@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from access_lake.functions.text import ColumnLike, col
-from access_lake.operators.joins import bounded_broadcast
-from access_lake.session import ensure_checkpoint_dir
+from access_lake.session import work_dir
+
+# input bytes per range of a global row number
+RANGE_BYTES = 256 << 20
 
 
 def rank_by(df: DataFrame, order: Sequence[Column], out: str,
@@ -32,20 +34,24 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_nu
     (WIN-5).
 
     Rows are range-partitioned on ``order`` and sorted inside each
-    partition; the sorted layout is checkpointed to the shared checkpoint
-    folder, so a lost executor cannot re-sample different range bounds. The
-    per-partition counts (one row per partition, a proven bound) give each
-    partition its offset, and the number is offset + position. ``order``
-    must be a total order for the numbering to be unique.
+    partition; the sorted layout, with each row's partition and place in it,
+    is written as Parquet to the shared folder, so a lost executor cannot
+    re-sample different range bounds. The per-partition counts (one row per
+    partition, a proven bound) give each partition its offset, and the
+    number is offset + position. ``order`` must be a total order for the
+    numbering to be unique. Without ``num_partitions`` the input's size sets
+    the number: one for each ``RANGE_BYTES``.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    path = work_dir(spark, "row-number")
+    (df.repartitionByRange(n, *order)
+       .sortWithinPartitions(*order)
+       .withColumn("_pid", F.spark_partition_id())
+       .withColumn("_mid", F.monotonically_increasing_id())
+       .write.parquet(path))
+    laid = spark.read.parquet(path)
     counts = laid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_pid",
@@ -53,7 +59,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_nu
         .alias("_off"))
     offsets = offsets.fillna(0, subset=["_off"])
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)
-    return (laid.join(bounded_broadcast(offsets, max_rows=n), "_pid")
+    return (laid.join(F.broadcast(offsets), "_pid")
                 .withColumn(out, (F.col("_off") + local + 1).cast("bigint"))
                 .drop("_pid", "_mid", "_off"))
 

@@ -313,9 +313,13 @@ CTE["snapshots"] = """snapshots AS (
 )"""
 
 
-def history_sql(snap: str, name: str) -> str:
-    """SCD2 versions of a snapshot CTE ``snap`` (user_id, snapshot_at, 3
-    check columns), as CTE ``name``: islands of contiguous, unchanged rows."""
+def history_sql(snap: str, name: str, key: str = "user_id",
+                checks: tuple[str, ...] = ("event_type", "value_band", "is_high"),
+                data: tuple[str, ...] | None = None) -> str:
+    """SCD2 versions of a snapshot CTE ``snap`` (key, snapshot_at, data), as
+    CTE ``name``: islands of contiguous rows unchanged in ``checks``."""
+    changed = " OR ".join(f"lag({c}) OVER w IS DISTINCT FROM {c}" for c in checks)
+    columns = ", ".join(f"st.{c}" for c in (data or checks))
     return f"""{name}_cal AS (
   SELECT snapshot_at, row_number() OVER (ORDER BY snapshot_at) AS ord,
          lead(snapshot_at) OVER (ORDER BY snapshot_at) AS next_at
@@ -324,43 +328,67 @@ def history_sql(snap: str, name: str) -> str:
 {name}_r AS (
   SELECT s.*, c.ord, c.next_at,
          lag(c.ord) OVER w AS prev_ord, lead(c.ord) OVER w AS next_ord,
-         (lag(event_type) OVER w IS DISTINCT FROM event_type
-          OR lag(value_band) OVER w IS DISTINCT FROM value_band
-          OR lag(is_high) OVER w IS DISTINCT FROM is_high) AS changed
+         ({changed}) AS changed
   FROM {snap} s JOIN {name}_cal c ON s.snapshot_at = c.snapshot_at
-  WINDOW w AS (PARTITION BY user_id ORDER BY s.snapshot_at)
+  WINDOW w AS (PARTITION BY {key} ORDER BY s.snapshot_at)
 ),
 {name}_s AS (
   SELECT *, (prev_ord IS NULL OR prev_ord <> ord - 1 OR changed) AS is_start FROM {name}_r
 ),
 {name}_e AS (
   SELECT *, (next_ord IS NULL OR next_ord <> ord + 1
-             OR coalesce(lead(is_start) OVER (PARTITION BY user_id ORDER BY snapshot_at), true)) AS is_end
+             OR coalesce(lead(is_start) OVER (PARTITION BY {key} ORDER BY snapshot_at), true)) AS is_end
   FROM {name}_s
 ),
 {name}_m AS (
-  SELECT *, min(CASE WHEN is_end THEN ord END) OVER (PARTITION BY user_id ORDER BY snapshot_at
+  SELECT *, min(CASE WHEN is_end THEN ord END) OVER (PARTITION BY {key} ORDER BY snapshot_at
                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS end_ord
   FROM {name}_e
 ),
 {name} AS (
-  SELECT st.user_id, st.event_type, st.value_band, st.is_high,
+  SELECT st.{key}, {columns},
          st.snapshot_at AS valid_from, en.next_at AS valid_to,
          (en.next_at IS NOT NULL AND (en.next_ord IS NULL OR en.next_ord <> en.ord + 1)) AS is_deleted,
-         md5(CAST(st.user_id AS VARCHAR) || '|' || CAST(st.snapshot_at AS VARCHAR)) AS scd_id,
+         md5(CAST(st.{key} AS VARCHAR) || '|' || CAST(st.snapshot_at AS VARCHAR)) AS scd_id,
          st.snapshot_at AS updated_at
-  FROM {name}_m st JOIN {name}_m en ON st.user_id = en.user_id AND en.ord = st.end_ord
+  FROM {name}_m st JOIN {name}_m en ON st.{key} = en.{key} AND en.ord = st.end_ord
   WHERE st.is_start
 )"""
 
 
 CTE["history"] = history_sql("snapshots", "history")
 
+FACILITY_HISTORY_DATA = ("facility_code", "facility_name", "facility_type", "county_name", "sub_county_name",
+                         "latitude", "longitude", "operation_status", "has_maternity", "has_art", "has_tb",
+                         "has_emergency", "has_outpatient")
+CTE["facility_months"] = f"""facility_months AS (
+  SELECT ward_name AS facility_id, {", ".join(FACILITY_HISTORY_DATA)}, snapshot_at
+  FROM (SELECT *, date_trunc('month', ingested_at) AS snapshot_at,
+               row_number() OVER (PARTITION BY ward_name, date_trunc('month', ingested_at)
+                                  ORDER BY ingested_at DESC NULLS LAST, facility_id ASC NULLS LAST, {TIEBREAK}) AS rn
+        FROM raw_facilities) t
+  WHERE rn = 1
+)"""
+CTE["facility_history"] = history_sql(
+    "facility_months", "facility_history", "facility_id",
+    ("facility_name", "facility_type", "operation_status", "county_name", "sub_county_name", "has_maternity",
+     "has_art", "has_tb", "has_emergency", "has_outpatient", "latitude", "longitude"), FACILITY_HISTORY_DATA)
+
+
+def previous_sql(history: str, key: str, col: str) -> str:
+    """Versions but a key's first, with ``col`` in the version before."""
+    return f"""(SELECT * FROM (
+  SELECT *, lag({col}) OVER (PARTITION BY {key} ORDER BY valid_from) AS prev_{col},
+         lag(valid_from) OVER (PARTITION BY {key} ORDER BY valid_from) AS before_from
+  FROM {history}) x WHERE before_from IS NOT NULL)"""
+
 DEPS.update({
     "features": [],
     "geodata": ["features"],
     "snapshots": [],
     "history": ["snapshots"],
+    "facility_months": ["raw_facilities"],
+    "facility_history": ["facility_months"],
 })
 
 

@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from access_lake.functions import fixed
-from access_lake.functions.numeric import (band, baseline_gap, below, count_if, is_zero,
-                                           rate_per, ratio, severity)
-from access_lake.operators.aggregates import (SERVICE_COUNT_NAMES, TYPE_COUNT_NAMES,
-                                              flag_counts, pivot_counts, population_totals,
+from access_lake.functions.numeric import (band, baseline_gap, below, is_zero, rate_per, ratio,
+                                           severity)
+from access_lake.operators.aggregates import (TYPE_COUNT_NAMES, flag_counts, pivot_counts,
+                                              population_totals, service_counts, subarea_counts,
                                               weighted_sum)
 from access_lake.operators.filters import drill_down, non_blank, with_all
 from access_lake.operators.joins import join_by_area, join_ci
@@ -77,10 +77,7 @@ def mart_county_density(fac: DataFrame, pop: DataFrame) -> DataFrame:
 
 def mart_service_gaps(fac: DataFrame, pop: DataFrame) -> DataFrame:
     """Service rates per 100,000 people and gap flags per area (MDL-5)."""
-    services = fac.groupBy("county_name").agg(
-        F.count(F.lit(1)).alias("total_facilities"),
-        *flag_counts({**SERVICE_COUNT_NAMES, "outpatient_count": "has_outpatient"}))
-    joined = join_by_area(services, population_totals(pop), how="left")
+    joined = join_by_area(service_counts(fac), population_totals(pop), how="left")
     per = fixed.SERVICE_PER
     return joined.select(
         "county_name", "total_facilities", "total_population", "maternity_count",
@@ -121,11 +118,7 @@ def mart_underserved(density: DataFrame, gaps: DataFrame,
 def mart_subarea(fac: DataFrame, seed: DataFrame, area: str) -> DataFrame:
     """Sub-area drill-down of one area against a sub-area population seed
     (MDL-7; the product fixes the area, here it is a parameter)."""
-    counts = (non_blank(drill_down(fac, "county_name", area), "sub_county_name")
-                 .groupBy("sub_county_name")
-                 .agg(F.count(F.lit(1)).alias("total_facilities"),
-                      *flag_counts(SERVICE_COUNT_NAMES),
-                      *pivot_counts("facility_type", TYPE_COUNT_NAMES)))
+    counts = subarea_counts(non_blank(drill_down(fac, "county_name", area), "sub_county_name"))
     p = seed.select(F.col("sub_county_name").alias("_p_name"), "population_2019", "population_2024")
     joined = join_ci(counts, p, "sub_county_name", "_p_name", how="left").drop("_p_name")
     out = joined.select(
@@ -140,7 +133,3 @@ def mart_subarea(fac: DataFrame, seed: DataFrame, area: str) -> DataFrame:
     ranked = rank_by(out, [F.asc_nulls_last("_ratio"), F.asc_nulls_last("sub_county_name"),
                            F.asc_nulls_last("population_2024")], "subcounty_density_rank")
     return ranked.select(*SUBAREA_COLUMNS)
-
-
-__all__ = ["mart_county_density", "mart_service_gaps", "mart_underserved", "mart_subarea",
-           "count_if"]

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from typing import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from access_lake.functions import fixed
-from access_lake.functions.text import classify, eq_ci
+from access_lake.functions.text import classify
 from access_lake.operators.dedup import latest_per_key
-from access_lake.operators.filters import keep, positive, require_not_null
+from access_lake.operators.filters import keep, keep_status, positive, require_not_null
 
 STG_FACILITY_COLUMNS = [
     "facility_id", "facility_code", "facility_name", "facility_type",
@@ -29,14 +29,9 @@ _FACILITY_TYPES = {
 }
 
 
-def typed(df: DataFrame, types: dict[str, str | tuple[str, str]]) -> DataFrame:
-    """Cast every listed column to its staging type, renaming where the
-    value is ``(new_name, type)`` (PRJ-1, PRJ-2)."""
-    cols = []
-    for name, spec in types.items():
-        out, t = (spec if isinstance(spec, tuple) else (name, spec))
-        cols.append(F.col(name).cast(t).alias(out))
-    return df.select(*cols)
+def typed(types: dict[str, str]) -> list[Column]:
+    """Every listed column cast to its staging type (PRJ-1)."""
+    return [F.col(name).cast(t).alias(name) for name, t in types.items()]
 
 
 def stg_facilities(raw: DataFrame,
@@ -47,12 +42,12 @@ def stg_facilities(raw: DataFrame,
     The status and not-null filters run *before* the dedup window, as in
     the product: an older operational row survives when the newest row of
     its key is closed. Ties on ``ingested_at`` are broken by every other
-    column so the survivor does not depend on the plan. Filters reach the
-    Parquet scan; the window becomes a two-phase ``WindowGroupLimit``.
+    column so the survivor does not depend on the plan. The not-null filters
+    reach a Parquet scan, the case-insensitive status filter runs above it;
+    the window becomes a two-phase ``WindowGroupLimit``.
     """
-    typed_cols = [F.col(c).cast(t).alias(c) for c, t in _FACILITY_TYPES.items()]
-    valid = require_not_null(raw.filter(eq_ci(F.col("operation_status").cast("string"), status)),
-                             "facility_code", "county_name")
+    typed_cols = typed(_FACILITY_TYPES)
+    valid = require_not_null(keep_status(raw, "operation_status", status), "facility_code", "county_name")
     cleaned = (valid
                   .select(*typed_cols[:3],
                           classify(F.col("facility_type").cast("string"), type_rules).alias("facility_type"),

@@ -13,9 +13,8 @@ def get_spark(app: str = "access_lake", master: str | None = None,
               shuffle_partitions: int | None = None) -> SparkSession:
     """Return a session tuned for the DataFrame plans in this package.
 
-    On a cluster ``master`` stays ``None`` and the launcher decides. Every
-    setting below is a plain SQL conf, so a cluster's own defaults win when
-    they are already set.
+    On a cluster ``master`` stays ``None`` and the launcher decides. The
+    settings below override a cluster's own defaults for this session.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -46,12 +45,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. A private temporary folder is chosen only when nothing is set,
-    which is the local test case.
+    as is. A private temporary folder is chosen only under a local master
+    with nothing set (tests); a cluster without the setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="access-lake-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():
@@ -65,9 +66,3 @@ def work_dir(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/access_lake/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -1,11 +1,18 @@
-"""Readers and writers (SRC-1..9, SNK-1..5)."""
+"""Readers and writers (SRC-1..9, SNK-1..5).
+
+JSON is read with ``FAILFAST``: a truncated or malformed page, feature or
+landed record stops the read instead of vanishing from the result.
+"""
 
 from __future__ import annotations
 
 import re
+import time
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +24,7 @@ def read_registry_pages(spark: SparkSession, path: str) -> DataFrame:
     """Registry pages (one JSON page per line) → one row per facility
     result (SRC-1). The page files split across tasks; ``explode`` keeps
     each page's results in its task."""
-    pages = spark.read.schema(schemas.REGISTRY_PAGE).json(path)
+    pages = spark.read.schema(schemas.REGISTRY_PAGE).option("mode", "FAILFAST").json(path)
     return pages.select(F.explode("results").alias("r")).select("r.*")
 
 
@@ -29,23 +36,27 @@ def read_census_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """A GeoJSON FeatureCollection → one row per feature with its position
-    in the file and the geometry as raw JSON text (SRC-3). A single
-    FeatureCollection file is not splittable, so the exploded rows are
-    repartitioned before further work."""
-    fc = spark.read.schema(schemas.FEATURE_COLLECTION).option("multiLine", True).json(path)
-    rows = fc.select(F.posexplode("features").alias("pos", "f"))
-    return rows.select("pos", "f.properties.*", F.col("f.geometry").alias("geometry"))
+    """GeoJSON FeatureCollections → one row per feature with its position
+    (file, then place in the file) and the geometry as raw JSON text
+    (SRC-3). A FeatureCollection file is not splittable: one task parses
+    each file; :func:`read_feature_lines` is the form for large sets."""
+    fc = (spark.read.schema(schemas.FEATURE_COLLECTION).option("multiLine", True)
+               .option("mode", "FAILFAST").json(path))
+    rows = fc.select(F.col("_metadata.file_path").alias("file"), F.posexplode("features").alias("at", "f"))
+    return rows.select(F.struct("file", "at").alias("pos"), "f.properties.*", F.col("f.geometry").alias("geometry"))
 
 
 def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:
     """Line-delimited GeoJSON features (one Feature per line): the
     splittable form of :func:`read_features` for large boundary sets. The
-    position is ``monotonically_increasing_id``, which grows with the split
-    offset and the row inside it, so "first in file order" is kept."""
+    position is (file, offset of the split, row inside it), so "first in
+    file order" is kept however the files are packed into tasks."""
     feature = schemas.FEATURE_COLLECTION["features"].dataType.elementType
-    rows = spark.read.schema(feature).json(path)
-    return rows.select(F.monotonically_increasing_id().alias("pos"), "properties.*", "geometry")
+    rows = spark.read.schema(feature).option("mode", "FAILFAST").json(path)
+    return rows.select(F.struct(F.col("_metadata.file_path").alias("file"),
+                                F.col("_metadata.file_block_start").alias("split"),
+                                F.monotonically_increasing_id().alias("at")).alias("pos"),
+                       "properties.*", "geometry")
 
 
 def landing_path(root: str, dataset: str) -> str:
@@ -57,9 +68,9 @@ def read_landing(spark: SparkSession, root: str, dataset: str, schema: T.StructT
     """Read landed NDJSON below ``<root>/<dataset>/year=/month=/day=``
     (SRC-4, SRC-9). The explicit schema keeps partition values as text and
     gives NULL for columns a file lacks; date bounds become
-    ``PartitionFilters`` so only the matching directories are listed."""
+    ``PartitionFilters`` so only the matching directories are read."""
     schema = schema or schemas.RECORDS[dataset]
-    df = (spark.read.schema(schemas.with_partitions(schema))
+    df = (spark.read.schema(schemas.with_partitions(schema)).option("mode", "FAILFAST")
                .option("basePath", landing_path(root, dataset))
                .json(landing_path(root, dataset)))
     key = F.concat_ws("-", "year", "month", "day")
@@ -70,31 +81,29 @@ def read_landing(spark: SparkSession, root: str, dataset: str, schema: T.StructT
     return df
 
 
-def landing_dates(df: DataFrame) -> DataFrame:
-    """Distinct landing dates of a landing read (partition columns only)."""
-    return df.select(F.to_date(F.concat_ws("-", "year", "month", "day")).alias("landed_on")).distinct()
-
-
-_DAY_DIR = re.compile(r"year=(\d{4})/month=(\d{2})/day=(\d{2})/")
+_DAY_DIR = re.compile(r"year=(\d{4})/month=(\d{2})/day=(\d{2})$")
 
 
-def landed_days(df: DataFrame) -> list[str]:
-    """Landing days (``YYYY-MM-DD``) of a landing read, from the file
-    listing only: no file is opened."""
-    return sorted({"-".join(m.groups()) for f in df.inputFiles() if (m := _DAY_DIR.search(f))})
+def landed_days(spark: SparkSession, root: str, dataset: str) -> list[str]:
+    """Landing days (``YYYY-MM-DD``), from the directory names alone: one
+    entry per day, however many files a day holds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{landing_path(root, dataset)}/year=*/month=*/day=*")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted("-".join(m.groups()) for s in found if (m := _DAY_DIR.search(s.getPath().toString())))
 
 
 def read_as_of(spark: SparkSession, root: str, dataset: str, as_of: date,
                schema: T.StructType | None = None) -> DataFrame:
     """The latest landing on or before ``as_of`` (SRC-8). The day is chosen
-    from the directory listing, then only that directory is read (an
-    equality ``PartitionFilters`` on the three partition columns)."""
-    df = read_landing(spark, root, dataset, schema)
-    days = [d for d in landed_days(df) if d <= as_of.isoformat()]
+    from the directory names, then only that directory is listed and read."""
+    schema = schemas.with_partitions(schema or schemas.RECORDS[dataset])
+    days = [d for d in landed_days(spark, root, dataset) if d <= as_of.isoformat()]
     if not days:
-        return df.filter(F.lit(False))
+        return spark.createDataFrame([], schema)
+    base = landing_path(root, dataset)
     y, m, d = days[-1].split("-")
-    return df.filter((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))
+    return (spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", base)
+                 .json(f"{base}/year={y}/month={m}/day={d}"))
 
 
 @dataclass
@@ -118,20 +127,15 @@ def land(df: DataFrame, root: str, dataset: str, run_date: datetime) -> LoadRepo
     write itself, so the data is not read twice (SNK-2); an empty load
     is refused after the fact with nothing visible written for the day
     (SNK-3)."""
-    spark = df.sparkSession
     obs = Observation(f"land_{dataset}")
     parts = df.select("*",
                       F.lit(f"{run_date.year:04d}").alias("year"),
                       F.lit(f"{run_date.month:02d}").alias("month"),
                       F.lit(f"{run_date.day:02d}").alias("day"))
     observed = parts.observe(obs, F.count(F.lit(1)).alias("n"))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (observed.write.mode("overwrite").partitionBy("year", "month", "day")
-                 .option("ignoreNullFields", False).json(landing_path(root, dataset)))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (observed.write.mode("overwrite").partitionBy("year", "month", "day")
+             .option("partitionOverwriteMode", "dynamic")
+             .option("ignoreNullFields", False).json(landing_path(root, dataset)))
     n = int(obs.get.get("n", 0))
     require_rows(n, dataset)
     uri = (f"{landing_path(root, dataset)}/year={run_date.year:04d}/month={run_date.month:02d}"
@@ -156,42 +160,44 @@ def read_seed(spark: SparkSession, path: str,
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
-def write_mart(df: DataFrame, path: str) -> None:
-    """Full rebuild of a mart as Parquet (SNK-5)."""
-    df.write.mode("overwrite").parquet(path)
-
-
-_PUBLISHED = re.compile(r"/published/(v\d{14})/")
+_PUBLISHED = re.compile(r"/published/(v\d{14}-\d{15}-[0-9a-f]{8})/")
 
 
 def publish(df: DataFrame, base: str, run_ts: datetime) -> str:
-    """Write a full new version ``<base>/v<YYYYmmddHHMMSS>``, then record it
-    under ``<base>/published/``; return the version path.
-
-    Nothing is overwritten in place. The marker is written only after the
-    data write committed, so a job that dies mid-write leaves an unpublished
-    directory that :func:`read_latest` never returns, and readers keep
-    seeing the previous complete version."""
-    name = f"v{run_ts:%Y%m%d%H%M%S}"
+    """Write a full new version (SNK-5) below ``base``, then record it under
+    ``<base>/published/``; return the version path.
+
+    A version's name holds the run time, the time of the attempt and a
+    random part, so a retry of a run writes beside the version it may be
+    reading and nothing is ever overwritten. The marker is written only
+    after the data write committed: a job that dies mid-write leaves an
+    unpublished directory that :func:`read_latest` never returns."""
+    name = f"v{run_ts:%Y%m%d%H%M%S}-{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     path = f"{base.rstrip('/')}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("errorifexists").parquet(path)
     marker = df.sparkSession.createDataFrame([(path,)], "path string").coalesce(1)
-    marker.write.mode("overwrite").text(f"{base.rstrip('/')}/published/{name}")
+    marker.write.mode("errorifexists").text(f"{base.rstrip('/')}/published/{name}")
     return path
 
 
-def latest_version(spark: SparkSession, base: str) -> str | None:
-    """Newest published version below ``base`` (from the file listing)."""
+def latest_version(spark: SparkSession, base: str, before: datetime | None = None) -> str | None:
+    """Newest published version below ``base``: of the latest run (strictly
+    before ``before`` if given) the last attempt. Only a missing folder
+    means that nothing is published; any other listing error is raised."""
     try:
         files = spark.read.text(f"{base.rstrip('/')}/published/v*").inputFiles()
-    except Exception:  # noqa: BLE001 - nothing published yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
-    versions = sorted(m.group(1) for f in files if (m := _PUBLISHED.search(f)))
+    versions = sorted({m.group(1) for f in files if (m := _PUBLISHED.search(f))})
+    if before is not None:
+        versions = [v for v in versions if v[:15] < f"v{before:%Y%m%d%H%M%S}"]
     return f"{base.rstrip('/')}/{versions[-1]}" if versions else None
 
 
-def read_latest(spark: SparkSession, base: str) -> DataFrame | None:
-    path = latest_version(spark, base)
+def read_latest(spark: SparkSession, base: str, before: datetime | None = None) -> DataFrame | None:
+    path = latest_version(spark, base, before)
     return spark.read.parquet(path) if path else None
 
 

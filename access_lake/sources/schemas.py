@@ -12,10 +12,10 @@ REGISTRY_RESULT = T.StructType([
         "regulatory_body_name", "county_name", "sub_county_name", "ward_name",
         "constituency_name", "lat", "long", "beds", "cots", "operation_status_name",
         "admission_status_name"]
-] + [T.StructField(n, B) for n in ["open_whole_day", "open_weekends", "open_public_holidays",
+] + [T.StructField(n, S) for n in ["open_whole_day", "open_weekends", "open_public_holidays",
                                     "open_late_night"]]
   + [T.StructField("service_names", S), T.StructField("infrastructure_names", S),
-     T.StructField("closed", B), T.StructField("is_published", B)])
+     T.StructField("closed", S), T.StructField("is_published", S)])
 
 REGISTRY_PAGE = T.StructType([
     T.StructField("count", L), T.StructField("total_pages", I),
@@ -26,7 +26,7 @@ FEATURE_COLLECTION = T.StructType([
     T.StructField("features", T.ArrayType(T.StructType([
         T.StructField("properties", T.StructType([
             T.StructField("COUNTY_NAM", S), T.StructField("COUNTY_COD", S),
-            T.StructField("CONST_CODE", S), T.StructField("Shape_Area", D),
+            T.StructField("CONST_CODE", S), T.StructField("Shape_Area", S),
             T.StructField("OBJECTID", L)])),
         # kept as raw JSON text
         T.StructField("geometry", S),

@@ -26,12 +26,9 @@ REGISTRY_TEXT_FIELDS = [
 REGISTRY_BOOL_FIELDS = ["open_whole_day", "open_weekends", "open_public_holidays", "open_late_night"]
 
 
-def stamp(df: DataFrame, run_ts: str, **consts) -> DataFrame:
+def stamp(run_ts: str) -> Column:
     """Batch metadata: one ``ingested_at`` literal for every row (STD-15)."""
-    out = df
-    for k, v in consts.items():
-        out = out.withColumn(k, F.lit(v))
-    return out.withColumn("ingested_at", F.lit(run_ts).cast("timestamp_ntz"))
+    return F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at")
 
 
 def standardise_registry(results: DataFrame, run_ts: str, source: str = "registry",
@@ -52,17 +49,17 @@ def standardise_registry(results: DataFrame, run_ts: str, source: str = "registr
     cols += [lat.alias("latitude"), lon.alias("longitude"), has_gps(lat, lon).alias("has_gps"),
              clean_str(src("operation_status_name")).alias("operation_status"),
              clean_str(src("admission_status_name")).alias("admission_status")]
-    cols += [truthy(src(b, "boolean")).alias(b) for b in REGISTRY_BOOL_FIELDS]
+    cols += [truthy(src(b)).alias(b) for b in REGISTRY_BOOL_FIELDS]
     cols += [safe_int(src("beds")).alias("beds"), safe_int(src("cots")).alias("cots"),
              flatten_pipe(services).alias("service_names")]
     cols += keyword_flags(services, flags)
     cols += [flatten_pipe(infra).alias("infrastructure"),
              any_contains(infra, fixed.ELECTRICITY_KEYWORDS).alias("has_electricity"),
              any_contains(infra, fixed.WATER_KEYWORDS).alias("has_water"),
-             truthy(src("closed", "boolean")).alias("closed"),
-             truthy(src("is_published", "boolean")).alias("is_published"),
+             truthy(src("closed")).alias("closed"),
+             truthy(src("is_published")).alias("is_published"),
              F.lit(source).alias("source"),
-             F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at")]
+             stamp(run_ts)]
     return results.select(*cols)
 
 
@@ -109,8 +106,7 @@ def standardise_census(raw: DataFrame, run_ts: str, census_year: int = fixed.CEN
     return kept.select(
         "county_code", title_case("_name").alias("county_name"), F.lit("").alias("sub_county"),
         "population", "male", "female", "households",
-        F.lit(census_year).alias("census_year"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at"))
+        F.lit(census_year).alias("census_year"), stamp(run_ts))
 
 
 def drop_unnamed(df: DataFrame, name_col: str = "_name") -> DataFrame:
@@ -137,7 +133,7 @@ def rollup_first_geometry(df: DataFrame, key: str = "_name", order: str = "pos",
                      F.col(order))
     return df.groupBy(key).agg(
         first.alias("_first"),
-        F.sum(F.coalesce(F.col(area).cast("double"), F.lit(0.0))).alias("area_sqkm"))
+        F.sum(safe_float(area)).alias("area_sqkm"))
 
 
 def standardise_features(features: DataFrame, run_ts: str) -> DataFrame:
@@ -150,5 +146,4 @@ def standardise_features(features: DataFrame, run_ts: str) -> DataFrame:
     return rolled.select(F.col("_first.code").alias("county_code"),
                          F.col("_name").alias("county_name"),
                          F.col("_first.geometry").alias("geometry"),
-                         "area_sqkm",
-                         F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at"))
+                         "area_sqkm", stamp(run_ts))

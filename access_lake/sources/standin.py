@@ -67,17 +67,22 @@ DRIVER_SCHEMAS = {
 
 
 def per_session(fn):
-    """Reuse the (lazy, already analysed) stand-in plan of a session and
-    folder: the plans are pure functions of their inputs and hold no data,
-    so queries built on them skip re-analysing the shared sub-plan."""
+    """Reuse the (lazy, already analysed) stand-in plans of the session in
+    use: they are pure functions of their inputs and hold no data, so
+    queries built on them skip re-analysing the shared sub-plan. A new
+    session or folder drops all earlier plans, with their file listings."""
     cache: dict = {}
+    owner: list = [None]
 
     @functools.wraps(fn)
     def inner(spark: SparkSession, sf_dir: str, *args):
-        key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), args)
-        if key not in cache:
-            cache[key] = fn(spark, sf_dir, *args)
-        return cache[key]
+        now = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+        if owner[0] != now:
+            cache.clear()
+            owner[0] = now
+        if args not in cache:
+            cache[args] = fn(spark, sf_dir, *args)
+        return cache[args]
     return inner
 
 
@@ -214,6 +219,32 @@ def raw_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         geometry.alias("geometry"))
 
 
+def snapshot_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The times of :func:`daily_snapshots`, without building them: each day
+    with an event has a snapshot."""
+    return table(spark, sf_dir, "events").select(F.to_date("ts").cast("timestamp_ntz").alias("snapshot_at"))
+
+
+@per_session
+def facility_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly facility snapshots for the history: the last row landed in a
+    month per ward code. Wards without a row in a month are absent from it
+    (and return later), the outpatient flag is NULL for one order priority."""
+    raw = raw_facilities(spark, sf_dir)
+    cols = [c for c in raw.columns if c != "ingested_at"]
+    month = raw.withColumn("snapshot_at", F.date_trunc("month", "ingested_at").cast("timestamp_ntz"))
+    last = latest_per_key(month, ["ward_name", "snapshot_at"], [F.desc_nulls_last("ingested_at")],
+                          [F.asc_nulls_last(c) for c in cols if c != "ward_name"])
+    return last.select(F.col("ward_name").alias("facility_id"),
+                       *[c for c in cols if c not in ("facility_id", "ward_name")], "snapshot_at")
+
+
+def facility_month_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The times of :func:`facility_months`."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("snapshot_at"))
+
+
 @per_session
 def daily_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (user, day): the state after the user's last event of
@@ -240,12 +271,13 @@ SERVICE_NAMES = [("has_maternity", "Maternity Services"), ("has_art", "ART"),
 
 
 @per_session
-def registry_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+def registry_results(spark: SparkSession, sf_dir: str, with_shipped: bool = False) -> DataFrame:
     """Registry result rows as the API returns them (text fields, services
     as a JSON array text or a single string), one per raw facility row.
     Line 1 of an order lists its first service as a plain string; ``lat``
     carries spaces, ``long`` is junk on line 3, ``beds`` is fractional text,
-    ``code`` is missing on line 7."""
+    ``code`` is missing on line 7. ``with_shipped`` keeps the landing time
+    that the stand-in months are split by."""
     raw = raw_facilities(spark, sf_dir)
     line = F.split(F.col("facility_id"), "-").getItem(1).cast("int")
     names = [F.when(F.col(flag), F.lit(f'"{label}"')) for flag, label in SERVICE_NAMES]
@@ -263,7 +295,8 @@ def registry_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(line == 1, first).otherwise(arr_text).alias("service_names"),
         infra.alias("infrastructure_names"),
         F.col("county_name"), F.col("sub_county_name"), F.col("ward_name"),
-        F.col("operation_status").alias("operation_status_name"))
+        F.col("operation_status").alias("operation_status_name"),
+        *([F.col("ingested_at").alias("shipped")] if with_shipped else []))
 
 
 @per_session

@@ -46,7 +46,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    from access_lake.catalog import QUERIES
+    missing = set(QUERIES) - set(E.oracle_sql())
     assert not missing, missing
 
 
