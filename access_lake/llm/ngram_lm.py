@@ -44,7 +44,7 @@ FOLDS, HELD_OUT, DELETED = 7, 2, 3
 BUCKETS = 24
 GRID_P, GRID_C, GRID = 0.25, 0.3, 100  #: histogram steps (natural logarithm) and their number
 ROUNDS = 60
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 5 << 20
 GROUP_KEYS = 2_000_000
 
 U = np.uint64
@@ -91,6 +91,7 @@ class Tokens:
         self.count = counts + 1
         self.edge = edge + np.arange(len(edge))
         self.part = np.array([0 if d is None else zlib.crc32(str(d).encode()) % FOLDS for d in self.ids], np.int64)
+        del h
         before = np.empty_like(self.token)
         before[1:] = self.token[:-1]
         before[self.edge[:-1]] = BEGIN
@@ -147,39 +148,36 @@ def add_counts(rows: list[tuple]) -> list[tuple]:
     return out
 
 
-def _corpus_counts(keys: np.ndarray, kind: int, answers: dict, n_groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(main, deleted) of the distinct keys, and each position's key."""
+def _corpus_counts(keys: np.ndarray, kind: int, answers: dict, n_groups: int, deleted: bool) -> np.ndarray:
+    """Count of each position's key over the main texts, and over the
+    deleted ones as well if asked."""
     distinct, inverse = np.unique(keys, return_inverse=True)
     edge = _edges(group_of(distinct, n_groups), n_groups)
-    a, b = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+    total = np.zeros(len(distinct), np.int64)
     for (k, g), data in answers.items():
         if k == kind:
             lo, hi = edge[g], edge[g + 1]
-            a[lo:hi], b[lo:hi] = _unpack_counts(data, hi - lo, 2)
-    return a, b, inverse
+            a, b = _unpack_counts(data, hi - lo, 2)
+            total[lo:hi] = a + b if deleted else a
+    return total[inverse]
 
 
 def bucket_of(count: np.ndarray) -> np.ndarray:
     return np.minimum(np.frexp(count.astype(float))[1], BUCKETS - 1)
 
 
-class Counted:
-    """Counts of a block's tokens, pairs and contexts over the corpus."""
-
-    def __init__(self, t: pa.Table, answers: dict, n_groups: int) -> None:
-        self.x = Tokens(t)
-        self.word = _corpus_counts(self.x.token, WORD, answers, n_groups)
-        self.pair = _corpus_counts(self.x.pair, PAIR, answers, n_groups)
-
-    def counts(self, deleted: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per position: count of the word, of the pair, of the context; of
-        the main texts, and of the deleted ones as well if asked."""
-        word, pair = ((a + b if deleted else a)[inverse] for a, b, inverse in (self.word, self.pair))
-        context = np.empty_like(word)
-        context[1:] = word[:-1]
-        # a text's begin is seen as often as an end
-        context[self.x.edge[:-1]] = word[self.x.edge[1:] - 1]
-        return word, pair, context
+def counted(x: Tokens, answers: dict, n_groups: int, deleted: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per position of a block: corpus count of the word, of the pair, of
+    the context. The block's keys are given up on the way."""
+    word = _corpus_counts(x.token, WORD, answers, n_groups, deleted)
+    del x.token
+    pair = _corpus_counts(x.pair, PAIR, answers, n_groups, deleted)
+    del x.pair
+    context = np.empty_like(word)
+    context[1:] = word[:-1]
+    # a text's begin is seen as often as an end
+    context[x.edge[:-1]] = word[x.edge[1:] - 1]
+    return word, pair, context
 
 
 # -- mixture weights --------------------------------------------------------
@@ -196,8 +194,8 @@ STATISTICS = "kind int, cell long, n long"
 
 def gather_statistics(block: int, t: pa.Table, answers: dict, n_groups: int) -> pa.Table:
     if t.num_rows:
-        c = Counted(t, answers, n_groups)
-        word, pair, context = (v[c.x.deleted] for v in c.counts(deleted=False))
+        x = Tokens(t)
+        word, pair, context = (v[x.deleted] for v in counted(x, answers, n_groups, deleted=False))
         cell, n = np.unique(cells(word, pair, context), return_counts=True)
         kind = np.ones(len(cell), np.int32)
     else:
@@ -245,15 +243,16 @@ def count_texts(t: pa.Table, answers: dict, n_groups: int) -> pa.Table:
     types = [pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.binary()]
     if not t.num_rows:
         return pa.table([pa.array([], k) for k in types], names)
-    c = Counted(t, answers, n_groups)
-    word, pair, context = c.counts(deleted=True)
+    x = Tokens(t)
+    word, pair, context = counted(x, answers, n_groups, deleted=True)
     token = np.zeros(len(word), TOKEN)
     token["bucket"], token["pair"], token["word"] = bucket_of(context), pair / np.maximum(context, 1), word
-    edge = c.x.edge
+    del pair, context
+    edge = x.edge
     known = np.add.reduceat(word > 0, edge[:-1], dtype=np.int64)
     logs = np.add.reduceat(np.log10(word + 1.0), edge[:-1])
     raw, at = memoryview(token.tobytes()), (edge * TOKEN.itemsize).tolist()
-    cols = [np.ones(len(known), np.int32), c.x.ids, c.x.part == HELD_OUT, c.x.count, known, logs, [bytes(raw[a:b]) for a, b in zip(at, at[1:])]]
+    cols = [np.ones(len(known), np.int32), x.ids, x.part == HELD_OUT, x.count, known, logs, [bytes(raw[a:b]) for a, b in zip(at, at[1:])]]
     return pa.table([pa.array(v, k) for v, k in zip(cols, types)], names)
 
 
@@ -288,5 +287,5 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_byt
     # the grid and the four totals bound these rows, whatever the corpus
     summed = statistics.groupBy("kind", "cell").agg(F.sum("n").alias("n"))
     model = summed.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(_learn, MODEL)
-    counted = B.with_answers(b, counts, lambda k, t, a: count_texts(t, a, n_groups), COUNTED)
-    return counted.join(F.broadcast(model), "one").mapInArrow(_score, SCORES)
+    texts = B.with_answers(b, counts, lambda k, t, a: count_texts(t, a, n_groups), COUNTED)
+    return texts.join(F.broadcast(model), "one").mapInArrow(_score, SCORES)
