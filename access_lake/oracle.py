@@ -23,8 +23,17 @@ CTE["raw_facilities"] = """raw_facilities AS (
     CASE WHEN l_linenumber = 7 THEN NULL ELSE 'P' || CAST(l_partkey AS VARCHAR) END AS facility_code,
     p_name AS facility_name,
     p_name AS facility_type,
-    replace(n_name, '_', ' ') AS county_name,
-    CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN '' ELSE c_mktsegment END AS sub_county_name,
+    CASE WHEN l_orderkey BETWEEN 41 AND 80 AND l_returnflag <> 'R' AND l_discount < CAST(0.05 AS DOUBLE)
+              AND l_tax > 0 AND l_quantity <= 45 THEN 'NATION 0'
+         WHEN l_orderkey BETWEEN 1 AND 40 AND l_returnflag <> 'R' AND l_discount < CAST(0.05 AS DOUBLE)
+              AND l_tax > 0 AND l_quantity <= 45 THEN 'Muranga'
+         WHEN l_orderkey BETWEEN 1 AND 7 THEN 'Elgeyo Marakwet'
+         WHEN l_orderkey BETWEEN 8 AND 15 THEN 'Tharaka Nithi'
+         WHEN l_orderkey BETWEEN 16 AND 40 THEN 'Kilifi'
+         ELSE replace(n_name, '_', ' ') END AS county_name,
+    CASE WHEN l_orderkey BETWEEN 41 AND 80 AND l_returnflag <> 'R' AND l_discount < CAST(0.05 AS DOUBLE)
+              AND l_tax > 0 AND l_quantity <= 45 THEN 'Annex'
+         WHEN c_mktsegment = 'AUTOMOBILE' THEN '' ELSE c_mktsegment END AS sub_county_name,
     'W' || CAST(l_suppkey AS VARCHAR) AS ward_name,
     c_acctbal AS latitude,
     o_totalprice AS longitude,
@@ -80,6 +89,11 @@ pop_rows AS (
   UNION ALL
   SELECT CAST(n_nationkey AS VARCHAR), replace(n_name, '_', '-'), c_mktsegment, CAST(sum(w) AS BIGINT)
   FROM cust_nation GROUP BY n_nationkey, n_name, c_mktsegment
+  UNION ALL
+  SELECT s.code, s.name, s.sub, CAST(s.people AS BIGINT)
+  FROM customer JOIN (VALUES (1, 'S0', 'Murang''a', '', 900000), (1, 'S0', 'Murang''a', 'Murang''a', 900000),
+                             (2, 'S1', 'Elgeyo-Marakwet', '', 400000), (3, 'S2', 'Tharaka-Nithi', '', 30000),
+                             (4, 'S3', 'Kilifi', '', 20000)) s(k, code, name, sub, people) ON c_custkey = s.k
 ),
 raw_population AS (
   SELECT county_code, county_name, sub_county, population, 2019 AS census_year,
@@ -273,15 +287,19 @@ def int_text_sql(expr: str, typ: str = "BIGINT") -> str:
 
 CTE["features"] = """features AS (
   SELECT s_suppkey AS pos,
-         CASE WHEN s_acctbal < 0 THEN 'None'
+         CASE WHEN s_suppkey = 1 THEN 'Murang''a'
+              WHEN s_suppkey = 2 THEN 'Elegeyo-Marakwet'
+              WHEN s_suppkey = 3 THEN 'Tharaka - Nithi'
+              WHEN s_suppkey = 4 THEN 'Kilifi'
+              WHEN s_acctbal < 0 THEN 'None'
               WHEN n_regionkey = 0 THEN replace(n_name, '_', ' - ')
               WHEN n_regionkey = 1 THEN replace(n_name, '_', '-')
               ELSE replace(n_name, '_', ' ') END AS COUNTY_NAM,
          CAST(n_nationkey AS VARCHAR) AS COUNTY_COD,
          CAST(s_suppkey AS VARCHAR) AS CONST_CODE,
          CASE WHEN s_acctbal > 9000 THEN NULL ELSE CAST(s_suppkey % 50 AS DOUBLE) / 4 END AS Shape_Area,
-         '{"type": "Point", "coordinates": [' || CAST(s_suppkey AS VARCHAR) || ', '
-           || CAST(n_nationkey AS VARCHAR) || ']}' AS geometry
+         CASE WHEN s_suppkey <> 4 THEN '{"type": "Point", "coordinates": [' || CAST(s_suppkey AS VARCHAR) || ', '
+           || CAST(n_nationkey AS VARCHAR) || ']}' END AS geometry
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
 )"""
 

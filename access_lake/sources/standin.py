@@ -16,6 +16,11 @@ population        per nation and per (nation, segment) from ``customer``;
 boundary feature  one ``supplier`` per feature (a "constituency"), in
                   supplier-key order, geometry a GeoJSON point
 daily snapshot    ``events``: latest event per user and day
+small areas       orders 1 to 40 lie in four small areas whose names carry
+                  apostrophes, dashes and alias spellings: rows without any
+                  service in the first, the others by order; so every gap
+                  flag is true somewhere. Rows without services of orders 41
+                  to 80 are a small sub-area of the drill-down area
 ================  ===========================================================
 """
 
@@ -38,6 +43,10 @@ STANDIN_TYPE_RULES = [
 ]
 # The area used by the single-area drill-down.
 STANDIN_DRILL_AREA = "nation 0"
+# Small areas by registry, census and boundary spelling, and population.
+SMALL_AREAS = [("Muranga", "Murang'a", "Murang'a", 900_000), ("Elgeyo Marakwet", "Elgeyo-Marakwet", "Elegeyo-Marakwet", 400_000),
+               ("Tharaka Nithi", "Tharaka-Nithi", "Tharaka - Nithi", 30_000), ("Kilifi", "Kilifi", "Kilifi", 20_000)]
+SMALL_SUBAREA = "Annex"
 # Census landing time of the stand-in population.
 STANDIN_CENSUS_TS = "2019-08-24 00:00:00"
 
@@ -94,6 +103,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _bare() -> F.Column:
+    """Rows without any of the four counted services."""
+    return ((F.col("l_returnflag") != "R") & (F.col("l_discount") < 0.05) & (F.col("l_tax") > 0) & (F.col("l_quantity") <= 45))
+
+
+def _annex() -> F.Column:
+    return F.col("l_orderkey").between(41, 80) & _bare()
+
+
+def _small_area() -> F.Column:
+    """The area of the first orders' rows, open for ``otherwise``."""
+    key, names = F.col("l_orderkey"), [F.lit(a[0]) for a in SMALL_AREAS]
+    return (F.when(_annex(), F.lit(STANDIN_DRILL_AREA.upper()))
+             .when(key.between(1, 40) & _bare(), names[0]).when(key.between(1, 7), names[1])
+             .when(key.between(8, 15), names[2]).when(key.between(16, 40), names[3]))
+
+
 @per_session
 def raw_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw facility rows in the product's column names."""
@@ -121,8 +147,9 @@ def raw_facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.concat(F.lit("P"), F.col("l_partkey").cast("string"))).alias("facility_code"),
         F.col("p_name").alias("facility_name"),
         F.col("p_name").alias("facility_type"),
-        F.replace(F.col("n_name"), F.lit("_"), F.lit(" ")).alias("county_name"),
-        F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(""))
+        _small_area().otherwise(F.replace(F.col("n_name"), F.lit("_"), F.lit(" "))).alias("county_name"),
+        F.when(_annex(), F.lit(SMALL_SUBAREA))
+         .when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(""))
          .otherwise(F.col("c_mktsegment")).alias("sub_county_name"),
         F.concat(F.lit("W"), F.col("l_suppkey").cast("string")).alias("ward_name"),
         F.col("c_acctbal").alias("latitude"),
@@ -168,7 +195,19 @@ def raw_population(spark: SparkSession, sf_dir: str) -> DataFrame:
                       name.alias("county_name"),
                       F.col("c_mktsegment").alias("sub_county"),
                       F.col("_pop").alias("population")))
-    return (totals.unionByName(subs)
+    # one more row per small area, from the first customers; the first area
+    # is loaded twice: with a blank sub-area and under its own name
+    key = F.col("c_custkey")
+    spelt, people, code = F.lit(None), F.lit(None), F.lit(None)
+    for k, (_, census, _, population) in enumerate(SMALL_AREAS):
+        spelt = F.when(key == k + 1, F.lit(census)).otherwise(spelt)
+        people = F.when(key == k + 1, F.lit(population)).otherwise(people)
+        code = F.when(key == k + 1, F.lit(f"S{k}")).otherwise(code)
+    small = cust.filter(key.between(1, len(SMALL_AREAS))).select(
+        code.alias("county_code"), spelt.alias("county_name"),
+        F.explode(F.when(key == 1, F.array(F.lit(""), spelt)).otherwise(F.array(F.lit("")))).alias("sub_county"),
+        people.cast("bigint").alias("population"))
+    return (totals.unionByName(subs).unionByName(small)
                   .withColumn("census_year", F.lit(2019))
                   .withColumn("ingested_at", F.lit(STANDIN_CENSUS_TS).cast("timestamp_ntz")))
 
@@ -201,13 +240,17 @@ def raw_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
     j = sup.join(nation, sup.s_nationkey == nation.n_nationkey)
-    name = (F.when(F.col("s_acctbal") < 0, F.lit("None"))
+    small = None
+    for k, (_, _, boundary, _) in enumerate(SMALL_AREAS):
+        cond = F.col("s_suppkey") == k + 1
+        small = F.when(cond, F.lit(boundary)) if small is None else small.when(cond, F.lit(boundary))
+    name = (small.when(F.col("s_acctbal") < 0, F.lit("None"))
              .when(F.col("n_regionkey") == 0, F.replace(F.col("n_name"), F.lit("_"), F.lit(" - ")))
              .when(F.col("n_regionkey") == 1, F.replace(F.col("n_name"), F.lit("_"), F.lit("-")))
              .otherwise(F.replace(F.col("n_name"), F.lit("_"), F.lit(" "))))
-    geometry = F.concat(F.lit('{"type": "Point", "coordinates": ['),
+    geometry = F.when(F.col("s_suppkey") == 4, F.lit(None).cast("string")).otherwise(F.concat(F.lit('{"type": "Point", "coordinates": ['),
                         F.col("s_suppkey").cast("string"), F.lit(", "),
-                        F.col("n_nationkey").cast("string"), F.lit("]}"))
+                        F.col("n_nationkey").cast("string"), F.lit("]}")))
     area = (F.when(F.col("s_acctbal") > 9000, F.lit(None).cast("double"))
              .otherwise((F.col("s_suppkey") % 50).cast("double") / 4))
     return j.select(

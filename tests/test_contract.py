@@ -73,3 +73,24 @@ def test_stand_in_properties(spark):
         assert ranks == list(range(1, len(ranks) + 1)), name
     for r in q["mart_density"](spark, SF).collect():
         assert r.hospital_count + r.health_centre_count + r.dispensary_count + r.clinic_count <= r.total_facilities
+
+
+def test_stand_in_fires_every_branch(spark):
+    """Green rows prove something: at sf 0.01 each gap flag and each zero
+    flag is true in one row and false in another, severity reaches 12, and
+    apostrophes, aliases and NULL geometries meet their partners."""
+    sf, q = "/root/testdata/sf0.01", E.queries()
+    under = q["mart_underserved"](spark, sf).collect()
+    for flag in ("maternity_gap_flag", "art_gap_flag", "tb_gap_flag", "no_emergency_flag"):
+        assert {getattr(r, flag) for r in under} == {True, False}, flag
+    assert max(r.severity_score for r in under) == 12
+    assert len({r.county_name for r in under}) == len(under)
+    sub = q["mart_subarea"](spark, sf).collect()
+    for flag in ("no_maternity_flag", "no_art_flag", "no_emergency_flag"):
+        assert {getattr(r, flag) for r in sub} == {True, False}, flag
+    drawn = {r.county_name: r.feature for r in q["dash_features"](spark, sf).collect()}
+    assert {"murang'a", "elegeyo-marakwet", "tharaka - nithi", "kilifi"} <= {k.lower() for k in drawn}
+    assert '"geometry":null' in next(v for k, v in drawn.items() if k.lower() == "kilifi")
+    assert next(r for r in under if r.county_name == "Muranga").total_population == 1_800_000  # loaded twice
+    changes = {r.change for r in q["facility_flag_changes"](spark, sf).collect()}
+    assert changes == {"gained", "lost"}
