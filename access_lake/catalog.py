@@ -53,6 +53,13 @@ def stg_pop(spark: SparkSession, sf: str) -> DataFrame:
     return staging.stg_population(standin.raw_population(spark, sf))
 
 
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: computed once, read often."""
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # ------------------------------------------------------------ sources / staging
 @register("raw_facilities", O.with_ctes(["raw_facilities"], "SELECT * FROM raw_facilities"))
 def q_raw_facilities(spark, sf):
@@ -117,9 +124,11 @@ def q_mart_gaps(spark, sf):
 
 @register("mart_underserved", O.with_ctes(["underserved"], "SELECT * FROM underserved"))
 def q_mart_underserved(spark, sf):
-    fac, pop = stg_fac(spark, sf), stg_pop(spark, sf)
-    return marts.mart_underserved(marts.mart_county_density(fac, pop),
-                                  marts.mart_service_gaps(fac, pop))
+    """Both area marts from one written profile (one row per area), so the
+    facilities are deduplicated and aggregated once."""
+    pop, profile = stg_pop(spark, sf), written(spark, marts.area_profile(stg_fac(spark, sf)), "profile")
+    return marts.mart_underserved(marts.mart_county_density(None, pop, profile),
+                                  marts.mart_service_gaps(None, pop, profile))
 
 
 @register("mart_subarea", O.with_ctes(["subarea"], "SELECT * FROM subarea"))
@@ -644,10 +653,12 @@ def _dq_report_sql() -> str:
 @register("dq_report", _dq_report_sql())
 def q_dq_report(spark, sf):
     """All 30 product checks over the stand-in models, one report row each
-    (DQ-1..6)."""
-    fac, pop = stg_fac(spark, sf), stg_pop(spark, sf)
-    density = marts.mart_county_density(fac, pop)
-    gaps = marts.mart_service_gaps(fac, pop)
+    (DQ-1..6). Staging is written as a table, as its users are many: one
+    deduplication serves its own checks, the area marts and the drill-down."""
+    fac, pop = written(spark, stg_fac(spark, sf), "staging"), stg_pop(spark, sf)
+    profile = written(spark, marts.area_profile(fac), "profile")
+    density = marts.mart_county_density(None, pop, profile)
+    gaps = marts.mart_service_gaps(None, pop, profile)
     models = {
         "stg_facilities": fac, "stg_population": pop,
         "stg_geodata": staging.stg_geodata(standardise_features(standin.raw_features(spark, sf), GEO_TS)),

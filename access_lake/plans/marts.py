@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from access_lake.functions import fixed
 from access_lake.functions.numeric import (band, baseline_gap, below, is_zero, rate_per, ratio,
                                            severity)
-from access_lake.operators.aggregates import (TYPE_COUNT_NAMES, flag_counts, pivot_counts,
-                                              population_totals, service_counts, subarea_counts,
-                                              weighted_sum)
+from access_lake.operators.aggregates import (SERVICE_COUNT_NAMES, TYPE_COUNT_NAMES, flag_counts,
+                                              pivot_counts, population_totals, service_counts,
+                                              subarea_counts, weighted_sum)
 from access_lake.operators.filters import drill_down, non_blank, with_all
 from access_lake.operators.joins import join_by_area, join_ci
 from access_lake.operators.ranking import rank_by
@@ -51,20 +51,32 @@ SUBAREA_COLUMNS = [
 ]
 
 
-def mart_county_density(fac: DataFrame, pop: DataFrame) -> DataFrame:
-    """Facility density per area (MDL-4).
+AREA_SERVICES = {**SERVICE_COUNT_NAMES, "outpatient_count": "has_outpatient"}
+
+
+def area_profile(fac: DataFrame) -> DataFrame:
+    """All counts per area that the area marts share, in one pass: total,
+    types, services (AGG-5) and the weighted score.
 
     The product counts per (area, type) and then sums per area; both levels
     are folded into one ``groupBy(area)`` with the same results and one
-    shuffle fewer.
+    shuffle fewer. A mart on its own prunes what it does not use; where
+    several marts are wanted, the profile can be written once (one row per
+    area) and given to each.
     """
-    weighted = fac.groupBy("county_name").agg(
+    return fac.groupBy("county_name").agg(
         F.count(F.lit(1)).alias("total_facilities"),
         *pivot_counts("facility_type", TYPE_COUNT_NAMES),
-        *flag_counts({"maternity_facilities": "has_maternity", "art_facilities": "has_art",
-                      "tb_facilities": "has_tb", "emergency_facilities": "has_emergency"}),
-        weighted_sum("facility_type"))
-    joined = join_by_area(weighted, population_totals(pop), how="left")
+        *flag_counts(AREA_SERVICES), weighted_sum("facility_type"))
+
+
+def mart_county_density(fac: DataFrame | None, pop: DataFrame, profile: DataFrame | None = None) -> DataFrame:
+    """Facility density per area (MDL-4), from the facilities or from their
+    :func:`area_profile`."""
+    profile = area_profile(fac) if profile is None else profile
+    names = {"maternity_count": "maternity_facilities", "art_count": "art_facilities",
+             "tb_count": "tb_facilities", "emergency_count": "emergency_facilities"}
+    joined = join_by_area(profile, population_totals(pop), how="left").withColumnsRenamed(names)
     out = joined.select(
         *[c for c in DENSITY_COLUMNS[:12]],
         rate_per("total_facilities", "total_population", fixed.DENSITY_PER).alias("facilities_per_10k"),
@@ -75,9 +87,11 @@ def mart_county_density(fac: DataFrame, pop: DataFrame) -> DataFrame:
     return ranked.select(*DENSITY_COLUMNS)
 
 
-def mart_service_gaps(fac: DataFrame, pop: DataFrame) -> DataFrame:
-    """Service rates per 100,000 people and gap flags per area (MDL-5)."""
-    joined = join_by_area(service_counts(fac), population_totals(pop), how="left")
+def mart_service_gaps(fac: DataFrame | None, pop: DataFrame, profile: DataFrame | None = None) -> DataFrame:
+    """Service rates per 100,000 people and gap flags per area (MDL-5), from
+    the facilities or from their :func:`area_profile`."""
+    services = service_counts(fac) if profile is None else profile
+    joined = join_by_area(services, population_totals(pop), how="left")
     per = fixed.SERVICE_PER
     return joined.select(
         "county_name", "total_facilities", "total_population", "maternity_count",
