@@ -73,10 +73,16 @@ def entry_table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
 ENTRY_SCHEMA = pa.schema([("grp", pa.int32()), ("block", pa.int32()), ("kind", pa.int32()), ("data", pa.binary())])
 
 
+def _done(t: pa.Table) -> pa.Table:
+    """Give freed Arrow memory back before a reused worker goes idle."""
+    pa.default_memory_pool().release_unused()
+    return t
+
+
 def from_blocks(blocks: DataFrame, f: Callable[[int, pa.Table], list[tuple]]) -> DataFrame:
     """Run ``f(block, sorted rows)`` on each block; it returns entries."""
     def run(t: pa.Table) -> pa.Table:
-        return entry_table(f(t.column("block")[0].as_py(), sorted_block(t)), ENTRY_SCHEMA)
+        return _done(entry_table(f(t.column("block")[0].as_py(), sorted_block(t)), ENTRY_SCHEMA))
 
     return blocks.groupBy("block").applyInArrow(run, ENTRY_TYPE)
 
@@ -87,7 +93,8 @@ def answer(entries: DataFrame, f: Callable[[list[tuple]], list[tuple]]) -> DataF
     def run(t: pa.Table) -> pa.Table:
         t = t.sort_by([("block", "ascending"), ("kind", "ascending")])
         rows = list(zip(*(t.column(c).to_pylist() for c in ("grp", "block", "kind", "data"))))
-        return entry_table(f(rows), ENTRY_SCHEMA)
+        del t
+        return _done(entry_table(f(rows), ENTRY_SCHEMA))
 
     return entries.groupBy("grp").applyInArrow(run, ENTRY_TYPE)
 
@@ -98,6 +105,7 @@ def with_answers(blocks: DataFrame, answers: DataFrame, f: Callable[[int, pa.Tab
         got = {(k, g): d for k, g, d in zip(a.column("kind").to_pylist(), a.column("grp").to_pylist(), a.column("data").to_pylist())}
         if t.num_rows == 0:  # statistics, addressed to no block
             return f(-1, t, got)
-        return f(t.column("block")[0].as_py(), sorted_block(t), got)
+        del a
+        return _done(f(t.column("block")[0].as_py(), sorted_block(t), got))
 
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)

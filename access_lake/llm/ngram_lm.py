@@ -45,7 +45,7 @@ BUCKETS = 24
 GRID_P, GRID_C, GRID = 0.25, 0.3, 100  #: histogram steps (natural logarithm) and their number
 ROUNDS = 60
 BLOCK_BYTES = 5 << 20
-GROUP_KEYS = 2_000_000
+GROUP_KEYS = 1_000_000
 
 U = np.uint64
 END, BEGIN = U(0x5851F42D4C957F2D), U(0x14057B7EF767814F)
