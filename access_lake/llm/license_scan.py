@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -67,11 +68,24 @@ def places(line: bytes, what: bytes) -> list[int]:
 
 
 def best_spans(spans: list[tuple]) -> list[tuple]:
-    """Without those that overlap a span with fewer edits."""
+    """Spans (edits, first word, label, words, ...) without those that
+    overlap a kept one with fewer edits; compared within runs of overlapping
+    spans, so a long text with many notices takes linear time."""
     kept: list[tuple] = []
-    for s in sorted(spans):
-        if not any(k[0] < s[0] and k[1] < s[1] + s[3] and s[1] < k[1] + k[3] for k in kept):
-            kept.append(s)
+    run: list[tuple] = []
+    end = 0
+    for span in [*sorted(spans, key=lambda s: s[1]), None]:
+        if span is not None and run and span[1] < end:
+            run.append(span)
+            end = max(end, span[1] + span[3])
+            continue
+        best: list[tuple] = []
+        for s in sorted(run):
+            if not any(k[0] < s[0] and k[1] < s[1] + s[3] and s[1] < k[1] + k[3] for k in best):
+                best.append(s)
+        kept += best
+        if span is not None:
+            run, end = [span], span[1] + span[3]
     return kept
 
 
@@ -103,16 +117,19 @@ class Scanner:
     def scan(self, text: bytes) -> tuple:
         words = text.translate(WORD_BYTES).split()
         line = b" " + b" ".join(words) + b" "
-        found = [(line.count(b" ", 0, at), label) for phrase, label in self.phrases for at in places(line, phrase)]
-        base = {label for _, label in found}
-        spans, best = [], 1.0 if base else 0.0
+        at = [(p, label) for phrase, label in self.phrases for p in places(line, phrase)]
+        base = {label for _, label in at}
+        matches = []
         for notice, label, k, pieces, rx in self.notices:
             for a, b in self.windows(line, len(notice), k, pieces):
                 for m in rx.finditer(line[a:b]):
-                    edits = sum(m.fuzzy_counts)
                     if m.end() > m.start():
-                        spans.append((edits, line.count(b" ", 0, a + m.start()) - 1, label, m.group().strip().count(b" ") + 1, len(notice)))
-        spans = best_spans(spans)
+                        matches.append((sum(m.fuzzy_counts), a + m.start(), label, m.group().strip().count(b" ") + 1, len(notice)))
+        if at or matches:  # from byte to word: the spaces before it
+            spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+        found = [(int(np.searchsorted(spaces, p)), label) for p, label in at]
+        spans = best_spans([(e, int(np.searchsorted(spaces, p)) - 1, *rest) for e, p, *rest in matches])
+        best = 1.0 if base else 0.0
         best = max([best, *(1 - s[0] / s[4] for s in spans)])
         starts = [s for s, _ in found]
         labels = base | {s[2] for s in spans}
