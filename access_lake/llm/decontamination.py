@@ -86,6 +86,10 @@ def _alignments(texts: DataFrame, seeds: DataFrame) -> DataFrame:
             .distinct())
 
 
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, b: a + b)
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", chunk: int = CHUNK) -> DataFrame:
     """One row per alignment of a text with an item that counts: doc_id,
     item_id, first_word (of the compared words in the text), item_word (in the
@@ -105,13 +109,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
     size = F.size("item_words")
     window = F.least(F.lit(WINDOW), size)
     equal = F.zip_with(F.slice("item_words", F.col("lead") + 1, F.size("stretch")), F.col("stretch"), lambda a, b: (a == b).cast("int"))
-    def add(a: Column, b: Column) -> Column:
-        return a + b
-
-    # no window past the compared words: the sequence is clamped, and stretches shorter than a window are filtered first
-    sums = F.transform(F.sequence(F.lit(1), F.size("equal") - window + 1), lambda i: F.aggregate(F.slice("equal", i, window), F.lit(0), add))
+    sums = F.transform(F.sequence(F.lit(1), F.size("equal") - window + 1), lambda i: _total(F.slice("equal", i, window)))
+    # stretches shorter than a window go first, so every window is a full one
     met = (found.join(items, "item_id").withColumn("equal", equal).filter(F.size("equal") >= window)
-           .withColumn("best_window", F.array_max(sums)).withColumn("matched", F.aggregate("equal", F.lit(0), add)))
+           .withColumn("best_window", F.array_max(sums)).withColumn("matched", _total(F.col("equal"))))
     least = F.when(size < WINDOW, size).otherwise(F.lit(WINDOW - DIFFERENCES))
     return met.filter(F.col("best_window") >= least).select(
         "doc_id", "item_id", F.greatest("start", F.lit(0)).cast("long").alias("first_word"), F.col("lead").cast("long").alias("item_word"),
