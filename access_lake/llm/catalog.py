@@ -71,8 +71,7 @@ def op8_warc_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc, warc = shared_dir(spark, "arc"), shared_dir(spark, "warc")
     warc_convert.write_arc(table(spark, sf_dir, "pages"), arc)
     warc_convert.convert(spark, arc, warc)
-    found = warc_convert.resolved(warc_convert.read_warc(spark, warc, with_payload=False))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc_convert.read_warc(spark, warc, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 ORACLE["op8_warc_convert"] = """

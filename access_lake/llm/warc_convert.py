@@ -7,8 +7,8 @@ synthesises WARC records: ids (a UUID from the digest of the record's
 identity, so a retried task writes the same ones), timestamps (14 digits to
 ISO), types and digests. Of records with equal payloads of ``REVISIT_BYTES``
 and more, the one with the smallest page id is the response; the others are
-revisits that refer to it and carry no payload. Archives begin with
-a warcinfo record.
+revisits that refer to it (by record id, and by page id in an extension
+field) and carry no payload. Archives begin with a warcinfo record.
 
 Archives are written through Spark's own text sink, one archive of about
 ``ARCHIVE_BYTES`` a file, gzip-compressed, and read with its binary-file
@@ -183,17 +183,18 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 # -- WARC -------------------------------------------------------------------
 
 def typed(records: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
-    """Adds ``response_id`` and ``response_url``: the response that a record
-    revisits, else null."""
+    """Adds ``response_id``, ``response_url`` and ``response_page``: the
+    response that a record revisits, else null."""
     identity = F.struct(F.col("page_id").isNull().alias("unnamed"), "page_id", "file", "at", "record_id", "url")
     firsts = (records.filter(F.col("payload_bytes") >= least).groupBy("payload_digest")
               .agg(F.min(identity).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-              .select("payload_digest", F.col("first.record_id").alias("response_id"), F.col("first.url").alias("response_url"),
+              .select("payload_digest", F.col("first.record_id").alias("response_id"), F.col("first.url").alias("response_url"), F.col("first.page_id").alias("response_page"),
                       F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
     salted = records.withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(SALTS)).cast("int"))
     met = salted.join(firsts, ["payload_digest", "salt"], "left")
     own = (F.col("payload_bytes") >= least) & (F.col("response_id") != F.col("record_id"))
-    return met.withColumn("response_url", F.when(own, F.col("response_url"))).withColumn("response_id", F.when(own, F.col("response_id"))).drop("salt")
+    found = {c: F.when(own, F.col(c)) for c in ("response_id", "response_url", "response_page")}
+    return met.withColumns(found).drop("salt")
 
 
 def iso_date(digits: str) -> str:
@@ -214,7 +215,8 @@ def _warc_of(row: dict) -> str:
               ("WARC-Payload-Digest", f"sha256:{row['payload_digest']}"), ("X-Payload-Length", row["payload_bytes"]),
               ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block.encode()).hexdigest()}")]
     if revisit:
-        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<{row['response_id']}>"), ("WARC-Refers-To-Target-URI", row["response_url"])]
+        fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<{row['response_id']}>"), ("WARC-Refers-To-Target-URI", row["response_url"]),
+                   ("X-Refers-To-Page-Id", "" if row["response_page"] is None else row["response_page"])]
     return warc_record(fields, block)
 
 
@@ -263,15 +265,15 @@ def parse_warc(name: str, data: bytes) -> Iterator[dict]:
             n = int(http_field(head, "X-Payload-Length"))
             if kind == "response" and (len(payload) != n or hashlib.sha256(payload).hexdigest() != digest):
                 raise ValueError(f"{name}: the payload at {at} does not match its digest")
-            page = http_field(http.decode(), "X-Page-Id")
+            page, first = http_field(http.decode(), "X-Page-Id"), http_field(head, "X-Refers-To-Page-Id")
             yield {"record_id": http_field(head, "WARC-Record-ID").strip("<>"), "record_type": kind, "url": http_field(head, "WARC-Target-URI"),
                    "date": http_field(head, "WARC-Date"), "page_id": int(page) if page else None, "payload_bytes": n, "payload_digest": digest,
-                   "refers_to_id": http_field(head, "WARC-Refers-To").strip("<>") or None, "payload": payload.decode() if kind == "response" else None}
+                   "refers_to_id": http_field(head, "WARC-Refers-To").strip("<>") or None, "refers_to": int(first) if first else None, "payload": payload.decode() if kind == "response" else None}
         at = end + 8 + size
 
 
 WARC_ROW = ("record_id string, record_type string, url string, date string, page_id long, payload_bytes long, payload_digest string, "
-            "refers_to_id string, payload string")
+            "refers_to_id string, refers_to long, payload string")
 
 
 def read_warc(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
@@ -289,9 +291,3 @@ def _without_payload(name: str, data: bytes) -> Iterator[dict]:
 def convert(spark: SparkSession, arc_path: str, warc_path: str, least: int = REVISIT_BYTES) -> None:
     """Convert all ARC files of a folder to WARC files in another."""
     write_warc(typed(read_arc(spark, arc_path), least), warc_path)
-
-
-def resolved(records: DataFrame) -> DataFrame:
-    """``read_warc`` rows with ``refers_to``: the page id of the response."""
-    responses = records.filter("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
-    return records.join(responses, "refers_to_id", "left")
