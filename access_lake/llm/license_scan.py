@@ -5,8 +5,9 @@ A-Z lower-cased) joined by one space. Base labels are exact phrases in it.
 Notices are then searched with edits: a notice that occurs with at most k
 edits contains one of its k + 1 pieces unchanged (pigeonhole), so exact
 search for the pieces locates all candidates, and the ``regex`` library's
-bounded-error matching verifies each candidate's neighbourhood, at word
-edges, and counts the edits.
+bounded-error matching verifies each stretch of whole words around them and
+counts the edits. Of stretches that overlap the one with the fewest edits is
+listed, so every notice of a text with many of them is found.
 
 Defined cases: a null or empty text has no words and no labels (empty
 strings, score 0); rows repeat as in the input; a null id is kept; an empty
@@ -59,33 +60,27 @@ def seeds(notice: bytes, edits: int) -> list[tuple[int, bytes]]:
     return [(a, notice[a:b]) for a, b in zip(cut, cut[1:])]
 
 
-def places(line: bytes, what: bytes) -> list[int]:
-    out, at = [], line.find(what)
+def places(line: bytes, what: bytes, start: int = 0, end: int | None = None) -> list[int]:
+    out, at = [], line.find(what, max(start, 0), end)
     while at >= 0:
         out.append(at)
-        at = line.find(what, at + 1)
+        at = line.find(what, at + 1, end)
     return out
 
 
 def best_spans(spans: list[tuple]) -> list[tuple]:
-    """Spans (edits, first word, label, words, ...) without those that
-    overlap a kept one with fewer edits; compared within runs of overlapping
-    spans, so a long text with many notices takes linear time."""
+    """Spans (edits, first word, label, words, notice), those with the fewest
+    edits first, without those that overlap a kept one with fewer edits or
+    of the same notice; kept spans are looked up by word, so a long text
+    with many notices takes linear time."""
     kept: list[tuple] = []
-    run: list[tuple] = []
-    end = 0
-    for span in [*sorted(spans, key=lambda s: s[1]), None]:
-        if span is not None and run and span[1] < end:
-            run.append(span)
-            end = max(end, span[1] + span[3])
-            continue
-        best: list[tuple] = []
-        for s in sorted(run):
-            if not any(k[0] < s[0] and k[1] < s[1] + s[3] and s[1] < k[1] + k[3] for k in best):
-                best.append(s)
-        kept += best
-        if span is not None:
-            run, end = [span], span[1] + span[3]
+    at_word: dict[int, list[tuple]] = {}
+    for s in sorted(spans, key=lambda s: (s[0], s[1], -s[3], s[2], s[4])):
+        words = range(s[1], s[1] + s[3])
+        if not any(k[0] < s[0] or k[4] == s[4] for w in words for k in at_word.get(w, ())):
+            kept.append(s)
+            for w in words:
+                at_word.setdefault(w, []).append(s)
     return kept
 
 
@@ -97,22 +92,15 @@ class Scanner:
         self.notices = []
         for notice, label in notices.items():
             k = edits_allowed(notice)
-            rx = regex.compile(rb"(?b)(?<![^ ])(?:" + regex.escape(notice, literal_spaces=True) + rb"){e<=%d}(?![^ ])" % k)
+            rx = regex.compile(rb"(?b)(?:" + regex.escape(notice, literal_spaces=True) + rb"){e<=%d}" % k)
             self.notices.append((notice, label, k, seeds(notice, k), rx))
 
-    def windows(self, line: bytes, length: int, k: int, pieces: list[tuple[int, bytes]]) -> list[list[int]]:
-        """Neighbourhoods of exact pieces, widened to word edges and merged."""
-        found = sorted((at - offset - k, at - offset + length + k) for offset, piece in pieces for at in places(line, piece))
-        out: list[list[int]] = []
-        for a, b in found:
-            a = line.rfind(b" ", 0, max(a, 0) + 1) + 1
-            b = line.find(b" ", min(b, len(line)))
-            b = len(line) if b < 0 else b
-            if out and a <= out[-1][1]:
-                out[-1][1] = max(out[-1][1], b)
-            else:
-                out.append([a, b])
-        return out
+    def stretches(self, line: bytes, length: int, k: int, pieces: list[tuple[int, bytes]]) -> set[tuple[int, int]]:
+        """All stretches of whole words that hold an exact piece, and start
+        and end within k bytes of where the notice would."""
+        near = {at - offset for offset, piece in pieces for at in places(line, piece) if at - offset + k > 0}
+        starts = {space + 1 for a in near for space in places(line, b" ", a - k - 1, a + k)}
+        return {(a, b) for a in starts for b in places(line, b" ", a + max(length - k, 1), a + length + k + 1)}
 
     def scan(self, text: bytes) -> tuple:
         words = text.translate(WORD_BYTES).split()
@@ -121,16 +109,15 @@ class Scanner:
         base = {label for _, label in at}
         matches = []
         for notice, label, k, pieces, rx in self.notices:
-            for a, b in self.windows(line, len(notice), k, pieces):
-                for m in rx.finditer(line[a:b]):
-                    if m.end() > m.start():
-                        matches.append((sum(m.fuzzy_counts), a + m.start(), label, m.group().strip().count(b" ") + 1, len(notice)))
+            for a, b in self.stretches(line, len(notice), k, pieces):
+                if m := rx.fullmatch(line, a, b):
+                    matches.append((sum(m.fuzzy_counts), a, label, line.count(b" ", a, b) + 1, notice))
         if at or matches:  # from byte to word: the spaces before it
             spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
         found = [(int(np.searchsorted(spaces, p)), label) for p, label in at]
         spans = best_spans([(e, int(np.searchsorted(spaces, p)) - 1, *rest) for e, p, *rest in matches])
         best = 1.0 if base else 0.0
-        best = max([best, *(1 - s[0] / s[4] for s in spans)])
+        best = max([best, *(1 - s[0] / len(s[4]) for s in spans)])
         starts = [s for s, _ in found]
         labels = base | {s[2] for s in spans}
         return (len(words), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), best,

@@ -268,6 +268,36 @@ def test_best_span_wins():
     assert scanner.scan(b"This work is licenced under the GNU Generel Public License")[5] == "gpl"
 
 
+@pytest.mark.parametrize("text, expected", [
+    ("released under the mit licence or released under the mit license", [(0, 5, 1), (6, 5, 0)]),
+    ("licensed under the apache licence version 2 0 " * 2 + "licensed under the apache license version 2 0", [(0, 8, 1), (8, 8, 1), (16, 8, 0)])])
+def test_notices_next_to_each_other(text, expected):
+    spans = license_scan.Scanner(license_scan.PHRASES, license_scan.NOTICES).scan(text.encode())[-1]
+    assert [(x["first_word"], x["words"], x["edits"]) for x in spans] == expected
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_every_notice_of_a_list_is_found(seed):
+    import random
+    rng = random.Random(seed)
+    for notice, label in license_scan.NOTICES.items():
+        scanner, k, parts = license_scan.Scanner({}, {notice: label}), license_scan.edits_allowed(notice), []
+        for _ in range(rng.randrange(2, 6)):
+            s = list(notice.decode())
+            for _ in range(rng.randrange(k + 2)):
+                at = rng.randrange(len(s))
+                s[at:at + 1] = rng.choice([[], ["q"], [s[at], "z"], [s[at], " "]])
+            parts += ["".join(s), rng.choice(["", "or", "a", "and also"])]
+        line = " ".join(" ".join(parts).split())
+        words, kept = line.split(), []
+        hand = spans_by_hand(line, notice.decode(), k)
+        for e, i, _, j in sorted((distance(" ".join(words[i:j]), notice.decode()), i, -j, j) for i, j in hand):
+            if all(j <= a or b <= i for a, b, _ in kept):
+                kept.append((i, j, e))
+        spans = scanner.scan(line.encode())[-1]
+        assert [(x["first_word"], x["first_word"] + x["words"], x["edits"]) for x in spans] == sorted(kept), line
+
+
 # -- operator 8 -------------------------------------------------------------
 
 BIG = "é x\n" * 60
