@@ -21,7 +21,7 @@ so nothing of the texts is shuffled but the few aligned stretches.
 Defined cases: a null or empty text matches nothing; null or repeated items
 are ignored; equal finds of equal ids (repeated rows) are listed once; a null
 id is kept; empty tables give an empty result; other columns are ignored by
-``overlaps`` and kept by ``without_leaks``.
+``overlaps`` and kept by ``without_leaks`` and ``without_leaking_rows``.
 """
 
 from __future__ import annotations
@@ -73,16 +73,16 @@ def item_seeds(items: DataFrame) -> DataFrame:
             .filter("seed IS NOT NULL").distinct())
 
 
-def _alignments(texts: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Distinct (doc_id, item_id, start, lead, stretch): the item's first
+def _alignments(texts: DataFrame, seeds: DataFrame, ids: list[str]) -> DataFrame:
+    """Distinct (*ids, item_id, start, lead, stretch): the item's first
     word stands at ``start`` of the text (may be negative; then the first
     ``lead`` words of the item are before the text)."""
-    placed = texts.select("doc_id", "words", "hashes", F.explode(_positions(F.col("hashes"))).alias("at"))
-    probes = placed.select("doc_id", "words", "at", F.explode(_seeds(F.col("hashes"), F.col("at"))).alias("seed"))
+    placed = texts.select(*ids, "words", "hashes", F.explode(_positions(F.col("hashes"))).alias("at"))
+    probes = placed.select(*ids, "words", "at", F.explode(_seeds(F.col("hashes"), F.col("at"))).alias("seed"))
     start = F.col("at") - F.col("item_at")
     lead = F.greatest(-start, F.lit(0))
     return (probes.join(F.broadcast(seeds), "seed")
-            .select("doc_id", "item_id", start.alias("start"), lead.alias("lead"), F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("item_size") - lead).alias("stretch"))
+            .select(*ids, "item_id", start.alias("start"), lead.alias("lead"), F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("item_size") - lead).alias("stretch"))
             .distinct())
 
 
@@ -95,16 +95,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
     item_id, first_word (of the compared words in the text), item_word (in the
     item), words (compared), matched (of them), best_window (matches in the
     best WINDOW words) and share (matched of the item's words)."""
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return _overlaps(texts, benchmark, ["doc_id"], item_id, chunk)
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str], item_id: str, chunk: int = CHUNK) -> DataFrame:
+    """``overlaps`` of (*ids, text); rows equal in ``ids`` are one text's."""
     items = benchmark_items(benchmark, item_id)
     n_chunks = max(1, -(-item_seeds(items).count() // chunk))
-    texts = (docs.select(F.col(doc_id).cast("long").alias("doc_id"), words_of(F.col(text).cast("string")).alias("words"))
-             .select("doc_id", "words", _hashes(F.col("words")).alias("hashes")))
+    texts = docs.select(*ids, words_of(F.col("text")).alias("words")).select(*ids, "words", _hashes(F.col("words")).alias("hashes"))
     seeds = item_seeds(items)
     if n_chunks > 1:
         part = F.pmod(F.xxhash64(F.col("seed"), F.lit("chunk")), F.lit(n_chunks))
-        found = reduce(DataFrame.unionByName, [_alignments(texts, seeds.filter(part == k)) for k in range(n_chunks)])
+        found = reduce(DataFrame.unionByName, [_alignments(texts, seeds.filter(part == k), ids) for k in range(n_chunks)])
     else:
-        found = _alignments(texts, seeds)
+        found = _alignments(texts, seeds, ids)
     found = found.distinct() if n_chunks > 1 else found
     size = F.size("item_words")
     window = F.least(F.lit(WINDOW), size)
@@ -115,7 +120,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text
            .withColumn("best_window", F.array_max(sums)).withColumn("matched", _total(F.col("equal"))))
     least = F.when(size < WINDOW, size).otherwise(F.lit(WINDOW - DIFFERENCES))
     return met.filter(F.col("best_window") >= least).select(
-        "doc_id", "item_id", F.greatest("start", F.lit(0)).cast("long").alias("first_word"), F.col("lead").cast("long").alias("item_word"),
+        *ids, "item_id", F.greatest("start", F.lit(0)).cast("long").alias("first_word"), F.col("lead").cast("long").alias("item_word"),
         F.size("equal").cast("long").alias("words"), F.col("matched").cast("long").alias("matched"), F.col("best_window").cast("long").alias("best_window"),
         (F.col("matched") / size).alias("share"))
 
@@ -125,3 +130,15 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     null-safely, so leaking rows with a null id take all null ids along."""
     leaks = overlaps(docs, benchmark, doc_id, text, item_id).select(F.col("doc_id").alias("__llm_leak")).distinct()
     return docs.join(leaks, F.col(doc_id).cast("long").eqNullSafe(F.col("__llm_leak")), "left_anti")
+
+
+def without_leaking_rows(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:
+    """The rows of ``docs`` that no item overlaps, each judged by its own
+    text: rows are told apart by id and hash of id and text, so a clean row
+    stays whatever other rows of its id (or without an id) hold."""
+    own_id, own_text = F.col(doc_id).cast("long"), F.col(text).cast("string")
+    key = F.xxhash64(own_id, own_text)
+    texts = docs.select(own_id.alias("doc_id"), key.alias("row_key"), own_text.alias("text"))
+    leaks = (_overlaps(texts, benchmark, ["doc_id", "row_key"], item_id)
+             .select(F.col("doc_id").alias("__llm_leak"), F.col("row_key").alias("__llm_key")).distinct())
+    return docs.join(leaks, (key == F.col("__llm_key")) & own_id.eqNullSafe(F.col("__llm_leak")), "left_anti")

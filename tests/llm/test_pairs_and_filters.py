@@ -254,6 +254,19 @@ def test_without_leaks(spark):
     assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(d) for d, _ in docs if d not in leaking)
 
 
+def test_leaking_rows_leave_other_rows_of_their_id(spark, tmp):
+    import corpus_pipeline
+    docs, items = leak_tables(spark)
+    docs += [(None, "clean and without an id"), (None, "clean and without an id"), (docs[-1][0], "clean text of an id that leaks"), (500, None)]
+    df = spark.createDataFrame([(d, t, "x", "y") for d, t in docs], "doc_id long, text string, item_id string, words string").repartition(3)
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp}/benchmark.parquet")
+    clean = corpus_pipeline.drop_leaks(spark, df, tmp)
+    leaks = [bool(overlaps_by_hand([d], items)) for d in docs]
+    assert any(x and d[0] is None for x, d in zip(leaks, docs)) and clean.columns == df.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in clean.collect()) == sorted((str(d), str(t)) for (d, t), x in zip(docs, leaks) if not x)
+    assert decontamination.without_leaking_rows(empty(spark), spark.createDataFrame(items, "item_id long, text string")).count() == 0
+
+
 def test_leaks_of_nothing(spark):
     bench = spark.createDataFrame([(1, " ".join(WORDS))], "item_id long, text string")
     assert decontamination.overlaps(empty(spark), bench).count() == 0
