@@ -19,7 +19,7 @@ texts. Text positions are generated, probed and dropped inside one stage,
 so nothing of the texts is shuffled but the few aligned stretches.
 
 Defined cases: a null or empty text matches nothing; null or repeated items
-are ignored; equal finds of equal ids (repeated rows) are listed once; a null
+are ignored; an item without an id matches like any other; equal finds of equal ids (repeated rows) are listed once; a null
 id is kept; empty tables give an empty result; other columns are ignored by
 ``overlaps`` and kept by ``without_leaks`` and ``without_leaking_rows``.
 """
@@ -60,21 +60,23 @@ def _positions(hashes: Column) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, item_words), distinct; items of SHORTEST words and more."""
+    """(item_id, item_words, item_key), distinct; items of SHORTEST words and
+    more. The key is a hash of the words, so items without an id and
+    different items of one id are told apart."""
     return (benchmark.select(F.col(item_id).cast("long").alias("item_id"), words_of(F.col(text).cast("string")).alias("item_words"))
-            .filter(F.size("item_words") >= SHORTEST).distinct())
+            .filter(F.size("item_words") >= SHORTEST).distinct().withColumn("item_key", F.xxhash64("item_words")))
 
 
 def item_seeds(items: DataFrame) -> DataFrame:
-    """(seed, item_id, item_at, item_size)."""
-    hashed = items.select("item_id", F.size("item_words").alias("item_size"), _hashes(F.col("item_words")).alias("hashes"))
-    placed = hashed.select("item_id", "item_size", "hashes", F.explode(_positions(F.col("hashes"))).alias("item_at"))
-    return (placed.select("item_id", "item_size", "item_at", F.explode(_seeds(F.col("hashes"), F.col("item_at"))).alias("seed"))
+    """(seed, item_key, item_at, item_size)."""
+    hashed = items.select("item_key", F.size("item_words").alias("item_size"), _hashes(F.col("item_words")).alias("hashes"))
+    placed = hashed.select("item_key", "item_size", "hashes", F.explode(_positions(F.col("hashes"))).alias("item_at"))
+    return (placed.select("item_key", "item_size", "item_at", F.explode(_seeds(F.col("hashes"), F.col("item_at"))).alias("seed"))
             .filter("seed IS NOT NULL").distinct())
 
 
 def _alignments(texts: DataFrame, seeds: DataFrame, ids: list[str]) -> DataFrame:
-    """Distinct (*ids, item_id, start, lead, stretch): the item's first
+    """Distinct (*ids, item_key, start, lead, stretch): the item's first
     word stands at ``start`` of the text (may be negative; then the first
     ``lead`` words of the item are before the text)."""
     placed = texts.select(*ids, "words", "hashes", F.explode(_positions(F.col("hashes"))).alias("at"))
@@ -82,7 +84,7 @@ def _alignments(texts: DataFrame, seeds: DataFrame, ids: list[str]) -> DataFrame
     start = F.col("at") - F.col("item_at")
     lead = F.greatest(-start, F.lit(0))
     return (probes.join(F.broadcast(seeds), "seed")
-            .select(*ids, "item_id", start.alias("start"), lead.alias("lead"), F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("item_size") - lead).alias("stretch"))
+            .select(*ids, "item_key", start.alias("start"), lead.alias("lead"), F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("item_size") - lead).alias("stretch"))
             .distinct())
 
 
@@ -116,13 +118,13 @@ def _overlaps(docs: DataFrame, benchmark: DataFrame, ids: list[str], item_id: st
     equal = F.zip_with(F.slice("item_words", F.col("lead") + 1, F.size("stretch")), F.col("stretch"), lambda a, b: (a == b).cast("int"))
     sums = F.transform(F.sequence(F.lit(1), F.size("equal") - window + 1), lambda i: _total(F.slice("equal", i, window)))
     # stretches shorter than a window go first, so every window is a full one
-    met = (found.join(items, "item_id").withColumn("equal", equal).filter(F.size("equal") >= window)
+    met = (found.join(items, "item_key").withColumn("equal", equal).filter(F.size("equal") >= window)
            .withColumn("best_window", F.array_max(sums)).withColumn("matched", _total(F.col("equal"))))
     least = F.when(size < WINDOW, size).otherwise(F.lit(WINDOW - DIFFERENCES))
     return met.filter(F.col("best_window") >= least).select(
         *ids, "item_id", F.greatest("start", F.lit(0)).cast("long").alias("first_word"), F.col("lead").cast("long").alias("item_word"),
         F.size("equal").cast("long").alias("words"), F.col("matched").cast("long").alias("matched"), F.col("best_window").cast("long").alias("best_window"),
-        (F.col("matched") / size).alias("share"))
+        (F.col("matched") / size).alias("share")).distinct()
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id") -> DataFrame:

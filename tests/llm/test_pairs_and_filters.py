@@ -267,6 +267,18 @@ def test_leaking_rows_leave_other_rows_of_their_id(spark, tmp):
     assert decontamination.without_leaking_rows(empty(spark), spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def test_items_without_an_id_or_with_a_repeated_one(spark):
+    rng = random.Random(5)
+    items = [(None, prose(rng, 20)), (None, prose(rng, 31)), (7, prose(rng, 25)), (7, prose(rng, 14)), (8, prose(rng, 15))]
+    items += [(9, items[2][1]), (None, items[0][1]), (None, None)]
+    docs = [(i, f"{prose(rng, 9)} {text or ''} {prose(rng, 5)}") for i, (_, text) in enumerate(items)] + [(50, prose(rng, 40))]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [tuple(r)[:7] for r in decontamination.overlaps(df, bench).collect()]
+    assert len(got) == len(set(got)) and set(got) == overlaps_by_hand(docs, items)
+    for clean in (decontamination.without_leaks(df, bench), decontamination.without_leaking_rows(df, bench)):
+        assert sorted(r.doc_id for r in clean.collect()) == [7, 50]
+
+
 def test_leaks_of_nothing(spark):
     bench = spark.createDataFrame([(1, " ".join(WORDS))], "item_id long, text string")
     assert decontamination.overlaps(empty(spark), bench).count() == 0
