@@ -50,7 +50,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_conflict_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into bins of 2048 words without conflicts."""
-    return conflict_packing.pack(conflict_packing.measure(table(spark, sf_dir, "documents")))
+    return conflict_packing.pack(conflict_packing.measure_near_copies(table(spark, sf_dir, "documents")))
 
 
 @query

@@ -38,19 +38,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces
+from .common import pieces, shared_dir
+from .simhash_tiles import near_duplicates
 from .words import text_buffer
 
 CAPACITY = 2048
 BLOCK = 20_000
 HOT = 0.02  #: share of a block's documents that gives a key its own shelf
 
-ITEMS = "doc_id long, n_words long, source string, cluster long"
+ITEMS = "doc_id long, n_words long, source string, cluster long, row_key long"
 PACKED = "doc_id long, piece int, start long, words long, bin_id long, offset long, bin_words long, source string, cluster long"
 
 
 def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(doc_id, n_words, source, cluster); the cluster of a text is the
+    """(doc_id, n_words, source, cluster, row_key); the cluster of a text is the
     fingerprint of its lower-cased words, so copies share it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -61,12 +62,27 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
             words = (data[a:b].split() for a, b in zip(at, at[1:]))
             rows = [(len(w), xxhash.xxh64_intdigest(b" ".join(w)) - (1 << 63)) for w in words]
             n, cluster = zip(*rows) if rows else ((), ())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), batch.column("source"), pa.array(cluster, pa.int64())], ["doc_id", "n_words", "source", "cluster"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), batch.column("source"), pa.array(cluster, pa.int64()), batch.column("row_key")], ["doc_id", "n_words", "source", "cluster", "row_key"])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(source).cast("string").alias("source"))
+    own_id, own_text = F.col(doc_id).cast("long"), F.col(text).cast("string")
+    rows = docs.select(own_id.alias("doc_id"), own_text.alias("text"), F.col(source).cast("string").alias("source"), F.xxhash64(own_id, own_text).alias("row_key"))
     return rows.mapInArrow(run, ITEMS)
 
 
+def measure_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """``measure`` with the near-copy component of operator 10 as cluster:
+    its smallest id, or, in a component without ids, a key of its first row.
+    The small rows are written, since packing reads them twice."""
+    spark = docs.sparkSession
+    component = F.coalesce("component_id", "component_key").alias("component")
+    found = near_duplicates(docs, doc_id=doc_id, text=text).select(F.col("doc_id").alias("own_id"), F.col("row_key").alias("own_key"), component).distinct()
+    rows = measure(docs, doc_id, text, source)
+    path = shared_dir(spark, "measured")
+    (rows.join(found, (F.col("row_key") == F.col("own_key")) & F.col("doc_id").eqNullSafe(F.col("own_id")))
+     .select("doc_id", "n_words", "source", F.col("component").alias("cluster"), "row_key").write.parquet(path))
+    return spark.read.parquet(path)
+
+
 class Shelf:
     """Open bins by residual capacity. ``levels`` has bit r set if some bin
     has residual r, so the successor of a length is its lowest bit above."""
@@ -180,5 +196,5 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> Data
     """One row per piece of a document: its words ``start`` to ``start +
     words`` stand at ``offset`` in bin ``bin_id``."""
     n = pieces(items.count(), block)
-    dealt = items.select("doc_id", "n_words", "source", "cluster", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(n)).cast("int").alias("block"))
+    dealt = items.select("doc_id", "n_words", "source", "cluster", F.pmod(F.xxhash64("doc_id", "row_key"), F.lit(n)).cast("int").alias("block"))
     return dealt.groupBy("block").applyInPandas(lambda rows: pack_block(rows, capacity), PACKED)

@@ -161,8 +161,9 @@ def links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per text: doc_id, row_key, fp, component_id (smallest doc_id
-    reachable over links of ``radius`` bits) and ``keeper``: whether this
-    (doc_id, row_key) stands for its component."""
+    reachable over links of ``radius`` bits), component_key (the row_key of
+    that row) and ``keeper``: whether this (doc_id, row_key) stands for its
+    component."""
     spark = docs.sparkSession
     path = shared_dir(spark, "simhash")
     fingerprints(id_and_text(docs, doc_id, text), shingle).write.parquet(path)
@@ -174,7 +175,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     firsts = classes.groupBy("root").agg(F.min("best").alias("first"))
     named = classes.join(firsts, "root").select("fp", "first")
     return prints.join(named, "fp").select(
-        "doc_id", "row_key", "fp", F.col("first.doc_id").alias("component_id"),
+        "doc_id", "row_key", "fp", F.col("first.doc_id").alias("component_id"), F.col("first.row_key").alias("component_key"),
         (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row_key") == F.col("first.row_key"))).alias("keeper"))
 
 

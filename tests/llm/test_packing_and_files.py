@@ -189,6 +189,27 @@ def test_hot_source_and_hot_copies(spark):
         assert len({r.source for r in own}) == len(own) == len({r.cluster for r in own})
 
 
+def test_near_copies_do_not_share_a_bin(spark, tmp):
+    from access_lake.llm import catalog, simhash_tiles
+    rows, base = messy_rows(), [f"w{i}" for i in range(300)]
+    rows += [(None if i < 3 else 900 + i, " ".join([*base[:7 * i], f"changed{i}", *base[7 * i + 1:]]), "en", f"t{i}", 0) for i in range(40)]
+    spark.createDataFrame(rows, DOC).repartition(3).write.parquet(f"{tmp}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp}/documents.parquet")
+    component = {r.doc_id: r.component_id for r in simhash_tiles.near_duplicates(docs).collect() if r.doc_id is not None}
+    assert any(component[d] != d for d in range(903, 940))
+    out = catalog.op4_conflict_packing(spark, tmp).collect()
+    bins = collections.defaultdict(list)
+    for r in out:
+        assert r.doc_id is None or r.cluster == component[r.doc_id]
+        if r.bin_id is not None:
+            bins[r.bin_id].append(r)
+    assert sum(r.words for r in out) == sum(len(WORD.findall(t or "")) for _, t, *_ in rows)
+    assert all(len({r.cluster for r in own}) == len(own) for own in bins.values())
+    # the case the old clusters missed: near copies of several sources side by side
+    whole = collections.Counter(component[r.doc_id] for r in out if r.doc_id is not None and 903 <= r.doc_id < 940)
+    assert max(whole.values()) > 1
+
+
 def test_packing_no_documents(spark):
     assert conflict_packing.pack(conflict_packing.measure(empty(spark))).count() == 0
 
