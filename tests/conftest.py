@@ -25,9 +25,3 @@ def spark():
 @pytest.fixture
 def tmp(tmp_path_factory):
     return str(tmp_path_factory.mktemp("al"))
-
-
-def rows(df, *cols):
-    """Collect small test results as sorted tuples."""
-    sel = df.select(*cols) if cols else df
-    return sorted((tuple(r) for r in sel.collect()), key=lambda t: tuple(str(x) for x in t))

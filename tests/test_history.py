@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from access_lake.operators import history as H
-from conftest import rows
+from helpers import rows
 
 D = [datetime(2025, m, 1) for m in (1, 2, 3, 4)]
 SCHEMA = "k string, name string, ftype string, flag boolean, ward string, at timestamp_ntz"

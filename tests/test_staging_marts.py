@@ -2,7 +2,7 @@ from datetime import datetime
 
 
 from access_lake.plans import marts, staging
-from conftest import rows
+from helpers import rows
 
 RAW_COLS = ("facility_id string, facility_code string, facility_name string, facility_type string, "
             "county_name string, sub_county_name string, ward_name string, latitude double, "

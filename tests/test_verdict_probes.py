@@ -21,7 +21,7 @@ from access_lake.session import ensure_checkpoint_dir
 from access_lake.sources import io
 from access_lake.sources.standardise import standardise_features, standardise_registry
 from access_lake.streaming.landing_ingest import ingest_landing
-from conftest import rows
+from helpers import rows
 from test_pipeline_streaming import fixtures, write
 
 JAN, FEB = datetime(2025, 1, 1, 2), datetime(2025, 2, 1, 2)
