@@ -1,11 +1,11 @@
-"""Queries of the ten operators over the given tables, and their SQL."""
+"""Queries of the operators over the given tables, and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conflict_packing, decontamination, license_scan, ngram_lm, quality_forest, sharding, simhash_tiles, substring_dedup, token_packing, warc_convert
+from . import conflict_packing, decontamination, license_scan, ngram_lm, quality_forest, sharding, simhash_tiles, substring_dedup, token_packing, trie_encoding, warc_convert
 from .common import shared_dir, table
 
 QUERIES: dict = {}
@@ -93,3 +93,12 @@ def op7_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in documents, up to two substitutions in 13 words."""
     return decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_trie_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of each whole text, and the text that they decode to."""
+    coded = trie_encoding.decode(trie_encoding.encode(table(spark, sf_dir, "documents")))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("text", 256).alias("decoded_sha256"))

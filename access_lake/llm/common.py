@@ -40,5 +40,18 @@ def text_bytes(docs: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"])
 
 
+def per_worker(key, build):
+    """``build()``, once per Python worker: workers serve many tasks, and a
+    read-only model (an automaton, a loaded vocabulary) outlives a task.
+    Kept on a module of its own, since this one is pickled by value."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_llm_kept", types.ModuleType("_llm_kept")).__dict__
+    if key not in kept:
+        kept[key] = build()
+    return kept[key]
+
+
 def pieces(total: int, each: int) -> int:
     return max(1, -(-int(total) // each))
