@@ -98,7 +98,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_trie_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of each whole text, and the text that they decode to."""
-    coded = trie_encoding.decode(trie_encoding.encode(table(spark, sf_dir, "documents")))
+    coded = trie_encoding.encode(table(spark, sf_dir, "documents"), with_decoded=True)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-                        F.sha2("text", 256).alias("decoded_sha256"))
+                        F.sha2("decoded", 256).alias("decoded_sha256"))

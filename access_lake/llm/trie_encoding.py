@@ -7,11 +7,12 @@ merging the text of the pair gives the pair again. So the encoding of a
 prefix ends in one certain *last token*, the only token that is a suffix of
 the prefix, and is compatible with the last token of the prefix before it.
 
-Texts are taken in blocks of some megabytes. The distinct words of a block
-are a trie; it is walked depth first (the sorted words, each joining its
-predecessor at their common prefix, are that walk), and each node gets the
-last token of its prefix from the nodes above it. So a prefix that a thousand
-words share is encoded once. Tokens that end at a node come from an automaton
+Texts are taken in blocks of some megabytes. The distinct words that a block
+brings are a trie; it is walked depth first (the sorted words, each joining
+its predecessor at their common prefix, are that walk), and each node gets
+the last token of its prefix from the nodes above it. So a prefix that a
+thousand words share is encoded once. Words stay known until ``HELD_BYTES``
+of them are held, then the memory starts anew. Tokens that end at a node come from an automaton
 over the vocabulary, the longest first; which pairs of tokens are compatible
 is worked out by merging, once per pair. A word's encoding is read off by
 stepping back from its node, token by token.
@@ -32,6 +33,7 @@ that are no UTF-8 become replacement characters.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,10 +46,12 @@ from .common import id_and_text, per_worker
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 #: How a byte-level tokenizer splits text into words (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
+HELD_BYTES = 4 << 20
 #: Remembered pairs of tokens; beyond it the memory starts anew (a bound on
 #: memory only: a forgotten pair is worked out again).
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
+NEVER = 1 << 40, 0  #: rank of a pair that does not merge
 
 
 def byte_characters() -> dict[str, int]:
@@ -131,12 +135,20 @@ class TrieEncoder:
 
     def merged(self, text: bytes) -> list[int]:
         """Plain BPE of a short text: the lowest-ranked pair first."""
+        merges = self.merges
         ids = [self.byte_id[b] for b in text]
-        while len(ids) > 1:
-            best, at = min(((self.merges.get(p, (1 << 40, 0))), k) for k, p in enumerate(zip(ids, ids[1:])))
-            if best[0] == 1 << 40:
+        ranks = [merges.get(p, NEVER)[0] for p in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER[0]:
                 break
-            ids[at:at + 2] = [best[1]]
+            at = ranks.index(best)
+            ids[at:at + 2] = [merges[ids[at], ids[at + 1]][1]]
+            del ranks[at]
+            if at < len(ranks):
+                ranks[at] = merges.get((ids[at], ids[at + 1]), NEVER)[0]
+            if at:
+                ranks[at - 1] = merges.get((ids[at - 1], ids[at]), NEVER)[0]
         return ids
 
     def _compatible(self, before: int, token: int) -> bool:
@@ -192,50 +204,86 @@ def gather(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (edge - counts), counts) + np.arange(edge[-1] if len(edge) else 0)
 
 
+class Spelling:
+    """The bytes of tokens."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+    def __call__(self, ids: np.ndarray, each: int = 1 << 18) -> bytes:
+        """These tokens' bytes, end to end."""
+        parts = (ids[k:k + each] for k in range(0, len(ids), each))
+        return b"".join(self.bytes[gather(self.starts[p], self.lengths[p])].tobytes() for p in parts)
+
+
+class Numbers(dict):
+    """Numbers words in the order in which they come."""
+
+    def __missing__(self, word) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class TextEncoder:
     """Ids of whole texts: words, their trie, ids put together again."""
 
     def __init__(self, raw: str) -> None:
         import regex
 
-        self.vocabulary = Vocabulary(raw)
-        self.trie = TrieEncoder(self.vocabulary)
+        vocabulary = Vocabulary(raw)
+        self.specials, self.trie = vocabulary.specials, TrieEncoder(vocabulary)
         self.words = regex.compile(PATTERN).findall
-        self.lengths = np.array([len(t) for t in self.vocabulary.tokens], np.int64)
-        self.bytes = np.frombuffer(b"".join(self.vocabulary.tokens), np.uint8)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        names = sorted(self.vocabulary.specials, key=len, reverse=True)
+        names = sorted(self.specials, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(regex.escape(n) for n in names) + ")").split if names else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers, self.held = Numbers(), 0
+        self.flat, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def _pieces(self, text: str, specials: bool) -> list:
         """Words, and ids of special tokens, in the order of the text."""
-        if not specials or self.cut is None or not any(n in text for n in self.vocabulary.specials):
+        if not specials or self.cut is None or not any(n in text for n in self.specials):
             return self.words(text)
         out: list = []
         for k, part in enumerate(self.cut(text)):
-            out += [self.vocabulary.specials[part]] if k % 2 else self.words(part)
+            out += [self.specials[part]] if k % 2 else self.words(part)
         return out
 
+    def _learn(self) -> None:
+        """Encode the words that have come since the last time."""
+        new = list(islice(self.numbers, len(self.counts), None))
+        spelled = [(w.encode(), k) for k, w in enumerate(new) if isinstance(w, str)]
+        spelled.sort()
+        flat, n = self.trie.encode([w for w, _ in spelled])
+        fixed = [k for k, w in enumerate(new) if not isinstance(w, str)]
+        order = np.array([k for _, k in spelled] + fixed, np.int64)
+        flat = np.concatenate([flat, np.array([new[k] for k in fixed], np.int32)])
+        n = np.concatenate([n, np.ones(len(fixed), np.int64)])
+        counts = np.zeros(len(new), np.int64)
+        counts[order] = n
+        begin = np.zeros(len(new), np.int64)
+        begin[order] = np.cumsum(n) - n
+        self.flat = np.concatenate([self.flat, flat[gather(begin, counts)]])
+        self.counts = np.concatenate([self.counts, counts])
+        self.held += sum(len(w) for w, _ in spelled)
+
     def encode(self, texts: list[str | None], specials: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts end to end, ids per text)."""
-        pieces = [self._pieces(t, specials) if t else [] for t in texts]
-        distinct = set().union(*pieces)
-        fixed = [p for p in distinct if not isinstance(p, str)]
-        words = sorted(w.encode() for w in distinct if isinstance(w, str))
-        flat, counts = self.trie.encode(words)
-        number = {w.decode(): k for k, w in enumerate(words)}
-        number.update({p: len(words) + k for k, p in enumerate(fixed)})
-        flat, counts = np.concatenate([flat, np.array(fixed, np.int32)]), np.concatenate([counts, np.ones(len(fixed), np.int64)])
-        begin = np.cumsum(counts) - counts
-        per_text = np.array([len(p) for p in pieces], np.int64)
-        at = np.fromiter((number[p] for ps in pieces for p in ps), np.int64, int(per_text.sum()))
-        ids = flat[gather(begin[at], counts[at])]
-        edge = np.concatenate([[0], np.cumsum(counts[at])])
-        return ids, np.diff(edge[np.concatenate([[0], np.cumsum(per_text)])])
-
-    def spelled(self, ids: np.ndarray) -> np.ndarray:
-        """Bytes of these tokens, end to end."""
-        return self.bytes[gather(self.starts[ids], self.lengths[ids])]
+        if self.held > HELD_BYTES:
+            self._forget()
+        number, at = self.numbers.__getitem__, []
+        for text in texts:
+            pieces = self._pieces(text, specials) if text else []
+            at.append(np.fromiter(map(number, pieces), np.int32, len(pieces)))
+        self._learn()
+        per_text = np.array([len(a) for a in at], np.int64)
+        at = np.concatenate([np.zeros(0, np.int32), *at])
+        begin, counts = (np.cumsum(self.counts) - self.counts)[at], self.counts[at]
+        edge = np.concatenate([[0], np.cumsum(counts)])
+        return self.flat[gather(begin, counts)], np.diff(edge[np.concatenate([[0], np.cumsum(per_text)])])
 
 
 def text_encoder(raw: str) -> TextEncoder:
@@ -276,18 +324,38 @@ def filled(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
         yield pa.concat_batches(held)
 
 
-def encode(docs: DataFrame, tokenizer: str = TOKENIZER, specials: bool = True, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) of each row's whole text."""
+def spelling(raw: str) -> Spelling:
+    return per_worker(("spelling", hash(raw)), lambda: Spelling(Vocabulary(raw).tokens))
+
+
+def texts_of(ids: np.ndarray, counts: np.ndarray, spell: Spelling) -> list[str]:
+    """The text that each run of ids spells; unknown ids (-1) spell nothing."""
+    known = (ids >= 0) & (ids < len(spell.lengths))
+    lengths = np.where(known, spell.lengths[np.where(known, ids, 0)], 0)
+    spelled = spell(ids[known])
+    edge = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+    return [spelled[a:b].decode("utf-8", "replace") for a, b in zip(edge, edge[1:])]
+
+
+def encode(docs: DataFrame, tokenizer: str = TOKENIZER, specials: bool = True, with_decoded: bool = False,
+           doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids array<int>) of each row's whole text; ``with_decoded``
+    adds the text that these ids decode to, as ``decode`` gives it, in the
+    same pass."""
     raw = read_tokenizer(tokenizer)
+    names = ["doc_id", "ids"] + (["decoded"] if with_decoded else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = text_encoder(raw)
         for block in filled(batches):
             ids, counts = coder.encode(block.column("text").to_pylist(), specials)
             edge = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.ListArray.from_arrays(pa.array(edge), pa.array(ids))], ["doc_id", "ids"])
+            cols = [block.column("doc_id"), pa.ListArray.from_arrays(pa.array(edge), pa.array(ids))]
+            if with_decoded:
+                cols.append(pa.array(texts_of(ids, counts, spelling(raw)), pa.string()))
+            yield pa.RecordBatch.from_arrays(cols, names)
 
-    return id_and_text(docs, doc_id, text).mapInArrow(run, "doc_id long, ids array<int>")
+    return id_and_text(docs, doc_id, text).mapInArrow(run, "doc_id long, ids array<int>" + (", decoded string" if with_decoded else ""))
 
 
 def decode(coded: DataFrame, tokenizer: str = TOKENIZER, ids: str = "ids") -> DataFrame:
@@ -299,17 +367,12 @@ def decode(coded: DataFrame, tokenizer: str = TOKENIZER, ids: str = "ids") -> Da
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = text_encoder(raw)
+        spell = spelling(raw)
         for batch in batches:
             lists = batch.column(ids)
-            flat = lists.flatten()
-            own = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            values = pc.fill_null(flat, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-            known = (values >= 0) & (values < len(coder.lengths))
-            lengths = np.where(known, coder.lengths[np.where(known, values, 0)], 0)
-            spelled = coder.spelled(values[known]).tobytes()
-            edge = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(own)])].tolist()
-            texts = [spelled[a:b].decode("utf-8", "replace") for a, b in zip(edge, edge[1:])]
+            counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+            texts = texts_of(values, counts, spell)
             cols = [batch.column(n) if n != "text" else pa.array(texts, pa.string()) for n in names]
             yield pa.RecordBatch.from_arrays(cols, names)
 

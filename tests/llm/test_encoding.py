@@ -41,6 +41,8 @@ def test_texts_of_a_messy_table_round_trip(spark, library):
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == want
     by_text = {t: library.encode(t, add_special_tokens=False).ids for _, t in want}
     assert all(list(r.ids) == by_text[r.text] for r in got)
+    both = T.encode(docs, with_decoded=True).collect()
+    assert sorted(map(str, ((r.doc_id, r.ids, r.decoded) for r in both))) == sorted(map(str, ((r.doc_id, r.ids, r.text) for r in got)))
 
 
 def test_special_tokens_can_be_ordinary_text(spark, library):
