@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conflict_packing, decontamination, license_scan, ngram_lm, quality_forest, sharding, simhash_tiles, substring_dedup, token_packing, trie_encoding, warc_convert
+from . import conflict_packing, decontamination, license_scan, ngram_lm, quality_forest, sharding, simhash_tiles, spelling_variants, substring_dedup, token_packing, trie_encoding, warc_convert
 from .common import shared_dir, table
 
 QUERIES: dict = {}
@@ -102,3 +102,11 @@ def op11_trie_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, forms and roots of the words of all texts; of the runs of
+    letters whose checksum 97 divides one character is left out."""
+    words = spelling_variants.word_counts(table(spark, sf_dir, "documents"), every=97)
+    return spelling_variants.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
