@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conflict_packing, decontamination, license_scan, ngram_lm, quality_forest, sharding, simhash_tiles, spelling_variants, substring_dedup, token_packing, trie_encoding, warc_convert
+from . import conflict_packing, decontamination, license_scan, ngram_lm, quality_forest, sharding, simhash_tiles, spelling_variants, substring_dedup, token_alignment, token_packing, trie_encoding, warc_convert
 from .common import shared_dir, table
 
 QUERIES: dict = {}
@@ -110,3 +110,9 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     letters whose checksum 97 divides one character is left out."""
     words = spelling_variants.word_counts(table(spark, sf_dir, "documents"), every=97)
     return spelling_variants.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers, per document."""
+    return token_alignment.align(table(spark, sf_dir, "documents"))
