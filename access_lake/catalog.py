@@ -71,6 +71,21 @@ def q_stg_facilities(spark, sf):
     return stg_fac(spark, sf)
 
 
+@register("stg_facilities_bucketed", O.with_ctes(["stg_facilities"], "SELECT * FROM stg_facilities"))
+def q_stg_facilities_bucketed(spark, sf):
+    """Staging over the raw table bucketed by facility id: the latest row
+    per facility is found inside each bucket, without a shuffle (MDL-1,
+    WIN-1)."""
+    return staging.stg_facilities(_bucketed_raw(spark, sf), standin.STANDIN_TYPE_RULES)
+
+
+def _bucketed_raw(spark, sf) -> DataFrame:
+    from access_lake.sources import bucketed
+    raw, path = standin.raw_facilities(spark, sf), work_dir(spark, "raw-bucketed")
+    bucketed.write_load(raw, path, "facility_id")
+    return bucketed.read_loads(spark, path, raw.schema, "facility_id")
+
+
 @register("stg_population", O.with_ctes(["stg_population"], "SELECT * FROM stg_population"))
 def q_stg_population(spark, sf):
     return stg_pop(spark, sf)
@@ -413,6 +428,71 @@ def q_scd2_apply(spark, sf):
                         last).select(*HIST_COLS)
 
 
+@register("scd2_late", O.with_ctes(["history"], "SELECT * FROM history"))
+def q_scd2_late(spark, sf):
+    """History of all but the tenth and the first snapshot, into which first
+    the tenth and then the first come late; equals the rebuild in order."""
+    from access_lake.operators import history_late as L
+    snaps, days = standin.daily_snapshots(spark, sf), standin.snapshot_days(spark, sf)
+    every = sorted(r[0] for r in days.distinct().collect())  # one per run
+    late = [every[min(9, len(every) - 1)], every[0]]
+    known = [t for t in every if t not in late]
+    in_order = F.col("snapshot_at").isin(known)
+    hist = H.scd2_from_snapshots(snaps.filter(in_order), standin.SNAPSHOT_KEY, "snapshot_at",
+                                 standin.SNAPSHOT_CHECK_COLUMNS, days.filter(in_order)).select(*HIST_COLS)
+
+    def of(t):
+        return None if t is None else snaps.filter(F.col("snapshot_at") == F.lit(t)).drop("snapshot_at")
+
+    for t in dict.fromkeys(late):
+        before, after = L.neighbours(known, t)
+        hist = written(spark, L.scd2_insert(hist, of(t), of(after), standin.SNAPSHOT_KEY, standin.SNAPSHOT_CHECK_COLUMNS, t, before, after)
+                       .select(*HIST_COLS), "late")
+        known = sorted([*known, t])
+    return hist
+
+
+LOG_RUNS = 4
+
+
+def _log_runs(spark, sf):
+    """The last days of the snapshots: the history before them, and each."""
+    snaps, days = standin.daily_snapshots(spark, sf), standin.snapshot_days(spark, sf)
+    every = sorted(r[0] for r in days.distinct().collect())  # one per run
+    return snaps, every[-LOG_RUNS:]
+
+
+@register("scd2_log", O.with_ctes(["snapshots"], """
+, recent AS (SELECT * FROM snapshots WHERE snapshot_at IN (SELECT DISTINCT snapshot_at FROM snapshots ORDER BY 1 DESC LIMIT 4)),
+""" + O.history_sql("recent", "recent_history") + " SELECT * FROM recent_history"))
+def q_scd2_log(spark, sf):
+    """Four runs into the append-only history log, the third one retried;
+    the history read back from the logs (SCD-1, SCD-2)."""
+    from access_lake.operators.history_log import HistoryLog
+    snaps, runs = _log_runs(spark, sf)
+    data = snaps.select(*SNAP_COLS).schema
+    log = HistoryLog(spark, work_dir(spark, "history-log"), standin.SNAPSHOT_KEY, standin.SNAPSHOT_CHECK_COLUMNS, data)
+    for k, t in enumerate(runs):
+        for _ in range(2 if k == 2 else 1):
+            log.apply(snaps.filter(F.col("snapshot_at") == F.lit(t)).select(*SNAP_COLS), t)
+    return log.history().select(*HIST_COLS)
+
+
+_AS_OF_TIMES = "SELECT DISTINCT date_trunc('day', snapshot_at) + INTERVAL 36 HOUR AS at FROM snapshots"
+
+
+@register("scd2_as_of_many", O.with_ctes(["history"], f"""
+SELECT t.at, h.event_type, h.is_high, CAST(count(*) AS BIGINT) AS open_count
+FROM history h JOIN ({_AS_OF_TIMES}) t ON h.valid_from <= t.at AND (h.valid_to IS NULL OR t.at < h.valid_to)
+GROUP BY ALL"""))
+def q_scd2_as_of_many(spark, sf):
+    """Open versions per event type and flag at noon of every day after a
+    snapshot, all times and groups in one pass (SCD-5, SCD-7)."""
+    from access_lake.operators.asof import counts_as_of
+    times = standin.snapshot_days(spark, sf).select((F.date_trunc("day", "snapshot_at").cast("timestamp_ntz") + F.expr("INTERVAL 36 HOURS")).alias("at"))
+    return counts_as_of(history_of(spark, sf), times, ["event_type", "is_high"])
+
+
 @register("scd2_current", O.with_ctes(["history"], "SELECT * FROM history WHERE valid_to IS NULL"))
 def q_scd2_current(spark, sf):
     return H.current(history_of(spark, sf))
@@ -793,7 +873,22 @@ def q_global_row_number(spark, sf):
     order = total_order(li, [F.asc_nulls_last("l_shipdate"), F.asc_nulls_last("l_orderkey"),
                              F.asc_nulls_last("l_linenumber")],
                         exclude=["l_shipdate", "l_orderkey", "l_linenumber"])
-    return global_row_number(li, order, "row_number")
+    return global_row_number(li, order, "row_number", staged=False)
+
+
+_RAW_TIES = "ingested_at DESC NULLS LAST, " + ", ".join(f"{c} ASC NULLS LAST" for c in staging.STG_FACILITY_COLUMNS if c != "ingested_at")
+
+
+@register("facility_row_number", O.with_ctes(["raw_facilities"], f"""
+SELECT facility_id, county_name, ingested_at, CAST(row_number() OVER (ORDER BY {_RAW_TIES}) AS BIGINT) AS row_number
+FROM raw_facilities"""))
+def q_facility_row_number(spark, sf):
+    """Row number over the joined facility rows, newest landing first
+    (WIN-5 on an input that is no plain scan)."""
+    from access_lake.operators.ranking import global_row_number
+    raw = standin.raw_facilities(spark, sf).select(*staging.STG_FACILITY_COLUMNS)
+    order = [F.desc_nulls_last("ingested_at")] + [F.asc_nulls_last(c) for c in staging.STG_FACILITY_COLUMNS if c != "ingested_at"]
+    return global_row_number(raw, order).select("facility_id", "county_name", "ingested_at", "row_number")
 
 
 # ------------------------------------------------------------ registry standardisation
@@ -924,6 +1019,24 @@ def q_landing_registry(spark, sf):
     return IO.raw_table(spark, f"{base}/raw", schema=S.with_partitions(S.FACILITY_RECORD))
 
 
+@register("raw_point_in_time", O.with_ctes(["raw_facilities"], _registry_records() + """
+SELECT 'first' AS state, * REPLACE (beds + 1 AS beds), '2025' AS year, '05' AS month, '01' AS day FROM records
+UNION ALL SELECT 'second', *, '2025', '05', '01' FROM records"""))
+def q_raw_point_in_time(spark, sf):
+    """Every registry record landed on one day, loaded, landed again and
+    loaded again; the raw table as of each load time (SRC-8, SRC-5)."""
+    from access_lake.streaming.landing_ingest import ingest_landing
+    base = work_dir(spark, "loads")
+    recs = standardise_registry(standin.registry_results(spark, sf), REG_TS).select(*REG_COLS)
+    times = [_dt(2025, 5, 1, 3), _dt(2025, 5, 20)]
+    for version, t in zip((recs.withColumn("beds", F.col("beds") + 1), recs), times):
+        IO.land(version, f"{base}/landing", "facilities", _dt(2025, 5, 1))
+        ingest_landing(spark, f"{base}/landing", "facilities", f"{base}/raw", f"{base}/checkpoint", loaded_at=t)
+    states = [IO.read_raw_as_of(spark, f"{base}/raw", S.FACILITY_RECORD, _date(2025, 5, 31), t)
+                .select(F.lit(name).alias("state"), *REG_COLS, "year", "month", "day") for name, t in zip(("first", "second"), times)]
+    return states[0].unionByName(states[1])
+
+
 # ------------------------------------------------------------ the monthly batch
 
 MONTHS = [_dt(2025, 1, 1, 2), _dt(2025, 2, 1, 2)]

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from access_lake.functions.text import ColumnLike, col
 from access_lake.session import work_dir
 
-# input bytes per range of a global row number
+# input bytes per range of a global row number, and its least rows
 RANGE_BYTES = 256 << 20
+RANGE_ROWS = 100_000
 
 
 def rank_by(df: DataFrame, order: Sequence[Column], out: str,
@@ -28,23 +30,44 @@ def rank_by(df: DataFrame, order: Sequence[Column], out: str,
     return df.withColumn(out, F.row_number().over(w).cast("bigint"))
 
 
+def _ranges(n_rows: int, n_bytes: int, parallel: int) -> int:
+    """Ranges for a counted size: one per ``RANGE_BYTES``, as many as run
+    at a time, but none of fewer than ``RANGE_ROWS`` rows (plus one)."""
+    return min(max(-(-n_bytes // RANGE_BYTES), parallel), n_rows // RANGE_ROWS + 1)
+
+
 def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_number",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, staged: bool = True) -> DataFrame:
     """Row number over the whole table without a single-partition window
     (WIN-5).
 
-    Rows are range-partitioned on ``order`` and sorted inside each
-    partition; the sorted layout, with each row's partition and place in it,
-    is written as Parquet to the shared folder, so a lost executor cannot
-    re-sample different range bounds. The per-partition counts (one row per
-    partition, a proven bound) give each partition its offset, and the
-    number is offset + position. ``order`` must be a total order for the
-    numbering to be unique. Without ``num_partitions`` the input's size sets
-    the number: one for each ``RANGE_BYTES``.
+    The input is written once to the shared folder, which counts its rows
+    and bytes on the way, so however many joins it stands for run once and
+    the number of ranges comes from a counted size, never from the plan's
+    estimate. A plain table scan may skip that with ``staged=False``; its
+    rows are then counted from the file footers.
+
+    Rows are range-partitioned on ``order`` by quantiles of a sample of the
+    (column-pruned) order key and sorted inside each range; the sorted
+    layout, with each row's range and place, is written as Parquet, so a
+    lost executor cannot re-sample different bounds. The counts of the
+    ranges (at most rows / ``RANGE_ROWS`` + 1 of them) give each range its
+    offset, and the number is offset + position. ``order`` must be a total
+    order for the numbering to be unique.
     """
     spark = df.sparkSession
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+    parallel = spark.sparkContext.defaultParallelism
+    if num_partitions:
+        n = num_partitions
+    elif staged:
+        source, size = work_dir(spark, "row-number-input"), Observation("row_number_input")
+        width = F.length(F.to_csv(F.struct(*[F.col(f"`{f.name}`") for f in df.schema.fields if _flat(f.dataType)])))
+        df.observe(size, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).write.parquet(source)
+        df = spark.read.schema(df.schema).parquet(source)
+        n = _ranges(size.get["n"], size.get["bytes"], parallel)
+    else:
+        rows = df.count()
+        n = _ranges(rows, rows * 8 * len(df.columns), parallel)
     path = work_dir(spark, "row-number")
     (df.repartitionByRange(n, *order)
        .sortWithinPartitions(*order)
@@ -64,6 +87,10 @@ def global_row_number(df: DataFrame, order: Sequence[Column], out: str = "row_nu
                 .drop("_pid", "_mid", "_off"))
 
 
+def _flat(t: T.DataType) -> bool:
+    return not isinstance(t, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.VariantType))
+
+
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """First ``k`` rows under ``order`` (SRT-4): plans as
     ``TakeOrderedAndProject``, a per-partition top-k then a merge."""

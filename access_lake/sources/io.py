@@ -154,6 +154,41 @@ def raw_table(spark: SparkSession, path: str, merge_schema: bool = True,
     return reader.parquet(path)
 
 
+LOAD = "load"
+_LOAD_DIR = re.compile(r"year=(\d{4})/month=(\d{2})/day=(\d{2})/load=([0-9-]+)$")
+
+
+def load_name(loaded_at: datetime, number: int = 0) -> str:
+    """Names of loads sort by load time, then by batch."""
+    return f"{loaded_at:%Y%m%d%H%M%S}-{number:06d}"
+
+
+def raw_loads(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """(landing day, load) of a raw table that keeps its loads, from the
+    directory names alone: one entry per day and load."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/year=*/month=*/day=*/load=*")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    return sorted(("-".join(m.groups()[:3]), m.group(4)) for s in found if (m := _LOAD_DIR.search(s.getPath().toString())))
+
+
+def read_raw_as_of(spark: SparkSession, path: str, schema: T.StructType, day: date | None = None,
+                   loaded_by: datetime | None = None) -> DataFrame:
+    """The raw table as it was (SRC-8): of each landing day up to ``day``
+    the newest load made by ``loaded_by`` (each all of them without the
+    bound). Only the chosen directories are listed and read; the result has
+    the partition columns, ``load`` included."""
+    schema = schemas.with_partitions(schema)
+    schema = T.StructType([*schema.fields, T.StructField(LOAD, T.StringType())])
+    until = load_name(loaded_by, 999_999) if loaded_by is not None else None
+    newest = {d: load for d, load in raw_loads(spark, path)  # loads of a day come in order
+              if (day is None or d <= day.isoformat()) and (until is None or load <= until)}
+    if not newest:
+        return spark.createDataFrame([], schema)
+    base = path.rstrip("/")
+    dirs = ["{}/year={}/month={}/day={}/load={}".format(base, *d.split("-"), load) for d, load in newest.items()]
+    return spark.read.schema(schema).option("basePath", base).parquet(*dirs)
+
+
 def read_seed(spark: SparkSession, path: str,
               schema: T.StructType = schemas.SUBAREA_SEED) -> DataFrame:
     """A seed dimension CSV with fixed types (SRC-6)."""

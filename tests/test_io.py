@@ -137,3 +137,28 @@ def test_feature_lines_keep_file_order(spark, tmp):
     geo = {r.county_name: r for r in standardise_features(feats, RUN_TS).collect()}
     assert geo["Kilifi"].county_code == "0" and geo["Lamu"].county_code == "1"
     assert geo["Kilifi"].area_sqkm == 500.0
+
+
+def test_raw_loads_are_kept_and_read_by_day_and_load_time(spark, tmp):
+    from datetime import date, datetime
+    from pyspark.sql.types import _parse_datatype_string
+    from access_lake.streaming.landing_ingest import ingest_landing
+    schema = _parse_datatype_string("county_name string, population long")
+
+    def load(day, value, at):
+        io.land(spark.createDataFrame([("a", value), ("b", value)], schema), f"{tmp}/landing", "population", datetime(2025, 5, day))
+        ingest_landing(spark, f"{tmp}/landing", "population", f"{tmp}/raw", f"{tmp}/check", schema, loaded_at=at)
+
+    load(1, 10, datetime(2025, 5, 1, 3))
+    load(2, 20, datetime(2025, 5, 2, 3))
+    load(1, 11, datetime(2025, 5, 9, 3))   # the first day again
+
+    def state(day=None, by=None):
+        return sorted({(r.day, r.population) for r in io.read_raw_as_of(spark, f"{tmp}/raw", schema, day, by).collect()})
+
+    assert state() == [("01", 11), ("02", 20)]
+    assert state(by=datetime(2025, 5, 5)) == [("01", 10), ("02", 20)]
+    assert state(by=datetime(2025, 5, 1, 3)) == [("01", 10)]
+    assert state(day=date(2025, 5, 1)) == [("01", 11)]
+    assert state(by=datetime(2025, 4, 1)) == [] == state(day=date(2024, 1, 1))
+    assert ingest_landing(spark, f"{tmp}/landing", "population", f"{tmp}/raw", f"{tmp}/check", schema, loaded_at=datetime(2025, 6, 1)) == 0

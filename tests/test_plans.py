@@ -57,3 +57,10 @@ def test_no_python_udfs_in_registered_queries(spark):
     for name in ["mart_underserved", "registry_standardise", "title_case", "scd2_build", "dash_features"]:
         p = plan(E.queries()[name](spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_staging_over_the_bucketed_table_has_no_exchange(spark):
+    from access_lake import catalog
+    df = staging.stg_facilities(catalog._bucketed_raw(spark, SF), standin.STANDIN_TYPE_RULES)
+    p = plan(df)
+    assert "Exchange" not in p and "Bucketed: true" in p and "WindowGroupLimit" in p
