@@ -17,7 +17,9 @@ input's partitioning; the ids of each document do not.
 Defined cases: a null or empty text is its end token alone; repeated rows
 are packed as often as they come; a null id is kept; an empty table gives an
 empty result; other columns are ignored; text that spells a special token is
-ordinary text.
+ordinary text; a text of any length is encoded whole and cut into rows, also
+one with a run of millions of blanks; of equally long pieces the one that
+comes first in its block is packed first.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 END = 50256
 ROW = 2048
 BLOCK_TOKENS = 4_000_000
+LONG_BLANKS = 100_000  #: a run of so many blanks is encoded by itself
 
 RESULT = "row_id long, n_tokens int, input_ids binary, position_ids binary, cu_seqlens array<int>, doc_ids array<long>, pieces array<int>, starts array<long>"
 
@@ -111,6 +114,24 @@ def encoder(vocabulary: bytes, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode_text(encode, long_blanks, text: str) -> np.ndarray:
+    """Ids of a text of any length. The splitting pattern backtracks over a
+    run of blanks, which fails for very long ones, so those are cut out: the
+    pattern takes all of a run but its last blank as one piece (all of it at
+    the end of the text), and the rest of the text is split as before."""
+    runs = list(long_blanks(text)) if len(text) > LONG_BLANKS else []
+    if not runs:
+        return encode.encode_to_numpy(text, disallowed_special=())
+    out, at = [], 0
+    for m in runs:
+        end = m.end() if m.end() == len(text) else m.end() - 1
+        out.append(encode.encode_to_numpy(text[at:m.start()], disallowed_special=()))
+        out.append(np.array(encode._encode_single_piece(text[m.start():end].encode()), np.uint32))
+        at = end
+    out.append(encode.encode_to_numpy(text[at:], disallowed_special=()))
+    return np.concatenate(out)
+
+
 def packed_rows(docs: list[tuple], row: int, kind: np.dtype, end: int) -> Iterator[tuple]:
     """Rows (without id) of a block of (doc_id, ids)."""
     segments = [(d, k, a, min(row, len(ids) - a)) for d, (_, ids) in enumerate(docs) for k, a in enumerate(range(0, len(ids), row))]
@@ -141,7 +162,9 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode = encoder(raw, pattern).encode_to_numpy
+        import regex
+
+        encode, long_blanks = encoder(raw, pattern), regex.compile(r"\s{%d,}" % LONG_BLANKS).finditer
         number = TaskContext.get().partitionId() << 32
         names = ["row_id", "n_tokens", "input_ids", "position_ids", "cu_seqlens", "doc_ids", "pieces", "starts"]
         types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
@@ -159,7 +182,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN,
         for batch in batches:
             for ident, text_value in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 value = text_value.as_py()
-                ids = np.append(encode(value, disallowed_special=()) if value else np.zeros(0, np.uint32), np.uint32(end)).astype(kind)
+                ids = np.append(encode_text(encode, long_blanks, value) if value else np.zeros(0, np.uint32), np.uint32(end)).astype(kind)
                 block.append((ident, ids))
                 held += len(ids)
                 if held >= block_tokens:
