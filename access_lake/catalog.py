@@ -991,6 +991,26 @@ def q_features_file(spark, sf):
     return standardise_features(IO.read_feature_lines(spark, path), GEO_TS)
 
 
+def write_collection(features: DataFrame, path: str) -> None:
+    """Features, in the order of ``pos``, as one FeatureCollection file."""
+    props = F.to_json(F.struct(*[c for c in features.columns if c not in ("pos", "geometry")]))
+    value = F.concat(F.lit('{ "type": "Feature", "properties":'), props, F.lit(',"geometry":'), F.coalesce("geometry", F.lit("null")), F.lit("}"))
+    rows = features.select(F.lit(1).alias("part"), "pos", F.concat(value, F.lit(",")).alias("value"))
+    last = rows.agg(F.max("pos")).first()[0]
+    rows = rows.withColumn("value", F.when(F.col("pos") == F.lit(last), F.rtrim(F.col("value"), F.lit(","))).otherwise(F.col("value")))
+    ends = features.sparkSession.createDataFrame([(0, '{"type":"FeatureCollection","name":"areas","features":['), (2, "]}")], "part int, value string")
+    (rows.unionByName(ends, allowMissingColumns=True).repartition(1).sortWithinPartitions("part", "pos").select("value").write.text(path))
+
+
+@register("feature_collection", O.with_ctes(["geodata"], "SELECT * FROM geodata"))
+def q_feature_collection(spark, sf):
+    """All boundary features in one FeatureCollection file, read back in
+    byte ranges and rolled up in file order (SRC-3, AGG-11)."""
+    path = work_dir(spark, "collection")
+    write_collection(standin.raw_features(spark, sf), path)
+    return standardise_features(IO.read_feature_collection(spark, path), GEO_TS)
+
+
 @register("seed_csv", O.with_ctes(["seed"], """
 SELECT *, CAST(round(population_2019 * pow(1 + growth_rate, projection_year - census_year)) AS BIGINT) AS projected
 FROM seed"""))

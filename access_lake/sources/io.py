@@ -59,6 +59,45 @@ def read_feature_lines(spark: SparkSession, path: str) -> DataFrame:
                        "properties.*", "geometry")
 
 
+_FEATURE_OPENS = re.compile(r'\{\s*"type"\s*:\s*$')
+
+
+def read_feature_collection(spark: SparkSession, path: str) -> DataFrame:
+    """Large FeatureCollection files, each read by many tasks (SRC-3).
+
+    A JSON document cannot be split, but a text file can, at any separator.
+    All features of a file are written alike and begin with their type, so
+    the bytes that open the first one (``{"type": "Feature"``, with the
+    file's own blanks) separate the records: Spark cuts the file into byte
+    ranges, a task reads the features that begin in its range, and each
+    piece, opened again, is parsed by itself. A piece that is no whole
+    feature (those bytes inside a text, or features written in different
+    ways) stops the read, as does a file whose features do not begin with
+    their type; :func:`read_features` reads such files whole. The position
+    is (file, start of the range, place in it), that is file order. All
+    files of ``path`` open their features alike.
+    """
+    first = spark.read.option("lineSep", '"Feature"').text(path).limit(1).first()
+    empty = first is None or '"features"' not in first.value
+    opening = None if empty else first.value[first.value.rfind("{"):]
+    if opening is None or not _FEATURE_OPENS.match(opening):
+        if first is not None and re.search(r'"features"\s*:\s*\[\s*\]', first.value):
+            opening = '{"type":'  # a collection without features
+        else:
+            raise ValueError(f"{path}: features do not begin with their type; use read_features")
+    opening += '"Feature"'
+    feature = schemas.FEATURE_COLLECTION["features"].dataType.elementType
+    pieces = spark.read.option("lineSep", opening).text(path)
+    pos = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                   F.monotonically_increasing_id().alias("at"))
+    head = F.col("value").rlike(r'^\s*\{\s*"[^{}]*"features"\s*:\s*\[\s*(\]\s*\}\s*)?$')
+    whole = F.concat(F.lit(opening), F.regexp_replace("value", r"[\s,]*(\]\s*(,[^\[\]]*)?\}\s*)?$", ""))
+    # a later filter on the features may run before the one below, so the head is never parsed
+    parsed = (pieces.select(pos.alias("pos"), "value").filter(~head)
+                    .select("pos", F.when(~head, F.from_json(whole, feature, {"mode": "FAILFAST"})).alias("f")))
+    return parsed.select("pos", "f.properties.*", F.col("f.geometry").alias("geometry"))
+
+
 def landing_path(root: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/{dataset}"
 

@@ -162,3 +162,43 @@ def test_raw_loads_are_kept_and_read_by_day_and_load_time(spark, tmp):
     assert state(day=date(2025, 5, 1)) == [("01", 11)]
     assert state(by=datetime(2025, 4, 1)) == [] == state(day=date(2024, 1, 1))
     assert ingest_landing(spark, f"{tmp}/landing", "population", f"{tmp}/raw", f"{tmp}/check", schema, loaded_at=datetime(2025, 6, 1)) == 0
+
+
+def collection(path, features, opening='{"type": "Feature", ', glue=",\n"):
+    body = glue.join(opening + f'"properties": {p}, "geometry": {g}' + "}" for p, g in features)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write('{"type": "FeatureCollection", "name": "x",\n "features": [\n' + body + '\n], "bbox": "x"}\n' if glue != "," else '{"type":"FeatureCollection","features":[' + body + "]}")
+
+
+@pytest.mark.parametrize("opening,glue", [('{"type": "Feature", ', ",\n"), ('{"type":"Feature",', ","), ('{\n  "type": "Feature",\n  ', "\n  ,\n")])
+def test_one_collection_file_is_read_by_many_tasks_in_file_order(spark, tmp, opening, glue):
+    features = [(json.dumps({"COUNTY_NAM": f"area {i} }}],{{ \\\" [", "CONST_CODE": i}), json.dumps({"type": "Point", "coordinates": [i, [1, 2]]}) if i % 5 else "null")
+                for i in range(400)]
+    collection(f"{tmp}/fc/a.geojson", features, opening, glue)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = io.read_feature_collection(spark, f"{tmp}/fc")
+        assert got.rdd.getNumPartitions() > 5
+        found = got.orderBy("pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = io.read_features(spark, f"{tmp}/fc").orderBy("pos").collect()
+    assert len(found) == 400 and [tuple(r)[1:-1] for r in found] == [tuple(r)[1:-1] for r in want]
+    assert [json.loads(r.geometry or "null") for r in found] == [json.loads(r.geometry or "null") for r in want]
+
+
+def test_collections_without_features_or_in_another_form(spark, tmp):
+    collection(f"{tmp}/none/a.geojson", [], glue=",")
+    assert io.read_feature_collection(spark, f"{tmp}/none").count() == 0
+    os.makedirs(f"{tmp}/other")
+    with open(f"{tmp}/other/a.geojson", "w") as f:
+        f.write('{"type":"FeatureCollection","features":[{"properties":{"COUNTY_NAM":"x"},"type":"Feature","geometry":null}]}')
+    with pytest.raises(ValueError, match="read_features"):
+        io.read_feature_collection(spark, f"{tmp}/other")
+    # the opening bytes inside a text cut a feature in two: loud, not lost
+    collection(f"{tmp}/cut/a.geojson", [('{"COUNTY_NAM": "a"}', "null"), ('{"COUNTY_NAM": "{\\"type\\": \\"Feature\\"", "x": [{"type": "Feature"}]}', "null")], '{"type": "Feature", ')
+    with pytest.raises(Exception):
+        io.read_feature_collection(spark, f"{tmp}/cut").collect()
