@@ -94,8 +94,13 @@ def read_feature_collection(spark: SparkSession, path: str) -> DataFrame:
     whole = F.concat(F.lit(opening), F.regexp_replace("value", r"[\s,]*(\]\s*(,[^\[\]]*)?\}\s*)?$", ""))
     # a later filter on the features may run before the one below, so the head is never parsed
     parsed = (pieces.select(pos.alias("pos"), "value").filter(~head)
-                    .select("pos", F.when(~head, F.from_json(whole, feature, {"mode": "FAILFAST"})).alias("f")))
-    return parsed.select("pos", "f.properties.*", F.col("f.geometry").alias("geometry"))
+                    .select("pos", whole.alias("whole"), F.when(~head, F.from_json(whole, feature, {"mode": "FAILFAST"})).alias("f")))
+    # the parser writes a geometry anew, without blanks; the file's own text
+    # is kept where the geometry is the last member and reads the same
+    text = F.regexp_extract("whole", r'(?s)"geometry"\s*:\s*(\{.*\})\s*\}$', 1)
+    again = F.from_json(F.concat(F.lit('{"geometry":'), text, F.lit("}")), "geometry string")["geometry"]
+    geometry = F.when(again == F.col("f.geometry"), text).otherwise(F.col("f.geometry"))
+    return parsed.select("pos", "f.properties.*", geometry.alias("geometry"))
 
 
 def landing_path(root: str, dataset: str) -> str:

@@ -187,7 +187,7 @@ def test_one_collection_file_is_read_by_many_tasks_in_file_order(spark, tmp, ope
         spark.conf.unset("spark.sql.files.openCostInBytes")
     want = io.read_features(spark, f"{tmp}/fc").orderBy("pos").collect()
     assert len(found) == 400 and [tuple(r)[1:-1] for r in found] == [tuple(r)[1:-1] for r in want]
-    assert [json.loads(r.geometry or "null") for r in found] == [json.loads(r.geometry or "null") for r in want]
+    assert [r.geometry for r in found] == [g if g != "null" else None for _, g in features]  # the file's own text
 
 
 def test_collections_without_features_or_in_another_form(spark, tmp):
