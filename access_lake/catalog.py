@@ -607,6 +607,36 @@ def q_facility_current(spark, sf):
     return H.current(facility_history_of(spark, sf))
 
 
+@register("profile_from_changes", O.with_ctes(["facility_months"], f"""
+, three AS (SELECT * REPLACE ({O.TYPE_CASE} AS facility_type) FROM facility_months
+            WHERE snapshot_at IN (SELECT DISTINCT snapshot_at FROM facility_months ORDER BY 1 DESC LIMIT 3))
+SELECT snapshot_at, county_name, count(*) AS total_facilities,
+       {O.cnt("facility_type = 'Hospital'")} AS hospital_count, {O.cnt("facility_type = 'Health Centre'")} AS health_centre_count,
+       {O.cnt("facility_type = 'Dispensary'")} AS dispensary_count, {O.cnt("facility_type = 'Clinic'")} AS clinic_count,
+       {O.cnt("has_maternity")} AS maternity_count, {O.cnt("has_art")} AS art_count, {O.cnt("has_tb")} AS tb_count,
+       {O.cnt("has_emergency")} AS emergency_count, {O.cnt("has_outpatient")} AS outpatient_count,
+       CAST(sum(CASE facility_type WHEN 'Hospital' THEN 4 WHEN 'Health Centre' THEN 2 ELSE 1 END) AS BIGINT) AS weighted_score
+FROM three GROUP BY snapshot_at, county_name"""))
+def q_profile_from_changes(spark, sf):
+    """Area profiles of the last three months, each from the one before and
+    the versions that the month opened and closed (AGG-1..7); equal to
+    counting each month's facilities anew."""
+    from access_lake.operators.history_log import HistoryLog
+    from access_lake.plans import increments
+    snaps = standin.facility_months(spark, sf).withColumn("facility_type", T.classify("facility_type", standin.STANDIN_TYPE_RULES))
+    times = standin.facility_month_times(spark, sf)
+    last = sorted(r[0] for r in times.distinct().collect())[-3:]  # one per run
+    data = snaps.drop("snapshot_at").schema
+    log, base = HistoryLog(spark, work_dir(spark, "months-log"), fixed.HISTORY_KEY, fixed.HISTORY_CHECK_COLUMNS, data), work_dir(spark, "profiles")
+    profile = None
+    for t in last:
+        now = increments.step(log, profile, snaps.filter(F.col("snapshot_at") == F.lit(t)).drop("snapshot_at"), t)
+        path = f"{base}/{log.run_name(t)}"
+        now.withColumn("snapshot_at", F.lit(t)).write.parquet(path)
+        profile = spark.read.parquet(path)
+    return spark.read.parquet(*[f"{base}/{log.run_name(t)}" for t in last])
+
+
 FACILITY_AS_OF = "1996-06-15 00:00:00"
 FACILITY_PERIOD = ("1995-01-01 00:00:00", "1997-12-31 00:00:00")
 
@@ -774,6 +804,44 @@ def q_dq_gate(spark, sf):
     return Q.gate_verdict(q_dq_report(spark, sf))
 
 
+CHECKED_COLUMNS = ["facility_id", "facility_code", "facility_name", "sub_county_name", "has_outpatient"]
+CHECK_SPLIT = "1995-06-01 00:00:00"
+
+
+def _checked_rows(spark, sf):
+    """Two loads of raw facility rows into a check log (the second twice)."""
+    from access_lake.operators.quality_log import CheckLog
+    raw = standin.raw_facilities(spark, sf)
+    log = CheckLog(spark, work_dir(spark, "checks"), "raw_facilities", "facility_id", CHECKED_COLUMNS,
+                   ("operation_status", ["Operational", "OPERATIONAL"]))
+    early = F.col("ingested_at") < F.lit(CHECK_SPLIT).cast("timestamp_ntz")
+    for load, part in (("a", raw.filter(early)), ("b", raw.filter(~early)), ("b", raw.filter(~early))):
+        log.add(part, load)
+    return log
+
+
+@register("dq_incremental", O.with_ctes(["raw_facilities"], "\nUNION ALL\n".join(
+    [f"""SELECT 'raw_facilities' AS model, 'not_null' AS "check", '{c}' AS column_name, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures
+FROM raw_facilities""" for c in CHECKED_COLUMNS] +
+    [f"""SELECT 'raw_facilities', '{chk}', 'facility_id', CAST(count(*) AS BIGINT)
+FROM (SELECT facility_id FROM raw_facilities GROUP BY facility_id HAVING count(*) > 1)""" for chk in ("unique", "no_duplicates")] +
+    ["""SELECT 'raw_facilities', 'accepted_values', 'operation_status', CAST(count(*) AS BIGINT)
+FROM raw_facilities WHERE operation_status NOT IN ('Operational', 'OPERATIONAL')"""])))
+def q_dq_incremental(spark, sf):
+    """The checks of the raw rows from the states of two loads, the second
+    checked twice; equal to checking all rows at once (DQ-2, DQ-5, DQ-6)."""
+    return _checked_rows(spark, sf).report()
+
+
+@register("dq_failing_keys", O.with_ctes(["raw_facilities"], f"""
+SELECT facility_id, CAST(count(*) AS BIGINT) AS rows, CAST(sum({' + '.join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in CHECKED_COLUMNS)}
+       + CASE WHEN operation_status NOT IN ('Operational', 'OPERATIONAL') THEN 1 ELSE 0 END) AS BIGINT) AS failures
+FROM raw_facilities GROUP BY facility_id HAVING rows > 1 OR failures > 0"""))
+def q_dq_failing_keys(spark, sf):
+    """Keys of the raw rows that fail a check, duplicates among them."""
+    return _checked_rows(spark, sf).failing_keys()
+
+
 # ------------------------------------------------------------ dashboards
 @register("dash_density", O.with_ctes(["density"], """
 SELECT county_name, avg(facilities_per_10k) AS avg_facilities_per_10k FROM density GROUP BY county_name"""))
@@ -1090,24 +1158,42 @@ SELECT {b}, {m2}, NULL, false, md5(b.facility_id || '|' || CAST({m2} AS VARCHAR)
 FROM two b JOIN pairs p ON p.b_id = b.facility_id WHERE p.a_id IS NULL OR p.changed""")
 
 
-@register("month_batch", _month_sql())
-def q_month_batch(spark, sf):
-    """Two months of files through the whole batch, the second month retried
-    with the same date; the facility history that comes out (MDL-10)."""
-    from access_lake.plans.pipeline import MonthInputs, run_month
-    base = work_dir(spark, "month")
+def _write_months(spark, sf, base) -> None:
+    """The registry's rows as two months of page files, and the census."""
     results = standin.registry_results(spark, sf)
     early = F.col("shipped") < F.lit(MONTH_SPLIT).cast("timestamp_ntz")
     shipped = standin.registry_results(spark, sf, True)
     for k, part in enumerate([shipped.filter(early), shipped.filter(~early)]):
         write_pages(part.select(*results.columns), f"{base}/pages{k}")
     standin.census_rows(spark, sf).write.option("header", True).csv(f"{base}/census")
+
+
+@register("month_batch", _month_sql())
+def q_month_batch(spark, sf):
+    """Two months of files through the whole batch, the second month retried
+    with the same date; the facility history that comes out (MDL-10)."""
+    from access_lake.plans.pipeline import MonthInputs, run_month
+    base = work_dir(spark, "month")
+    _write_months(spark, sf, base)
     for k in (0, 1, 1):
         run_month(spark, MonthInputs(registry_pages=f"{base}/pages{k}", census_csv=f"{base}/census"), f"{base}/lake",
                   MONTHS[k], check=False)
     return IO.read_latest(spark, f"{base}/lake/history").select(*staging.STG_FACILITY_COLUMNS, *H.VERSION_COLUMNS)
 
 
+@register("month_batch_late", _month_sql())
+def q_month_batch_late(spark, sf):
+    """The same two months, the earlier one loaded after the later one: the
+    later month's history is made again, and equals loading in order."""
+    from access_lake.plans.pipeline import MonthInputs, run_month
+    base = work_dir(spark, "month-late")
+    _write_months(spark, sf, base)
+    for k in (1, 0):
+        run_month(spark, MonthInputs(registry_pages=f"{base}/pages{k}", census_csv=f"{base}/census"), f"{base}/lake",
+                  MONTHS[k], check=False)
+    return IO.read_latest(spark, f"{base}/lake/history").select(*staging.STG_FACILITY_COLUMNS, *H.VERSION_COLUMNS)
+
+
 # ------------------------------------------------------------ order of reports
 
 def _positions(df: DataFrame, *columns: str) -> DataFrame:

@@ -90,6 +90,17 @@ class HistoryLog:
         same = F.col("_here") & F.col("_from").isNotNull() & ~_differs([(F.col(f"_h_{c}"), F.col(c)) for c in self.check_cols])
         return j.filter(~same).select("_key", "_from", "_here", *self.columns)
 
+    def changed_rows(self, run_ts: datetime) -> tuple[DataFrame, DataFrame]:
+        """Data columns of the versions that a run opened, and of those that
+        it closed: at most one a key, met bucket by bucket in the runs
+        before. Checked columns are those of the version's every row."""
+        run = self.run_name(run_ts)
+        opened = self._read("opened", None).filter(F.col(LOAD) == run).select(*self.columns)
+        ended = self._read("closed", None).filter(F.col(LOAD) == run).select(F.col(self.key).alias("_key"), F.col("valid_from").alias("_from"))
+        held = self._read("opened", run)
+        closed = held.join(ended, held[self.key] == F.col("_key")).filter(F.col("valid_from") == F.col("_from"))
+        return opened, closed.select(*self.columns)
+
     def apply(self, snapshot: DataFrame, run_ts: datetime) -> None:
         """Write the openings and closings that a full snapshot brings."""
         run, ts = self.run_name(run_ts), F.lit(str(run_ts)).cast("timestamp_ntz")

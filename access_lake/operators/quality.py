@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from access_lake.functions.numeric import count_if
@@ -93,21 +93,40 @@ def model_report(df: DataFrame, model: str, not_null: Sequence[str] = (), unique
     model is scanned and shuffled once however many checks it has. Without a
     key a single global aggregate does it.
     """
-    per_row = [count_if(F.col(c).isNull()).alias(f"nn{i}") for i, c in enumerate(not_null)]
-    if accepted:
-        per_row.append(count_if(~F.col(accepted[0]).isin(*list(accepted[1]))).alias("acc"))
     key = unique or no_duplicates
     if key:
-        g = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *per_row)
-        many = F.col("_n") > 1
-        summary = g.agg(
-            *[F.sum(f"nn{i}").alias(f"nn{i}") for i in range(len(not_null))],
-            *([F.sum("acc").alias("acc")] if accepted else []),
-            count_if(F.col(key).isNotNull() & many).alias("uniq"),
-            count_if(many).alias("dups"),
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
+        summary = summed(key_state(df, key, not_null, accepted), key)
     else:
-        summary = df.agg(*per_row, F.count(F.lit(1)).alias("rows"))
+        summary = df.agg(*_per_row(not_null, accepted), F.count(F.lit(1)).alias("rows"))
+    return report_rows(summary, model, not_null, unique, accepted, no_duplicates, row_count)
+
+
+def _per_row(not_null: Sequence[str], accepted: tuple[str, Sequence[str]] | None) -> list[Column]:
+    out = [count_if(F.col(c).isNull()).alias(f"nn{i}") for i, c in enumerate(not_null)]
+    if accepted:
+        out.append(count_if(~F.col(accepted[0]).isin(*list(accepted[1]))).alias("acc"))
+    return out
+
+
+def key_state(df: DataFrame, key: str, not_null: Sequence[str] = (), accepted: tuple[str, Sequence[str]] | None = None) -> DataFrame:
+    """The state of all checks of a model, one row per key: its rows ``_n``
+    and its failures of each per-row check. States of disjoint loads merge
+    by summing per key."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *_per_row(not_null, accepted))
+
+
+def summed(state: DataFrame, key: str) -> DataFrame:
+    """One row of totals over a key state."""
+    many = F.col("_n") > 1
+    return state.agg(*[F.sum(c).alias(c) for c in state.columns if c not in (key, "_n")],
+                     count_if(F.col(key).isNotNull() & many).alias("uniq"), count_if(many).alias("dups"),
+                     F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"))
+
+
+def report_rows(summary: DataFrame, model: str, not_null: Sequence[str] = (), unique: str | None = None,
+                accepted: tuple[str, Sequence[str]] | None = None, no_duplicates: str | None = None,
+                row_count: int | None = None) -> DataFrame:
+    """The report of a model from its row of totals."""
     found = {"unique": F.col("uniq"), "accepted_values": F.col("acc"), "no_duplicates": F.col("dups"),
              "row_count": F.when(F.col("rows") != (row_count or 0), 1).otherwise(0)}
     entries = planned_checks(not_null, unique, accepted, no_duplicates, row_count)

@@ -259,9 +259,9 @@ def publish(df: DataFrame, base: str, run_ts: datetime) -> str:
     return path
 
 
-def latest_version(spark: SparkSession, base: str, before: datetime | None = None) -> str | None:
+def latest_version(spark: SparkSession, base: str, before: datetime | None = None, of: datetime | None = None) -> str | None:
     """Newest published version below ``base``: of the latest run (strictly
-    before ``before`` if given) the last attempt. Only a missing folder
+    before ``before`` if given; of the run ``of`` alone) the last attempt. Only a missing folder
     means that nothing is published; any other listing error is raised."""
     try:
         files = spark.read.text(f"{base.rstrip('/')}/published/v*").inputFiles()
@@ -272,9 +272,22 @@ def latest_version(spark: SparkSession, base: str, before: datetime | None = Non
     versions = sorted({m.group(1) for f in files if (m := _PUBLISHED.search(f))})
     if before is not None:
         versions = [v for v in versions if v[:15] < f"v{before:%Y%m%d%H%M%S}"]
+    if of is not None:
+        versions = [v for v in versions if v[:15] == f"v{of:%Y%m%d%H%M%S}"]
     return f"{base.rstrip('/')}/{versions[-1]}" if versions else None
 
 
+def published_runs(spark: SparkSession, base: str) -> list[datetime]:
+    """Run times with a published version below ``base``, oldest first."""
+    try:
+        files = spark.read.text(f"{base.rstrip('/')}/published/v*").inputFiles()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted({datetime.strptime(m.group(1)[1:15], "%Y%m%d%H%M%S") for f in files if (m := _PUBLISHED.search(f))})
+
+
 def read_latest(spark: SparkSession, base: str, before: datetime | None = None) -> DataFrame | None:
     path = latest_version(spark, base, before)
     return spark.read.parquet(path) if path else None
