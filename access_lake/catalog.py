@@ -765,10 +765,14 @@ def q_dq_report(spark, sf):
     """All 30 product checks over the stand-in models, one report row each
     (DQ-1..6). Staging is written as a table, as its users are many: one
     deduplication serves its own checks, the area marts and the drill-down."""
-    fac, pop = written(spark, stg_fac(spark, sf), "staging"), stg_pop(spark, sf)
+    from access_lake.sources import bucketed
+    rows, path = stg_fac(spark, sf), work_dir(spark, "staging")
+    bucketed.write_load(rows, path, "facility_id", dealt=True)  # its keys are then counted without a shuffle
+    fac = bucketed.read_loads(spark, path, rows.schema, "facility_id")
+    pop = written(spark, stg_pop(spark, sf), "population")
     profile = written(spark, marts.area_profile(fac), "profile")
-    density = marts.mart_county_density(None, pop, profile)
-    gaps = marts.mart_service_gaps(None, pop, profile)
+    density = written(spark, marts.mart_county_density(None, pop, profile), "density")
+    gaps = written(spark, marts.mart_service_gaps(None, pop, profile), "gaps")
     models = {
         "stg_facilities": fac, "stg_population": pop,
         "stg_geodata": staging.stg_geodata(standardise_features(standin.raw_features(spark, sf), GEO_TS)),

@@ -49,19 +49,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_load(df: DataFrame, path: str, key: str, buckets: int = BUCKETS, load: str | None = None,
-               value: str | None = None) -> None:
+               value: str | None = None, dealt: bool = False) -> None:
     """Write ``df`` into the bucketed table at ``path``: with a ``load``
     column as the load ``value``, replacing that partition alone, whatever
     the session's overwrite mode is; without one the whole table is
     replaced. Rows are dealt by the bucket hash first, so each bucket is one
-    file of one task."""
+    file of one task; rows that come ``dealt`` by the key already (out of a
+    grouping or a deduplication by it) skip that shuffle."""
     spark = df.sparkSession
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
     if load:
         schema = schema.add(load, "string")
     name = attach(spark, path, schema, key, buckets, load)
     partition = f"PARTITION (`{load}` = '{value}') " if load else ""
-    spark.sql(f"INSERT OVERWRITE TABLE {name} {partition}SELECT * FROM {{rows}}", rows=df.repartition(buckets, key))
+    spark.sql(f"INSERT OVERWRITE TABLE {name} {partition}SELECT * FROM {{rows}}", rows=df if dealt else df.repartition(buckets, key))
     spark.catalog.refreshTable(name)
 
 
