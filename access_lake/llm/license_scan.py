@@ -7,7 +7,9 @@ edits contains one of its k + 1 pieces unchanged (pigeonhole), so exact
 search for the pieces locates all candidates, and the ``regex`` library's
 bounded-error matching verifies each stretch of whole words around them and
 counts the edits. Of stretches that overlap the one with the fewest edits is
-listed, so every notice of a text with many of them is found.
+listed, so every notice of a text with many of them is found. A span gives
+its label to the text only if the words that name the license and its version
+stand there unchanged: a notice of another license is near, but not this one.
 
 Defined cases: a null or empty text has no words and no labels (empty
 strings, score 0); rows repeat as in the input; a null id is kept; an empty
@@ -40,6 +42,34 @@ NOTICES = {
     b"licensed under cc by nc 4 0": "cc-by-nc",
     b"licensed under cc by sa 4 0": "cc-by-sa",
     b"creative commons attribution 4 0 international license": "cc-by",
+    b"under the terms of the gnu lesser general public license": "lgpl",
+    b"permission to use copy modify and or distribute this software for any purpose": "isc",
+    b"this software is provided as is without any express or implied warranty": "zlib",
+    b"this is free and unencumbered software released into the public domain": "unlicense",
+    b"licensed under the 3 clause bsd license": "bsd",
+    b"spdx license identifier mit": "mit",
+    b"spdx license identifier apache 2 0": "apache",
+    b"spdx license identifier bsd 3 clause": "bsd",
+    b"spdx license identifier gpl 3 0": "gpl",
+}
+
+#: Words of a notice that name the license or its version: edits elsewhere
+#: are tolerated, but without these words as they are it names another one.
+NAMING = {
+    b"released under the mit license": [b"mit"],
+    b"licensed under the apache license version 2 0": [b"apache", b"2 0"],
+    b"this work is licensed under the gnu general public license": [b"gnu"],
+    b"you can redistribute it and or modify it under the terms of the gnu": [b"gnu"],
+    b"subject to the terms of the mozilla public license": [b"mozilla"],
+    b"licensed under cc by nc 4 0": [b"cc by nc 4 0"],
+    b"licensed under cc by sa 4 0": [b"cc by sa 4 0"],
+    b"creative commons attribution 4 0 international license": [b"creative commons attribution 4 0"],
+    b"under the terms of the gnu lesser general public license": [b"lesser general"],
+    b"licensed under the 3 clause bsd license": [b"bsd"],
+    b"spdx license identifier mit": [b"mit"],
+    b"spdx license identifier apache 2 0": [b"apache 2 0"],
+    b"spdx license identifier bsd 3 clause": [b"bsd 3 clause"],
+    b"spdx license identifier gpl 3 0": [b"gpl 3 0"],
 }
 LETTERS_PER_EDIT, MOST_EDITS = 12, 4
 
@@ -69,7 +99,7 @@ def places(line: bytes, what: bytes, start: int = 0, end: int | None = None) ->
 
 
 def best_spans(spans: list[tuple]) -> list[tuple]:
-    """Spans (edits, first word, label, words, notice), those with the fewest
+    """Spans (edits, first word, label, words, notice, named), those with the fewest
     edits first, without those that overlap a kept one with fewer edits or
     of the same notice; kept spans are looked up by word, so a long text
     with many notices takes linear time."""
@@ -111,15 +141,17 @@ class Scanner:
         for notice, label, k, pieces, rx in self.notices:
             for a, b in self.stretches(line, len(notice), k, pieces):
                 if m := rx.fullmatch(line, a, b):
-                    matches.append((sum(m.fuzzy_counts), a, label, line.count(b" ", a, b) + 1, notice))
+                    own = b" " + line[a:b] + b" "
+                    named = all(b" " + w + b" " in own for w in NAMING.get(notice, ()))
+                    matches.append((sum(m.fuzzy_counts), a, label, line.count(b" ", a, b) + 1, notice, named))
         if at or matches:  # from byte to word: the spaces before it
             spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
         found = [(int(np.searchsorted(spaces, p)), label) for p, label in at]
         spans = best_spans([(e, int(np.searchsorted(spaces, p)) - 1, *rest) for e, p, *rest in matches])
         best = 1.0 if base else 0.0
-        best = max([best, *(1 - s[0] / len(s[4]) for s in spans)])
+        best = max([best, *(1 - s[0] / len(s[4]) for s in spans if s[5])])
         starts = [s for s, _ in found]
-        labels = base | {s[2] for s in spans}
+        labels = base | {s[2] for s in spans if s[5]}
         return (len(words), len(found), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), best,
                 [{"label": x[2], "first_word": x[1], "words": x[3], "edits": x[0]} for x in sorted(spans, key=lambda x: x[1])])
 
