@@ -1111,6 +1111,24 @@ def q_landing_registry(spark, sf):
     return IO.raw_table(spark, f"{base}/raw", schema=S.with_partitions(S.FACILITY_RECORD))
 
 
+@register("load_report", O.with_ctes(["raw_facilities"], _registry_records() + """
+SELECT 'facilities' AS dataset, 'year=2025/month=05/day=01' AS partition, CAST(count(*) AS BIGINT) AS record_count,
+       '2025-05-01T00:00:00' AS ingested_at, NULL::VARCHAR AS refused FROM records
+UNION ALL SELECT 'facilities', NULL, 0, NULL, 'No records to land for dataset ' || chr(39) || 'facilities' || chr(39)"""))
+def q_load_report(spark, sf):
+    """The load report of all registry records, counted by the write itself,
+    and the refusal of an empty load (SNK-2, SNK-3)."""
+    root = work_dir(spark, "landing")
+    recs = standardise_registry(standin.registry_results(spark, sf), REG_TS).select(*REG_COLS)
+    done = IO.land(recs, root, "facilities", _dt(2025, 5, 1))
+    rows = [(done.dataset, done.uri.split("/facilities/")[1], done.record_count, done.ingested_at, None)]
+    try:
+        IO.land(recs.filter(F.col("facility_id").isNull()), root, "facilities", _dt(2025, 5, 2))
+    except ValueError as e:
+        rows.append(("facilities", None, 0, None, str(e)))
+    return spark.createDataFrame(rows, "dataset string, partition string, record_count bigint, ingested_at string, refused string")
+
+
 @register("raw_point_in_time", O.with_ctes(["raw_facilities"], _registry_records() + """
 SELECT 'first' AS state, * REPLACE (beds + 1 AS beds), '2025' AS year, '05' AS month, '01' AS day FROM records
 UNION ALL SELECT 'second', *, '2025', '05', '01' FROM records"""))
