@@ -106,7 +106,7 @@ def test_registered():
     import __spark_entry__ as E
 
     names = set(E.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {q[:q.index("_") + 1] for q in names if q.startswith("op")} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} == {q[:q.index("_") + 1] for q in names if q.startswith("op")} and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", [f"op{n}_" for n in range(1, 11)])
