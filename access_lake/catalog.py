@@ -735,7 +735,8 @@ def q_unmatched_keys(spark, sf):
     return J.unmatched_keys(areas, agg.population_totals(stg_pop(spark, sf)))
 
 
-def _dq_report_sql() -> str:
+def _dq_report_select(areas: int = fixed.EXPECTED_AREA_COUNT) -> str:
+    """The 30 checks over the CTEs of the models."""
     from access_lake.plans.quality_suite import MART_NOT_NULL, STAGING_NOT_NULL, UNIQUE
     table = {"stg_facilities": "stg_facilities", "stg_population": "stg_population",
              "stg_geodata": "stg_geodata", "mart_county_density": "density",
@@ -756,8 +757,12 @@ def _dq_report_sql() -> str:
     parts.append("SELECT 'stg_facilities', 'no_duplicates', 'facility_id', CAST(count(*) AS BIGINT) FROM "
                  "(SELECT facility_id FROM stg_facilities GROUP BY facility_id HAVING count(*) > 1) d")
     parts.append("SELECT 'mart_county_density', 'row_count', '*', CAST(count(*) AS BIGINT) FROM "
-                 "(SELECT count(*) AS c FROM density HAVING count(*) <> 47) r")
-    return O.with_ctes(["underserved", "subarea", "geodata"], "\nUNION ALL\n".join(parts))
+                 f"(SELECT count(*) AS c FROM density HAVING count(*) <> {areas}) r")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _dq_report_sql() -> str:
+    return O.with_ctes(["underserved", "subarea", "geodata"], _dq_report_select())
 
 
 @register("dq_report", _dq_report_sql())
@@ -1216,6 +1221,116 @@ def q_month_batch_late(spark, sf):
     return IO.read_latest(spark, f"{base}/lake/history").select(*staging.STG_FACILITY_COLUMNS, *H.VERSION_COLUMNS)
 
 
+# the batch with everything it can take: boundaries, seed, checks and gate
+
+ALL_AREAS = 25 + len(standin.SMALL_AREAS)  # nations and small areas
+
+
+def _full_census(spark, sf) -> DataFrame:
+    """A census that covers every area of the registry, as published rows."""
+    cust, nation = standin.table(spark, sf, "customer"), standin.table(spark, sf, "nation")
+    weight = (F.lit(20000) + F.lit(7000) * F.col("n_nationkey") + F.col("c_custkey") % 997).cast("bigint")
+    per = cust.join(nation, cust.c_nationkey == nation.n_nationkey).groupBy("n_name").agg(F.sum(weight).alias("people"))
+    small = spark.createDataFrame([(census, people) for _, census, _, people in standin.SMALL_AREAS], "n_name string, people bigint")
+    return per.unionByName(small).select(F.replace("n_name", F.lit("_"), F.lit("-")).alias("County"), F.format_number("people", 0).alias("Total_Population19"))
+
+
+def _typed_results(results: DataFrame) -> DataFrame:
+    return results.withColumn("facility_type_name", F.col("name"))
+
+
+@standin.per_session
+def _gated_months(spark, sf) -> tuple[str, list[str]]:
+    """Two months with boundary file, seed and gate. The first month's census
+    lacks areas, so its gate refuses; the second one's is whole. Returns the
+    batch's folder and what each month ended with."""
+    from access_lake.plans.pipeline import MonthInputs, run_month
+    base = work_dir(spark, "month-gated")
+    early = F.col("shipped") < F.lit(MONTH_SPLIT).cast("timestamp_ntz")
+    shipped = _typed_results(standin.registry_results(spark, sf, True))
+    for k, part in enumerate([shipped.filter(early), shipped.filter(~early)]):
+        write_pages(part.drop("shipped"), f"{base}/pages{k}")
+    standin.census_rows(spark, sf).write.option("header", True).csv(f"{base}/census0")
+    _full_census(spark, sf).write.option("header", True).csv(f"{base}/census1")
+    write_collection(standin.raw_features(spark, sf), f"{base}/features")
+    standin.subarea_seed(spark, sf).write.option("header", True).csv(f"{base}/seed")
+    ends = []
+    for k in (0, 1):
+        inputs = MonthInputs(registry_pages=f"{base}/pages{k}", census_csv=f"{base}/census{k}", features=f"{base}/features",
+                             seed_csv=f"{base}/seed", drill_area=standin.STANDIN_DRILL_AREA,
+                             type_rules=standin.STANDIN_TYPE_RULES, expected_areas=ALL_AREAS)
+        try:
+            run_month(spark, inputs, f"{base}/lake", MONTHS[k])
+            ends.append("passed")
+        except AssertionError:  # what the gate raises
+            ends.append("refused")
+    return base, ends
+
+
+def _gated_sql(month: int, select: str) -> str:
+    """``select`` over the models of one month, the second of them from all
+    that had landed."""
+    part = f"shipped < TIMESTAMP '{MONTH_SPLIT}'" if month == 0 else "true"
+    landed = f"CASE WHEN shipped < TIMESTAMP '{MONTH_SPLIT}' THEN TIMESTAMP '{MONTHS[0]}' ELSE TIMESTAMP '{MONTHS[1]}' END"
+    if month == 0:
+        census = f"SELECT county_code, lower(county_name) AS county_name, sub_county AS sub_county_name, population FROM ({O.CENSUS_SQL}) c"
+    else:
+        small = ", ".join(f"('{c.lower().replace(chr(39), chr(39) * 2)}', {n})" for _, c, _, n in standin.SMALL_AREAS)
+        census = f"""SELECT '' AS county_code, county_name, '' AS sub_county_name, population
+  FROM (SELECT lower(replace(n_name, '_', '-')) AS county_name, CAST(sum(w) AS BIGINT) AS population FROM cust_nation GROUP BY n_name
+        UNION ALL SELECT * FROM (VALUES {small}) s) c"""
+    models = ",\n".join(O.CTE[n] for n in ("pop_totals", "density", "gaps", "underserved", "seed", "subarea", "geodata"))
+    return O.with_ctes(["raw_facilities", "raw_population", "features"], _registry_records(",\n       reg.ingested_at AS shipped") + f"""
+, stg_facilities AS (
+  SELECT {_FAC} FROM (
+    SELECT *, row_number() OVER (PARTITION BY facility_id ORDER BY ingested_at DESC, {_TIES}) AS rn
+    FROM (SELECT * REPLACE ({landed} AS ingested_at, {O.TYPE_CASE.replace("facility_type", "facility_name")} AS facility_type)
+          FROM records WHERE lower(operation_status) = 'operational' AND {part}) r) t
+  WHERE rn = 1),
+stg_population AS ({census}),
+{models}
+{select}""")
+
+
+def _gated_checks_sql(month: int, end: str) -> str:
+    kept = "CAST((SELECT count(*) FROM stg_facilities) AS BIGINT)" if end == "passed" else "NULL::BIGINT"
+    report = _gated_sql(month, f"SELECT *, {kept} AS history_rows FROM ({_dq_report_select(ALL_AREAS)}) r")
+    return f"SELECT {month + 1} AS month_no, '{end}' AS gate, * FROM ({report}) m"
+
+
+@register("month_batch_checks", _gated_checks_sql(0, "refused") + "\nUNION ALL\n" + _gated_checks_sql(1, "passed"))
+def q_month_batch_checks(spark, sf):
+    """The 30 checks of two months run with the gate on: the first month is
+    refused and leaves no history, the second passes and starts one
+    (MDL-10, DQ-6)."""
+    base, ends = _gated_months(spark, sf)
+    runs = set(IO.published_runs(spark, f"{base}/lake/history"))
+    parts = []
+    for k, end in enumerate(ends):
+        report = IO.read_latest(spark, f"{base}/lake/checks", before=MONTHS[1]) if k == 0 else IO.read_latest(spark, f"{base}/lake/checks")
+        history = IO.read_latest(spark, f"{base}/lake/history").agg(F.count(F.lit(1)).alias("history_rows")) if MONTHS[k] in runs \
+            else spark.range(1).select(F.lit(None).cast("bigint").alias("history_rows"))
+        kept = report.select("model", "check", "column_name", "failures")
+        # one row beside 30
+        parts.append(kept.withColumn("_one", F.lit(1)).join(F.broadcast(history.withColumn("_one", F.lit(1))), "_one").drop("_one")
+                     .withColumns({"month_no": F.lit(k + 1), "gate": F.lit(end)}))
+    return parts[0].unionByName(parts[1])
+
+
+@register("month_batch_underserved", _gated_sql(1, "SELECT * FROM underserved"))
+def q_month_batch_underserved(spark, sf):
+    """The under-served mart that the batch published, from page and census
+    files (MDL-10, MDL-6)."""
+    return IO.read_latest(spark, f"{_gated_months(spark, sf)[0]}/lake/marts/mart_underserved_counties")
+
+
+@register("month_batch_subarea", _gated_sql(1, "SELECT * FROM subarea"))
+def q_month_batch_subarea(spark, sf):
+    """The sub-area mart that the batch published, with the seed file
+    (MDL-10, MDL-7)."""
+    return IO.read_latest(spark, f"{_gated_months(spark, sf)[0]}/lake/marts/mart_subarea")
+
+
 # ------------------------------------------------------------ order of reports
 
 def _positions(df: DataFrame, *columns: str) -> DataFrame:
