@@ -1050,6 +1050,31 @@ def q_registry_pages(spark, sf):
     return standardise_registry(IO.read_registry_pages(spark, path), REG_TS).select(*REG_COLS)
 
 
+#: JSON values as payloads spell them, and whether they count as set
+JSON_FLAGS = [("true", True), ("false", False), ('"false"', True), ('" "', True), ('""', False), ("0", False), ("0.0", False),
+              ("1e-3", True), ('"0"', True), ("null", False), ("[]", False), ("[0]", True), ("{}", False), ('{"on":false}', True)]
+
+
+@register("registry_flags", "SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS facility_id, v.b AS closed, o.b AS open_weekends\n"
+          "FROM lineitem JOIN (VALUES " + ", ".join(f"({k}, {b})" for k, (_, b) in enumerate(JSON_FLAGS)) + f") v(k, b) ON l_orderkey % {len(JSON_FLAGS)} = v.k\n"
+          "JOIN (VALUES " + ", ".join(f"({k}, {b})" for k, (_, b) in enumerate(JSON_FLAGS)) + f") o(k, b) ON (l_orderkey + l_linenumber) % {len(JSON_FLAGS)} = o.k")
+def q_registry_flags(spark, sf):
+    """Flags of every JSON type in page files, read with their types and
+    standardised: a text "false" is set, a false is not (SRC-1, STD-5)."""
+    path = work_dir(spark, "pages")
+    raw = F.array(*[F.lit(v) for v, _ in JSON_FLAGS])
+
+    def value(at):
+        return F.get(raw, F.pmod(at, F.lit(len(JSON_FLAGS))).cast("int"))
+
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    facility = F.concat(F.lit('{"id":"'), key.cast("string"), F.lit("-"), line.cast("string"), F.lit('","closed":'), value(key),
+                        F.lit(',"open_weekends":'), value(key + line), F.lit("}"))
+    page = F.concat(F.lit('{"count":1,"total_pages":1,"results":['), facility, F.lit("]}"))
+    standin.table(spark, sf, "lineitem").select(page.alias("value")).write.text(path)
+    return standardise_registry(IO.read_registry_pages(spark, path), REG_TS).select("facility_id", "closed", "open_weekends")
+
+
 @register("census_csv", O.CENSUS_SQL)
 def q_census_csv(spark, sf):
     """Census rows written as CSV with their drifting headers, read back and

@@ -36,12 +36,20 @@ def safe_int_commas(c: ColumnLike, default: int = 0, type_: str = "bigint") -> C
 
 
 def truthy(c: ColumnLike) -> Column:
-    """A payload value read as text → boolean (STD-5): missing, empty,
-    'false' and zero are false, any other value is true."""
-    text = F.lower(F.trim(col(c).cast("string")))
+    """A payload value that was read as text → boolean (STD-5): missing,
+    empty, 'false' and zero are false, any other text, a blank too, is true.
+    Text cannot tell ``"false"`` from ``false``; :func:`truthy_json` can."""
+    text = F.lower(col(c).cast("string"))
     return F.coalesce(~text.isin("", "false", "0", "0.0"), F.lit(False))
 
 
+def truthy_json(c: ColumnLike) -> Column:
+    """A JSON value read as VARIANT → boolean (STD-5): missing, null, false,
+    zero of any spelling and empty text, list or object are false, any other
+    value is true, so ``"false"``, ``"0"`` and ``" "`` are."""
+    return F.coalesce(~F.to_json(col(c)).isin("null", "false", "0", "0.0", "-0.0", '""', "[]", "{}"), F.lit(False))
+
+
 def has_gps(lat: ColumnLike, lon: ColumnLike) -> Column:
     """Both coordinates non-zero (STD-10)."""
     return (col(lat) != 0.0) & (col(lon) != 0.0)

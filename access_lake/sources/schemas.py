@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 S, D, L, I, B = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType(), T.BooleanType()
 NTZ = T.TimestampNTZType()
+V = T.VariantType()  # a JSON value with its own type
 
 REGISTRY_RESULT = T.StructType([
     T.StructField(n, S) for n in [
@@ -12,10 +13,10 @@ REGISTRY_RESULT = T.StructType([
         "regulatory_body_name", "county_name", "sub_county_name", "ward_name",
         "constituency_name", "lat", "long", "beds", "cots", "operation_status_name",
         "admission_status_name"]
-] + [T.StructField(n, S) for n in ["open_whole_day", "open_weekends", "open_public_holidays",
+] + [T.StructField(n, V) for n in ["open_whole_day", "open_weekends", "open_public_holidays",
                                     "open_late_night"]]
   + [T.StructField("service_names", S), T.StructField("infrastructure_names", S),
-     T.StructField("closed", S), T.StructField("is_published", S)])
+     T.StructField("closed", V), T.StructField("is_published", V)])
 
 REGISTRY_PAGE = T.StructType([
     T.StructField("count", L), T.StructField("total_pages", I),

@@ -7,9 +7,10 @@ from typing import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from access_lake.functions import fixed
-from access_lake.functions.numeric import has_gps, safe_float, safe_int, safe_int_commas, truthy
+from access_lake.functions.numeric import has_gps, safe_float, safe_int, safe_int_commas, truthy, truthy_json
 from access_lake.functions.text import (any_contains, as_array, clean_str, first_of, flatten_pipe,
                                         keyword_flags, normalise_header, title_case)
 
@@ -42,6 +43,10 @@ def standardise_registry(results: DataFrame, run_ts: str, source: str = "registr
         # a field the payload lacks reads as missing, like dict.get()
         return F.col(name) if name in have else F.lit(None).cast(type_)
 
+    def flag(name: str) -> Column:
+        raw = name in have and isinstance(results.schema[name].dataType, T.VariantType)
+        return truthy_json(name) if raw else truthy(src(name))
+
     services = as_array(src("service_names"))
     infra = as_array(src("infrastructure_names"))
     lat, lon = safe_float(src("lat")), safe_float(src("long"))
@@ -49,15 +54,15 @@ def standardise_registry(results: DataFrame, run_ts: str, source: str = "registr
     cols += [lat.alias("latitude"), lon.alias("longitude"), has_gps(lat, lon).alias("has_gps"),
              clean_str(src("operation_status_name")).alias("operation_status"),
              clean_str(src("admission_status_name")).alias("admission_status")]
-    cols += [truthy(src(b)).alias(b) for b in REGISTRY_BOOL_FIELDS]
+    cols += [flag(b).alias(b) for b in REGISTRY_BOOL_FIELDS]
     cols += [safe_int(src("beds")).alias("beds"), safe_int(src("cots")).alias("cots"),
              flatten_pipe(services).alias("service_names")]
     cols += keyword_flags(services, flags)
     cols += [flatten_pipe(infra).alias("infrastructure"),
              any_contains(infra, fixed.ELECTRICITY_KEYWORDS).alias("has_electricity"),
              any_contains(infra, fixed.WATER_KEYWORDS).alias("has_water"),
-             truthy(src("closed")).alias("closed"),
-             truthy(src("is_published")).alias("is_published"),
+             flag("closed").alias("closed"),
+             flag("is_published").alias("is_published"),
              F.lit(source).alias("source"),
              stamp(run_ts)]
     return results.select(*cols)

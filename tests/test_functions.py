@@ -134,3 +134,15 @@ def test_normalise_header():
 def test_fixed_values_shape():
     assert len(fixed.HISTORY_CHECK_COLUMNS) == 12
     assert fixed.BASELINE_PER_10K == "2.0" and Decimal(fixed.BASELINE_PER_10K) == 2
+
+
+def test_truthy_json_follows_the_values_type(spark):
+    cases = [("true", True), ("false", False), ('"false"', True), ('"False"', True), ('" "', True), ('""', False), ("0", False), ("0.0", False),
+             ("-0.0", False), ("0e5", False), ("1e-3", True), ('"0"', True), ("null", False), ("[]", False), ("[0]", True), ("{}", False), ('{"x":1}', True)]
+    df = spark.createDataFrame([(*c,) for c in cases] + [(None, False)], "j string, want boolean").withColumn("v", F.parse_json("j"))
+    assert [r.j for r in df.withColumn("got", N.truthy_json("v")).collect() if r.got != r.want] == []
+
+
+def test_truthy_of_text_keeps_blanks(spark):
+    df = spark.createDataFrame([(" ",), ("",), ("false",), ("no",), (None,)], "t string")
+    assert [r.b for r in df.select(N.truthy("t").alias("b")).collect()] == [True, False, False, True, False]
