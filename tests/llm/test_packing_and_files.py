@@ -3,11 +3,13 @@
 import collections
 import gzip
 import hashlib
+import random
 import re
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from hypothesis import given, settings, strategies as st
 
 from access_lake.llm import conflict_packing, license_scan, sharding, token_packing, warc_convert
@@ -101,6 +103,45 @@ def test_one_text_with_most_bytes_spreads(spark):
     assert len(groups[("the same text " * 10).encode()]) >= 6
 
 
+def shards_by_hand(rows, n):
+    """All rows on one line, ordered by fingerprints; groups of equal texts
+    by the middle of the group, heavy ones row by row."""
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def tie(i):
+        seed = 42 if i is None else xxhash.xxh64_intdigest(i.to_bytes(8, "little", signed=True), seed=42)
+        return signed(xxhash.xxh64_intdigest(b"tie", seed=seed))
+
+    line = sorted((signed(xxhash.xxh64_intdigest((t or "").encode(), seed=42)), tie(i), i is not None, i or 0, len((t or "").encode()) + 1) for i, t in rows)
+    total, at, out = sum(x[4] for x in line), 0, []
+    weight, till = collections.Counter(), {}
+    for key, *_, size in line:
+        at += size
+        weight[key] += size
+        till[key] = at
+    part, at, slots = total / n, 0, collections.Counter()
+    for key, _, known, i, size in line:
+        at += size
+        middle = till[key] - weight[key] / 2 if weight[key] <= sharding.WHOLE * part else at - size / 2
+        k = min(n - 1, int(middle // part))
+        out.append((i if known else None, size, k, slots[k]))
+        slots[k] += 1
+    return out
+
+
+@pytest.mark.parametrize("ranges", [4, 256])
+def test_shards_by_brute_force(spark, ranges):
+    """One identical row in a third of all, groups, null ids and texts."""
+    rng = random.Random(5)
+    rows = [(7, "the very same row")] * 1500 + [(None, None)] * 300 + [(None, "")] * 40
+    rows += [(i, f"text {rng.randrange(900)} " + "x" * rng.randrange(60)) for i in range(2500)] + [(i, "heavy copies " * 3) for i in range(900)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.size, r.shard, r.slot) for r in sharding.shard(docs, ranges=ranges).collect())
+    assert got == sorted((i is not None, i or 0, size, k, slot) for i, size, k, slot in shards_by_hand(rows, 8))
+
+
 def test_shards_as_files(spark, tmp):
     docs = messy(spark)
     sharding.write_shards(sharding.shard(docs, carry=True), f"{tmp}/shards")
