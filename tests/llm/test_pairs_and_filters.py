@@ -195,13 +195,13 @@ def own_words(text):
     return [w for w in re.split(r"[\W_]+", (text or "").lower()) if w]
 
 
-def overlaps_by_hand(docs, items):
+def overlaps_by_hand(docs, items, shortest=7):
     out = set()
     for d, text in docs:
         w = own_words(text)
         for it, own in items:
             b = own_words(own)
-            if len(b) < 7:
+            if len(b) < shortest:
                 continue
             win, need = min(13, len(b)), len(b) if len(b) < 13 else 11
             for start in range(-len(b) + 1, len(w)):
@@ -245,6 +245,20 @@ def test_overlaps_equal_brute_force(spark, chunk):
     assert len(got) > 40 and all(0 < r.share <= 1 for r in found)
 
 
+def test_short_items_are_met_as_a_whole(spark):
+    docs, items = leak_tables(spark)
+    items += [(30, "two"), (31, "Two, three"), (32, "one two three four"), (33, "one two three four five"), (34, "amber12"), (35, "never said"), (None, "nine ten"), (36, "...")]
+    docs += [(9001, "two"), (9002, "Two three two three"), (9003, "nine ten"), (9004, "one two"), (9005, "")]
+    want = overlaps_by_hand(docs, items, 1)
+    assert set(range(7)) <= {len(own_words(t)) for _, t in items} and len(want) > 80
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [tuple(r)[:7] for r in decontamination.overlaps(df, bench, shortest=1).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    leaking = {r[0] for r in overlaps_by_hand(docs, items, 3)}
+    clean = decontamination.without_leaks(df, bench, shortest=3)
+    assert sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(d) for d, _ in docs if d not in leaking)
+
+
 def test_without_leaks(spark):
     docs, items = leak_tables(spark)
     df = spark.createDataFrame([(d, t, "x", "y") for d, t in docs], "doc_id long, text string, item_id string, words string")
