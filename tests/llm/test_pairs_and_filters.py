@@ -8,6 +8,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from access_lake.llm import components, decontamination, quality_forest, simhash_tiles
 from data import DOC, WORDS, empty, messy, messy_rows, prose
@@ -305,3 +306,23 @@ def test_no_python_in_the_plan(spark):
     df = decontamination.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_forest_is_fitted_on_every_labelled_row(spark):
+    # the good rows are the last by the hash of their id, so no sample by hash holds them
+    ids = [r.id for r in spark.range(9000).orderBy(F.xxhash64("id")).collect()]
+    good = set(ids[-60:])
+    rows = [(i, prose(random.Random(i), 30) if i in good else "%%% %%%", "en", "s", 1) for i in ids]
+    docs = spark.createDataFrame(rows, DOC)
+    forest = quality_forest.fit(docs, labelled(spark, [(i, int(i in good), 0) for i in ids]), max_loss=0.0)
+    assert forest is not None and forest.sample == 60
+    assert {r.doc_id for r in quality_forest.verdicts(docs, forest).filter("kept").collect()} == good
+
+
+def test_nth_largest_is_exact(spark):
+    rng = random.Random(4)
+    values = [rng.random() ** 9 for _ in range(3000)] + [0.25] * 500 + [0.25 + 2 ** -54 * k for k in range(9)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    falling = sorted(values, reverse=True)
+    for n in (0, 1, 30, falling.index(0.25), falling.index(0.25) + 499, 2999, len(values) - 1):
+        assert quality_forest.nth_largest(df, n) == falling[n]
