@@ -81,9 +81,16 @@ def q_stg_facilities_bucketed(spark, sf):
 
 def _bucketed_raw(spark, sf) -> DataFrame:
     from access_lake.sources import bucketed
-    raw, path = standin.raw_facilities(spark, sf), work_dir(spark, "raw-bucketed")
-    bucketed.write_load(raw, path, "facility_id")
-    return bucketed.read_loads(spark, path, raw.schema, "facility_id")
+    raw, path, buckets = standin.raw_facilities(spark, sf), work_dir(spark, "raw-bucketed"), _facility_buckets(spark, sf)
+    bucketed.write_load(raw, path, "facility_id", buckets)
+    return bucketed.read_loads(spark, path, raw.schema, "facility_id", buckets)
+
+
+def _facility_buckets(spark, sf) -> int:
+    """Buckets for all raw facility rows, by the row count that the Parquet
+    footers of their line items give."""
+    from access_lake.sources import bucketed
+    return bucketed.buckets_for(standin.table(spark, sf, "lineitem").count())
 
 
 @register("stg_population", O.with_ctes(["stg_population"], "SELECT * FROM stg_population"))
@@ -771,9 +778,9 @@ def q_dq_report(spark, sf):
     (DQ-1..6). Staging is written as a table, as its users are many: one
     deduplication serves its own checks, the area marts and the drill-down."""
     from access_lake.sources import bucketed
-    rows, path = stg_fac(spark, sf), work_dir(spark, "staging")
-    bucketed.write_load(rows, path, "facility_id", dealt=True)  # its keys are then counted without a shuffle
-    fac = bucketed.read_loads(spark, path, rows.schema, "facility_id")
+    rows, path, buckets = stg_fac(spark, sf), work_dir(spark, "staging"), _facility_buckets(spark, sf)
+    bucketed.write_load(rows, path, "facility_id", buckets, dealt=True)  # its keys are then counted without a shuffle
+    fac = bucketed.read_loads(spark, path, rows.schema, "facility_id", buckets)
     pop = written(spark, stg_pop(spark, sf), "population")
     profile = written(spark, marts.area_profile(fac), "profile")
     density = written(spark, marts.mart_county_density(None, pop, profile), "density")
@@ -822,7 +829,7 @@ def _checked_rows(spark, sf):
     from access_lake.operators.quality_log import CheckLog
     raw = standin.raw_facilities(spark, sf)
     log = CheckLog(spark, work_dir(spark, "checks"), "raw_facilities", "facility_id", CHECKED_COLUMNS,
-                   ("operation_status", ["Operational", "OPERATIONAL"]))
+                   ("operation_status", ["Operational", "OPERATIONAL"]), buckets=_facility_buckets(spark, sf))
     early = F.col("ingested_at") < F.lit(CHECK_SPLIT).cast("timestamp_ntz")
     for load, part in (("a", raw.filter(early)), ("b", raw.filter(~early)), ("b", raw.filter(~early))):
         log.add(part, load)

@@ -20,7 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 8
+BUCKETS, BUCKET_ROWS = 8, 500_000
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets of a table that will hold about ``rows`` rows: a task sorts
+    or groups one bucket, so their number grows with the table and not their
+    size. The layout of a table is fixed by its first load."""
+    return max(BUCKETS, -(-rows // BUCKET_ROWS))
 
 
 def table_name(path: str) -> str:
@@ -55,8 +62,10 @@ def write_load(df: DataFrame, path: str, key: str, buckets: int = BUCKETS, load:
     the session's overwrite mode is; without one the whole table is
     replaced. Rows are dealt by the bucket hash first, so each bucket is one
     file of one task; rows that come ``dealt`` by the key already (out of a
-    grouping or a deduplication by it) skip that shuffle."""
+    grouping or a deduplication by it) skip that shuffle, where a task of it
+    holds rows of one bucket only."""
     spark = df.sparkSession
+    dealt = dealt and int(spark.conf.get("spark.sql.shuffle.partitions")) % buckets == 0
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields])
     if load:
         schema = schema.add(load, "string")
