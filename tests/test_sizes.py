@@ -16,6 +16,27 @@ def files(path):
     return [os.path.join(d, n) for d, _, names in os.walk(path) for n in names if n.startswith("part-")]
 
 
+def test_landed_files_are_compressed_and_bounded(spark, tmp, monkeypatch):
+    monkeypatch.setattr(io, "LANDED_RECORDS", 10)
+    df = spark.createDataFrame([(f"county {i % 7}", i) for i in range(25)], "county_name string, population long").coalesce(1)
+    report = io.land(df, f"{tmp}/land", "population", datetime(2025, 3, 1))
+    landed = files(f"{tmp}/land")
+    assert report.record_count == 25 and len(landed) == 3 and all(f.endswith(".json.gz") for f in landed)
+    assert rows(io.read_landing(spark, f"{tmp}/land", "population"), "county_name", "population") == rows(df)
+
+
+def test_pages_hold_every_result_without_a_shuffle(spark, tmp, monkeypatch):
+    monkeypatch.setattr(catalog, "FILE_PAGES", 2)
+    df = spark.createDataFrame([(str(i % 300), None if i % 5 else "x", 'a "b"\n') for i in range(450)], "id string, code string, name string")
+    catalog.write_pages(df.coalesce(1), f"{tmp}/pages")
+    pages = spark.read.schema(S.REGISTRY_PAGE).json(f"{tmp}/pages")
+    assert [r[0] for r in pages.select(F.size("results")).collect()].count(100) == 4 and pages.filter(F.col("count") != F.size("results")).count() == 0
+    assert len(files(f"{tmp}/pages")) == 3 and all(f.endswith(".txt.gz") for f in files(f"{tmp}/pages"))
+    assert rows(io.read_registry_pages(spark, f"{tmp}/pages"), "id", "code", "name") == rows(df)
+    catalog.write_pages(df.limit(0), f"{tmp}/none")
+    assert io.read_registry_pages(spark, f"{tmp}/none").count() == 0
+
+
 def test_buckets_grow_with_the_rows(spark, tmp, monkeypatch):
     monkeypatch.setattr(bucketed, "BUCKET_ROWS", 10)
     spark.range(105).select(F.col("id").alias("l_orderkey")).write.parquet(f"{tmp}/sf/lineitem.parquet")
