@@ -23,6 +23,29 @@ def test_title_case_matches_python(spark, raw, expected):
     assert one(spark, T.title_case("v"), raw) == expected
 
 
+def test_clean_str_strips_what_python_strips(spark):
+    edges = [chr(c) for c in [*range(0x180), 0x1680, *range(0x2000, 0x2070), 0x3000, 0xfeff]]
+    texts = [t for c in edges for t in (c + "a é" + c, c, f" {c}b", f"b{c}\n")]
+    got = spark.createDataFrame([(t,) for t in texts], "v string").select(T.clean_str("v")).collect()
+    assert [r[0] for r in got] == [t.strip() for t in texts]
+
+
+def test_numbers_with_type_suffixes(spark):
+    texts = ["12", "12d", "1.5F", "12d\n", " 7 ", "1e3", "é", "d", "", None, "1d5", "3.", "4.d", "Infinity", "-0"]
+    got = spark.createDataFrame([(t,) for t in texts], "v string").select(N.safe_float("v", -1.0), N.safe_int("v", -1)).collect()
+    assert [r[0] for r in got] == [12.0, -1.0, -1.0, -1.0, 7.0, 1000.0, -1.0, -1.0, -1.0, -1.0, -1.0, 3.0, -1.0, float("inf"), 0.0]
+    assert [r[1] for r in got] == [12, -1, -1, -1, 7, 1000, -1, -1, -1, -1, -1, 3, -1, -1, 0]
+
+
+def test_arrays_cut_at_quotes_are_those_of_the_parser(spark):
+    texts = ['["a"]', '["a","b c"]', '["a", "b"]', '["a","","b"]', '["a",",","b"]', '["",""]', '[""]', '["]', '[]', '[ ]', '["a\\"b"]', '["a\\u0041"]',
+             '["a\tb"]', '["a\x01b"]', '["a"]\n', ' ["a"]', '["a"', '["a""b"]', '["a",1,null]', '[["a"]]', '["é","日本"]', '["a","b"] x', '["a",]', '[","]', '["a|b"]']
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    parsed = F.coalesce(F.from_json("v", "array<string>", {"mode": "PERMISSIVE"}), F.array("v"))
+    for row in df.select("v", T.as_array("v").alias("cut"), parsed.alias("parsed")).collect():
+        assert row.cut == row.parsed, row.v
+
+
 def test_clean_str(spark):
     assert one(spark, T.clean_str("v"), "  a b\t\n") == "a b"
     assert one(spark, T.clean_str("v"), None) == ""

@@ -5,10 +5,14 @@ import os
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming.readwriter import DataStreamReader
 
 from access_lake import catalog
 from access_lake.sources import bucketed, io
 from access_lake.sources import schemas as S
+from access_lake.sources.standardise import standardise_registry
+from access_lake.streaming.landing_ingest import ingest_landing
 from helpers import rows
 
 
@@ -37,6 +41,28 @@ def test_pages_hold_every_result_without_a_shuffle(spark, tmp, monkeypatch):
     assert io.read_registry_pages(spark, f"{tmp}/none").count() == 0
 
 
+def test_registry_arrays_are_parsed_once(spark):
+    raw = spark.createDataFrame([("1", '["ART", "TB"]', '["Solar"]', " 2 ", "x")] * 3, "id string, service_names string, infrastructure_names string, lat string, long string")
+    df = standardise_registry(raw, "2025-01-01 00:00:00")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 2
+    row = df.first()
+    assert (row.service_names, row.has_art, row.has_electricity, row.latitude, row.longitude, row.has_gps) == ("ART|TB", True, True, 2.0, 0.0, False)
+
+
+def test_ingest_reads_each_landed_record_once(spark, tmp, monkeypatch):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "county_name string, population long")
+    schema = T.StructType(df.schema.fields)
+    for day in (1, 2, 2):
+        io.land(df.withColumn("population", F.col("population") + day), f"{tmp}/l", "population", datetime(2025, 3, day))
+        # new files are found by name; their records are parsed by the write alone
+        monkeypatch.setattr(DataStreamReader, "json", None)
+        assert ingest_landing(spark, f"{tmp}/l", "population", f"{tmp}/raw", f"{tmp}/ck", schema) == 2
+    assert ingest_landing(spark, f"{tmp}/l", "population", f"{tmp}/all", f"{tmp}/ck2", schema) == 4  # two days at once
+    for at in ("raw", "all"):
+        got = io.raw_table(spark, f"{tmp}/{at}", schema=S.with_partitions(schema))
+        assert sorted(map(tuple, got.collect())) == sorted((c, n + d, "2025", "03", f"0{d}") for c, n in (("a", 1), ("b", 2)) for d in (1, 2))
+
+
 def test_buckets_grow_with_the_rows(spark, tmp, monkeypatch):
     monkeypatch.setattr(bucketed, "BUCKET_ROWS", 10)
     spark.range(105).select(F.col("id").alias("l_orderkey")).write.parquet(f"{tmp}/sf/lineitem.parquet")
